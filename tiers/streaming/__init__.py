@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The pipeline this package rebuilds is a daily batch full refresh.  It has no
+stream source, watermark, window or state, so no Structured Streaming operator
+is built here (adding one would be a feature the pipeline does not have).
+"""
