@@ -36,21 +36,3 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = N
 def drop_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``dropDuplicates(keys)``: an arbitrary survivor per key."""
     return df.dropDuplicates(list(keys))
-
-
-def dedup_with_group_sizes(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None,
-                           size_col: str = "group_rows") -> DataFrame:
-    """Survivor rows as in ``dedup`` plus the number of input rows of their key, in one shuffle.
-
-    A hash/sort aggregation: ``min(struct(order columns..., all columns))`` picks the
-    same survivor as ``dedup`` (struct ordering is ascending, NULL fields first), and
-    ``count(*)`` sizes the group.  Both combine map-side, so a hot key stays one
-    row per map task.
-    """
-    order_cols = list(order_by) if order_by else [c for c in df.columns if c not in keys]
-    payload = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)],
-                      F.struct(*payload).alias("row"))
-    agg = df.groupBy(*keys).agg(F.min(packed).alias("__w"), F.count(F.lit(1)).alias(size_col))
-    return agg.select(*keys, *[F.col(f"__w.row.{c}").alias(c) for c in payload], size_col).select(
-        *df.columns, size_col)

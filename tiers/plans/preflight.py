@@ -19,6 +19,7 @@ from tiers.sources.landing import CSV_GLOB, landing_inventory, read_landing
 MISSING = "landing folder not found"
 NO_CSV = "no CSV files in landing folder"
 NO_ROWS = "landing folder has no rows"
+BAD_HEADER = "a landing file header does not match the landing columns"
 
 
 class PreflightError(RuntimeError):
@@ -61,7 +62,12 @@ def preflight_report(spark: SparkSession, env: Env, strict_header: bool = False)
         raise
     columns = source.columns
     if strict_header:
-        rows = source.agg(F.count(F.lit(1)).alias("n"), F.count(columns[0]).alias("c")).first()["n"]
+        try:
+            rows = source.agg(F.count(F.lit(1)).alias("n"), F.count(columns[0]).alias("c")).first()["n"]
+        except Exception as e:  # the header check fails inside the scan (FAILED_READ_FILE)
+            if "FAILED_READ_FILE" in str(e) or "header" in str(e).lower():
+                return _report(spark, env, csv_files, 0, columns, BAD_HEADER)
+            raise
     else:
         rows = source.count()
     return _report(spark, env, csv_files, rows, columns, None if rows > 0 else NO_ROWS)

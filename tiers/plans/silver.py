@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tiers.functions import casts
 from tiers.functions.predicates import passes, quality_rules
-from tiers.operators.dedup import dedup, dedup_with_group_sizes, drop_duplicates
+from tiers.operators.dedup import dedup, drop_duplicates
 from tiers.operators.metrics import Counter, count_rows
 
 KEY = "order_id"
@@ -84,19 +84,22 @@ def silver_observed(bronze: DataFrame, mode: str = "lenient") -> tuple[DataFrame
 def metrics(bronze: DataFrame, mode: str = "lenient") -> DataFrame:
     """One-row frame: bronze rows, duplicates removed, quality drops, silver rows.
 
-    One aggregation: per key, the group size and whether the survivor passes the
-    rules (``dedup_with_group_sizes``, combined map-side), then a global sum.
+    One job: the bronze row count (a scan that reads no column) unioned with one
+    aggregate over the deduplicated rows (survivor count and how many pass the
+    rules), then summed.  The dedup is the same ``WindowGroupLimit`` plan as
+    silver's, so a hot key is cut down before the shuffle.
     """
-    t = typed(bronze, mode).withColumn("__ok", passes(quality_rules()).cast("int"))
-    per_key = dedup_with_group_sizes(t, [KEY], DEDUP_ORDER, size_col="__n")
-    totals = per_key.agg(
-        F.sum("__n").alias("bronze_rows"),
-        F.count(F.lit(1)).alias("deduped_rows"),
-        F.sum("__ok").alias("silver_rows"),
-    )
+    zero = F.lit(0).cast("bigint")
+    source = bronze.agg(F.count(F.lit(1)).alias("bronze_rows"), zero.alias("deduped_rows"),
+                        zero.alias("silver_rows"))
+    survivors = dedup_orders(typed(bronze, mode)).agg(
+        zero.alias("bronze_rows"), F.count(F.lit(1)).alias("deduped_rows"),
+        F.sum(passes(quality_rules()).cast("bigint")).alias("silver_rows"))
+    totals = source.unionByName(survivors).agg(
+        *[F.coalesce(F.sum(c), zero).alias(c) for c in ("bronze_rows", "deduped_rows", "silver_rows")])
     return totals.select(
-        F.coalesce("bronze_rows", F.lit(0)).cast("bigint").alias("bronze_rows"),
-        (F.coalesce("bronze_rows", F.lit(0)) - F.col("deduped_rows")).cast("bigint").alias("duplicates"),
-        (F.col("deduped_rows") - F.coalesce("silver_rows", F.lit(0))).cast("bigint").alias("quality_drops"),
-        F.coalesce("silver_rows", F.lit(0)).cast("bigint").alias("silver_rows"),
+        "bronze_rows",
+        (F.col("bronze_rows") - F.col("deduped_rows")).alias("duplicates"),
+        (F.col("deduped_rows") - F.col("silver_rows")).alias("quality_drops"),
+        "silver_rows",
     )
