@@ -78,3 +78,27 @@ def test_missing_column_strict(spark, env):
     from tiers.plans import silver
     with pytest.raises(PySparkException, match="unit_price"):
         silver.typed(read_landing(spark, env.landing))
+
+
+def test_exists_mode_skips_the_count(spark, env):
+    write_text(f"{env.landing}/a.csv", HEADER + ROW + ROW)
+    r = preflight_report(spark, env, count="exists").first()
+    assert (r["passed"], r["rows"], r["csv_files"]) == (True, None, 1)
+    assert r["csv_bytes"] == len(HEADER + ROW + ROW)
+    write_text(f"{env.landing}/a.csv", HEADER)
+    assert preflight_report(spark, env, count="exists").first()["reason"] == NO_ROWS
+
+
+def test_size_shuffles_only_raises(spark):
+    from tiers.session import size_shuffles
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    try:
+        assert size_shuffles(spark, 1) == int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+        assert size_shuffles(spark, 1000 * 128 * 1024 * 1024) == 1000
+        assert spark.conf.get(key) == "1000"
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)

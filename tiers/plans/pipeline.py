@@ -20,6 +20,7 @@ from tiers.config import Env
 from tiers.plans import gold, silver
 from tiers.plans.bronze import bronze
 from tiers.plans.preflight import preflight_report, require
+from tiers.session import size_shuffles
 from tiers.sources.tables import create_schema, create_tables, overwrite_table, write_csv
 
 
@@ -49,15 +50,25 @@ def _write_gold(spark: SparkSession, env: Env, table: str, exact_money: bool) ->
 
 
 def run(spark: SparkSession, env: Env, mode: str = "lenient", strict_header: bool = False,
-        exact_money: bool = False, parallel_gold: bool = True) -> RunReport:
-    """Full refresh of all four layer tables of ``env``; returns counts per step."""
-    pre = require(preflight_report(spark, env, strict_header=strict_header)).asDict()
+        exact_money: bool = False, parallel_gold: bool = True, size_to_input: bool = True) -> RunReport:
+    """Full refresh of all four layer tables of ``env``; returns counts per step.
+
+    The preflight proves the landing folder has rows without counting them
+    (``count="exists"``); the exact count is the bronze write's own.  With
+    ``size_to_input`` the session's initial shuffle partition count is raised to
+    the landing size / 128 MB before any shuffle runs.
+    """
+    pre = require(preflight_report(spark, env, strict_header=strict_header, count="exists")).asDict()
     report = RunReport(preflight=pre)
+    if size_to_input:
+        size_shuffles(spark, pre["csv_bytes"])
 
     report.rows[config.BRONZE] = overwrite_table(bronze(spark, env, strict_header), env.table(config.BRONZE),
                                                  env.fmt)
+    report.preflight["rows"] = report.rows[config.BRONZE]
 
-    silver_rows, counters = silver.silver_observed(spark.table(env.table(config.BRONZE)), mode)
+    silver_rows, counters = silver.silver_observed(spark.table(env.table(config.BRONZE)), mode,
+                                                   bronze_rows=report.rows[config.BRONZE])
     report.rows[config.SILVER] = overwrite_table(silver_rows, env.table(config.SILVER), env.fmt)
     report.silver_metrics = counters.report()
 

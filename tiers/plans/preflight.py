@@ -1,7 +1,7 @@
 """Preflight check of the landing folder: report and gate.
 
-Two Spark scans: the file inventory (metadata only) and a row count over the
-landing CSVs.  Both work on any Hadoop filesystem.  The report is one row;
+Two Spark scans: the file inventory (metadata only) and a row count (or a
+row-exists probe) over the landing CSVs.  Both work on any Hadoop filesystem.  The report is one row;
 ``require`` raises with the reason so that nothing downstream runs.
 """
 
@@ -31,46 +31,64 @@ def _error_class(e: Exception) -> str:
     return (getter() if getter else None) or ""
 
 
-def _report(spark: SparkSession, env: Env, csv_files: int, rows: int, columns: list[str],
-            reason: str | None) -> DataFrame:
-    row = Row(run_date=env.run_date, source=env.landing, csv_files=csv_files, rows=rows,
-              cols=len(columns), columns=", ".join(columns), passed=reason is None, reason=reason)
+def _report(spark: SparkSession, env: Env, csv_files: int, csv_bytes: int, rows: int | None,
+            columns: list[str], reason: str | None) -> DataFrame:
+    row = Row(run_date=env.run_date, source=env.landing, csv_files=csv_files, csv_bytes=csv_bytes,
+              rows=rows, cols=len(columns), columns=", ".join(columns), passed=reason is None, reason=reason)
     return spark.createDataFrame([row], PREFLIGHT_SCHEMA)
 
 
-def preflight_report(spark: SparkSession, env: Env, strict_header: bool = False) -> DataFrame:
-    """``(run_date, source, csv_files, rows, cols, columns, passed, reason)``.
+COUNT_MODES = ("exact", "exists")
 
-    ``csv_files`` counts ``*.csv`` files; ``rows`` counts rows of every file the
-    bronze scan will read (all files, or ``env.path_glob``), so the two agree with
-    what the pipeline does.  With ``strict_header`` the count reads one column so
-    that every file's header is checked.
+
+def preflight_report(spark: SparkSession, env: Env, strict_header: bool = False,
+                     count: str = "exact") -> DataFrame:
+    """``(run_date, source, csv_files, csv_bytes, rows, cols, columns, passed, reason)``.
+
+    ``csv_files`` / ``csv_bytes`` come from one aggregate over the ``*.csv``
+    inventory.  ``rows`` counts rows of every file the bronze scan will read
+    (all files, or ``env.path_glob``), so it agrees with what the pipeline does.
+
+    ``count="exact"`` scans the landing data to count rows, as a standalone
+    check must.  ``count="exists"`` only proves there is a row (``limit(1)``:
+    usually one split of one file) and leaves ``rows`` NULL: the refresh uses it
+    and takes the exact count from the bronze write, so a 100 TB landing folder
+    is not read twice.  With ``strict_header`` and an exact count, one column is
+    read so that every file's header is checked; in ``exists`` mode the header
+    check happens in the bronze write itself.
     """
+    if count not in COUNT_MODES:
+        raise ValueError(f"count must be one of {COUNT_MODES}")
     try:
-        csv_files = landing_inventory(spark, env.landing, CSV_GLOB).count()
+        inv = landing_inventory(spark, env.landing, CSV_GLOB).agg(
+            F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in _error_class(e) or "Path does not exist" in str(e):
-            return _report(spark, env, 0, 0, [], MISSING)
+            return _report(spark, env, 0, 0, 0, [], MISSING)
         raise
+    csv_files, csv_bytes = int(inv["files"]), int(inv["bytes"])
     if csv_files == 0:
-        return _report(spark, env, 0, 0, [], NO_CSV)
+        return _report(spark, env, 0, 0, 0, [], NO_CSV)
     try:
         source = read_landing(spark, env.landing, strict_header=strict_header, path_glob=env.path_glob)
     except AnalysisException as e:
         if "UNABLE_TO_INFER_SCHEMA" in _error_class(e):
-            return _report(spark, env, csv_files, 0, [], NO_ROWS)
+            return _report(spark, env, csv_files, csv_bytes, 0, [], NO_ROWS)
         raise
     columns = source.columns
+    if count == "exists":
+        has_rows = source.limit(1).count() > 0
+        return _report(spark, env, csv_files, csv_bytes, None, columns, None if has_rows else NO_ROWS)
     if strict_header:
         try:
             rows = source.agg(F.count(F.lit(1)).alias("n"), F.count(columns[0]).alias("c")).first()["n"]
         except Exception as e:  # the header check fails inside the scan (FAILED_READ_FILE)
             if "FAILED_READ_FILE" in str(e) or "header" in str(e).lower():
-                return _report(spark, env, csv_files, 0, columns, BAD_HEADER)
+                return _report(spark, env, csv_files, csv_bytes, 0, columns, BAD_HEADER)
             raise
     else:
         rows = source.count()
-    return _report(spark, env, csv_files, rows, columns, None if rows > 0 else NO_ROWS)
+    return _report(spark, env, csv_files, csv_bytes, rows, columns, None if rows > 0 else NO_ROWS)
 
 
 def require(report: DataFrame) -> Row:

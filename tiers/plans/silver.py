@@ -60,25 +60,32 @@ def silver(bronze: DataFrame, mode: str = "lenient") -> DataFrame:
 
 @dataclass
 class SilverCounters:
-    bronze: Counter
+    bronze_rows: int
     deduped: Counter
     silver: Counter
 
     def report(self) -> dict[str, int]:
-        b, d, s = self.bronze.value, self.deduped.value, self.silver.value
+        b, d, s = self.bronze_rows, self.deduped.value, self.silver.value
         return {"bronze_rows": b, "duplicates": b - d, "quality_drops": d - s, "silver_rows": s}
 
 
-def silver_observed(bronze: DataFrame, mode: str = "lenient") -> tuple[DataFrame, SilverCounters]:
-    """Silver rows with row counters before dedup, after dedup and after the filter.
+def silver_observed(bronze: DataFrame, mode: str = "lenient",
+                    bronze_rows: int | None = None) -> tuple[DataFrame, SilverCounters]:
+    """Silver rows with counters after dedup and after the filter, plus the input count.
 
-    All three fire in the one job that writes the table: duplicates and quality
-    drops are exact for the rows actually written (one evaluation, one shuffle).
+    Both counters sit after the dedup shuffle, i.e. in the result stage of the
+    job that writes silver: they count each written partition once even when
+    tasks are retried or a lost map output forces a stage re-run (a counter
+    *before* the shuffle could count a re-run map stage twice).  The input count
+    is taken from the stored bronze table (``bronze_rows``; else a ``count()``,
+    which reads no column of a Parquet table).  Duplicates and quality drops are
+    exact for the rows actually written, with one evaluation of the dedup.
     """
-    t, c_in = count_rows(typed(bronze, mode), "bronze")
-    d, c_dedup = count_rows(dedup_orders(t), "deduped")
+    if bronze_rows is None:
+        bronze_rows = bronze.count()
+    d, c_dedup = count_rows(dedup_orders(typed(bronze, mode)), "deduped")
     s, c_out = count_rows(quality_filter(d), "silver")
-    return s, SilverCounters(c_in, c_dedup, c_out)
+    return s, SilverCounters(int(bronze_rows), c_dedup, c_out)
 
 
 def metrics(bronze: DataFrame, mode: str = "lenient") -> DataFrame:

@@ -50,6 +50,7 @@ PREFLIGHT_SCHEMA = T.StructType([
     T.StructField("run_date", T.StringType()),
     T.StructField("source", T.StringType()),
     T.StructField("csv_files", T.LongType()),
+    T.StructField("csv_bytes", T.LongType()),
     T.StructField("rows", T.LongType()),
     T.StructField("cols", T.IntegerType()),
     T.StructField("columns", T.StringType()),

@@ -65,6 +65,29 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/") if sc.getCheckpointDir() else root
 
 
+# Target input bytes per shuffle partition when sizing shuffles from the input size.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int,
+                  target_partition_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Raise the initial shuffle partition count to ``input_bytes / target`` if it is lower.
+
+    AQE coalesces small partitions at run time but never splits a big
+    non-skewed one, so the starting count must scale with the input: 100 TB
+    through the default 200 partitions would be 500 GB per task.  Only raises,
+    never lowers, and only this session's setting.
+    """
+    wanted = max(1, -(-int(input_bytes) // target_partition_bytes))
+    key = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+           if spark.conf.get("spark.sql.adaptive.enabled", "true") == "true" else "spark.sql.shuffle.partitions")
+    current = spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    if wanted > int(current):
+        spark.conf.set(key, str(wanted))
+        return wanted
+    return int(current)
+
+
 def scratch_dir(spark: SparkSession, label: str = "run") -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/tiers/{label}-{uuid.uuid4().hex[:12]}"
