@@ -251,6 +251,34 @@ def q_widget_top_products(spark, sf_dir):
     return dashboard.top_products_table(dashboard.top_products(_gold_products(spark, sf_dir, sort=False)))
 
 
+def _gold_tables_env(spark, sf_dir) -> Env:
+    """Silver → both gold tables written under a scratch schema (as a refresh leaves them)."""
+    env = _scratch_env(spark, "dash")
+    overwrite_table(_silver(spark, sf_dir), env.table(config.SILVER), env.fmt)
+    src = spark.table(env.table(config.SILVER))
+    overwrite_table(gold.sales_by_region(src, exact_money=EXACT), env.table(config.GOLD_SALES), env.fmt)
+    overwrite_table(gold.top_products(src, exact_money=EXACT), env.table(config.GOLD_PRODUCTS), env.fmt)
+    return env
+
+
+def q_dataset_sql_summary_metrics(spark, sf_dir):
+    """The summary dataset as SQL text over the stored gold table (S4)."""
+    return dashboard.dataset_sql(spark, _gold_tables_env(spark, sf_dir), "summary_metrics")
+
+
+def q_dataset_sql_top_products(spark, sf_dir):
+    return dashboard.dataset_sql(spark, _gold_tables_env(spark, sf_dir), "top_products")
+
+
+def q_widget_sql_total_revenue(spark, sf_dir):
+    """The stored Total Revenue counter: ``SUM(`total_revenue`)`` over the SQL dataset (P10, W7)."""
+    return dashboard.widget_from_sql(spark, _gold_tables_env(spark, sf_dir), "total_revenue")
+
+
+def q_widget_sql_top_products(spark, sf_dir):
+    return dashboard.widget_from_sql(spark, _gold_tables_env(spark, sf_dir), "top_products")
+
+
 def q_preview_orders(spark, sf_dir):
     return preview(orders_feed(spark, sf_dir), 5, order_by=list(LANDING_COLUMNS))
 

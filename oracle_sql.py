@@ -226,6 +226,13 @@ FROM gold_sales ORDER BY region NULLS FIRST, year_month NULLS FIRST"""),
 SELECT product, category, total_revenue, total_units_sold, order_count, avg_unit_price
 FROM gold_products ORDER BY total_revenue DESC"""),
         "dataset_summary_metrics": chain("summary", "SELECT * FROM summary"),
+        "dataset_sql_summary_metrics": chain("summary", "SELECT * FROM summary"),
+        "dataset_sql_top_products": chain("gold", """
+SELECT product, category, total_revenue, total_units_sold, order_count, avg_unit_price
+FROM gold_products ORDER BY total_revenue DESC"""),
+        "widget_sql_total_revenue": chain("summary", 'SELECT SUM(total_revenue) AS "sum(total_revenue)" FROM summary'),
+        "widget_sql_top_products": chain("gold", """
+SELECT product, category, total_revenue, total_units_sold FROM gold_products"""),
         "widget_total_revenue": chain("summary", f"SELECT {_money_sum('total_revenue')} AS total_revenue FROM summary"),
         "widget_total_orders": chain("summary", "SELECT CAST(SUM(total_orders) AS BIGINT) AS total_orders FROM summary"),
         "widget_avg_order_value": chain("summary", "SELECT SUM(avg_order_value) AS avg_order_value FROM summary"),

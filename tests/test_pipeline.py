@@ -59,3 +59,25 @@ def test_refresh_stops_on_failed_preflight(spark, env):
     with pytest.raises(PreflightError, match="landing folder not found"):
         pipeline.run(spark, env)
     assert spark.table(env.table(config.BRONZE)).count() == 0  # nothing downstream ran
+
+
+def test_sql_text_dashboard_equals_dataframe_dashboard(spark, env):
+    pipeline.bootstrap(spark, env, landing_rows=synthetic_orders(spark, 300, seed=3))
+    pipeline.run(spark, env)
+    frames = dashboard.datasets_from_tables(spark, env)
+    for name in dashboard.DATASET_SQL:
+        a = dashboard.dataset_sql(spark, env, name)
+        assert a.columns == frames[name].columns
+        assert _rows(a) == _rows(frames[name])
+    frames = dashboard.widgets_from_tables(spark, env)
+    for name in dashboard.WIDGETS:
+        a = dashboard.widget_from_sql(spark, env, name)
+        assert a.columns == frames[name].columns, name
+        got, want = _rows(a), _rows(frames[name])
+        assert len(got) == len(want)
+        for g, w in zip(got, want):
+            for x, y in zip(g, w):
+                assert x == y or (isinstance(x, float) and abs(x - y) <= 1e-9 * abs(y)), name
+    # sorted datasets come back in display order
+    keys = [(r["region"], r["year_month"]) for r in dashboard.dataset_sql(spark, env, "region_sales").collect()]
+    assert keys == sorted(keys, key=lambda k: (k[0] is not None, k[0] or "", k[1] is not None, k[1] or ""))

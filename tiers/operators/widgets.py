@@ -4,6 +4,11 @@ A widget lists fields; each is either a plain column or an aggregate of one.
 Unless the widget is ``disaggregated``, the result is grouped by the plain
 fields and the aggregates are computed per group (no plain field → one global
 row).  A disaggregated widget is a plain projection of the dataset.
+
+Two front ends: ``widget_query`` takes structured ``Field``s (and can sum money
+exactly); ``widget_sql`` takes the fields as SQL expressions, as a dashboard
+stores them (``"SUM(`total_revenue`)"``), and lets Spark's ``GROUP BY ALL``
+group by every non-aggregate field.
 """
 
 from __future__ import annotations
@@ -58,3 +63,15 @@ def widget_query(dataset: DataFrame, fields: Sequence[Field], disaggregated: boo
         return dataset.select(*[F.col(f.column).alias(f.name) for f in plain]).distinct()
     grouped = dataset.groupBy(*[F.col(f.column).alias(f.name) for f in plain])
     return grouped.agg(*aggs).select(*[f.name for f in fields])
+
+
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def widget_sql(dataset: DataFrame, fields: Sequence[tuple[str, str]], disaggregated: bool = False) -> DataFrame:
+    """Evaluate ``(name, sql_expression)`` fields over ``dataset``."""
+    exprs = [f"{expr} AS {_quote(name)}" for name, expr in fields]
+    if disaggregated:
+        return dataset.selectExpr(*exprs)
+    return dataset.sparkSession.sql(f"SELECT {', '.join(exprs)} FROM {{dataset}} GROUP BY ALL", dataset=dataset)

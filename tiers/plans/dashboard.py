@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tiers import config
 from tiers.config import Env
 from tiers.functions.money import money_sum, round2
-from tiers.operators.widgets import Field, widget_query
+from tiers.operators.widgets import Field, widget_query, widget_sql
 
 REGION_SALES_COLUMNS = ("region", "year_month", "total_revenue", "order_count", "avg_order_value",
                         "unique_customers")
@@ -106,3 +106,52 @@ def widgets_from_tables(spark: SparkSession, env: Env) -> dict[str, DataFrame]:
         "revenue_trend": revenue_trend(unsorted_sales),
         "top_products": top_products_table(top_products(products)),
     }
+
+
+# ---- the dashboard as stored: SQL text datasets and expression widgets -------------------
+# Dataset SQL (body, display order) over a bound table name, and the six
+# data widgets (dataset, fields as (name, SQL expression), disaggregated).
+
+DATASET_SQL = {
+    "region_sales": (
+        "SELECT region, year_month, total_revenue, order_count, avg_order_value, unique_customers "
+        "FROM IDENTIFIER(:table)",
+        "region, year_month"),
+    "top_products": (
+        "SELECT product, category, total_revenue, total_units_sold, order_count, avg_unit_price "
+        "FROM IDENTIFIER(:table)",
+        "total_revenue DESC"),
+    "summary_metrics": (
+        "SELECT ROUND(SUM(total_revenue), 2) AS total_revenue, SUM(order_count) AS total_orders, "
+        "ROUND(AVG(avg_order_value), 2) AS avg_order_value FROM IDENTIFIER(:table)",
+        None),
+}
+DATASET_TABLE = {"region_sales": config.GOLD_SALES, "top_products": config.GOLD_PRODUCTS,
+                 "summary_metrics": config.GOLD_SALES}
+
+WIDGETS = {
+    "total_revenue": ("summary_metrics", [("sum(total_revenue)", "SUM(`total_revenue`)")], False),
+    "total_orders": ("summary_metrics", [("sum(total_orders)", "SUM(`total_orders`)")], False),
+    "avg_order_value": ("summary_metrics", [("sum(avg_order_value)", "SUM(`avg_order_value`)")], False),
+    "revenue_by_region": ("region_sales", [("region", "`region`"),
+                                           ("total_revenue", "SUM(`total_revenue`)")], False),
+    "revenue_trend": ("region_sales", [("year_month", "`year_month`"),
+                                       ("total_revenue", "SUM(`total_revenue`)")], False),
+    "top_products": ("top_products", [("product", "`product`"), ("category", "`category`"),
+                                      ("total_revenue", "`total_revenue`"),
+                                      ("total_units_sold", "`total_units_sold`")], True),
+}
+
+
+def dataset_sql(spark: SparkSession, env: Env, name: str, sort: bool = True) -> DataFrame:
+    """Run a dataset's SQL text against ``env``'s gold table (bound with ``IDENTIFIER``)."""
+    body, order = DATASET_SQL[name]
+    text = f"{body} ORDER BY {order}" if (sort and order) else body
+    return spark.sql(text, args={"table": env.table(DATASET_TABLE[name])})
+
+
+def widget_from_sql(spark: SparkSession, env: Env, name: str) -> DataFrame:
+    """A stored widget over its dataset; aggregating widgets read the dataset unsorted
+    (a sort under a DOUBLE sum is not removed by the optimizer), table widgets keep the order."""
+    dataset, fields, disaggregated = WIDGETS[name]
+    return widget_sql(dataset_sql(spark, env, dataset, sort=disaggregated), fields, disaggregated)
