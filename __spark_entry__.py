@@ -317,6 +317,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from oracle_sql import statements
+    from tiers_oracle_sql import statements
 
     return {k: v for k, v in statements().items() if k in _QUERIES}
