@@ -81,3 +81,17 @@ def test_sql_text_dashboard_equals_dataframe_dashboard(spark, env):
     # sorted datasets come back in display order
     keys = [(r["region"], r["year_month"]) for r in dashboard.dataset_sql(spark, env, "region_sales").collect()]
     assert keys == sorted(keys, key=lambda k: (k[0] is not None, k[0] or "", k[1] is not None, k[1] or ""))
+
+
+def test_failed_overwrite_keeps_previous_table(spark, env):
+    from tiers.sources.tables import overwrite_table
+    name = env.table("layer")
+    assert overwrite_table(spark.range(10), name) == 10
+    bad = spark.range(5).selectExpr("assert_true(id < 3) AS x")
+    with pytest.raises(Exception):
+        overwrite_table(bad, name)
+    assert spark.table(name).count() == 10          # previous rows are still there
+    assert [t.name for t in spark.catalog.listTables(env.namespace)] == ["layer"]  # no staging left
+    # a table can be refreshed from a read of itself
+    assert overwrite_table(spark.table(name).selectExpr("id * 2 AS id", "'v2' AS tag"), name) == 10
+    assert spark.table(name).columns == ["id", "tag"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,22 +36,39 @@ def create_tables(spark: SparkSession, env: Env, schemas: dict[str, T.StructType
 
 
 def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet",
-                    partition_by: list[str] | None = None) -> int:
+                    partition_by: list[str] | None = None, swap: bool | None = None) -> int:
     """Full refresh of ``name`` with ``df``'s rows and schema; returns the rows written.
 
     The row count is taken by ``observe`` inside the write job itself, so the
     frame is evaluated once (no second count job, no re-scan of the result).
-    Delta overwrites are atomic; a Parquet table is dropped and re-created, so a
-    failure mid-write leaves it missing until the next run.  Spark refuses to
-    overwrite a table the same plan reads from, so every layer has its own table.
+
+    Delta overwrites are atomic by themselves.  A plain Parquet ``saveAsTable``
+    overwrite drops the old table first, so a job that fails or loses its
+    executors mid-write would leave the layer missing.  Hence, by default for
+    non-Delta formats (``swap``), the rows are written to a staging table next
+    to the target and swapped in by a metadata rename only after the write job
+    has committed: until then readers see the previous table, and a failed write
+    leaves it untouched.  This also allows refreshing a table from a read of itself.
     """
-    obs = Observation(f"rows_written_{abs(hash(name)) % 10**8}")
+    spark = df.sparkSession
+    swap = (fmt != "delta") if swap is None else swap
+    target = f"{name}__staging_{uuid.uuid4().hex[:10]}" if swap else name
+    obs = Observation(f"rows_written_{uuid.uuid4().hex[:8]}")
     writer = (df.observe(obs, F.count(F.lit(1)).alias("rows"))
               .write.format(fmt).mode("overwrite").option("overwriteSchema", "true"))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
-    return int(obs.get["rows"])
+    try:
+        writer.saveAsTable(target)
+    except Exception:
+        if swap:
+            spark.sql(f"DROP TABLE IF EXISTS {target}")
+        raise
+    rows = int(obs.get["rows"])
+    if swap:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"ALTER TABLE {target} RENAME TO {'.'.join(name.split('.')[-2:])}")
+    return rows
 
 
 def write_csv(df: DataFrame, path: str, num_files: int | None = None) -> None:
