@@ -95,3 +95,19 @@ def test_failed_overwrite_keeps_previous_table(spark, env):
     # a table can be refreshed from a read of itself
     assert overwrite_table(spark.table(name).selectExpr("id * 2 AS id", "'v2' AS tag"), name) == 10
     assert spark.table(name).columns == ["id", "tag"]
+
+
+def test_cli_steps_in_job_order(spark, env, caplog):
+    import logging
+
+    from tiers import cli
+    pipeline.bootstrap(spark, env, landing_rows=synthetic_orders(spark, 120, seed=5))
+    args = ["--schema", env.schema, "--landing-path", env.landing]
+    with caplog.at_level(logging.INFO, logger="tiers"):
+        for step in ("preflight", "bronze", "silver", "gold-sales", "gold-products"):
+            assert cli.main([step, *args], spark=spark) == 0
+    text = caplog.text
+    assert "120 rows" in text and "duplicates removed 0" in text
+    assert spark.table(env.table(config.GOLD_SALES)).count() > 0
+    report = pipeline.run(spark, env)
+    assert report.lines(env)[1] == f"written: {env.table(config.BRONZE)} (120 rows)"

@@ -41,12 +41,50 @@ class RunReport:
     rows: dict[str, int] = field(default_factory=dict)
     silver_metrics: dict[str, int] = field(default_factory=dict)
 
+    def lines(self, env: Env) -> list[str]:
+        """The human-readable run summary: preflight, then one line per written table."""
+        p = self.preflight
+        out = [f"preflight passed: {p['csv_files']} CSV file(s), {p['csv_bytes']:,} bytes, "
+               f"{p['cols']} columns in {p['source']} (run date {p['run_date']})"]
+        for table, n in self.rows.items():
+            out.append(f"written: {env.table(table)} ({n:,} rows)")
+            if table == config.SILVER and self.silver_metrics:
+                out.append(f"  duplicates removed : {self.silver_metrics['duplicates']:,}")
+                out.append(f"  quality drops      : {self.silver_metrics['quality_drops']:,}")
+        return out
+
+
+# ---- steps: each is one job that reads the previous layer's table -------------------------
+
+def run_preflight(spark: SparkSession, env: Env, strict_header: bool = False, count: str = "exists",
+                  size_to_input: bool = True) -> dict:
+    """Gate on the landing folder (raises ``PreflightError``); optionally size the shuffles
+    to the landing bytes.  ``count="exists"`` only proves a row exists (see preflight)."""
+    pre = require(preflight_report(spark, env, strict_header=strict_header, count=count)).asDict()
+    if size_to_input:
+        size_shuffles(spark, pre["csv_bytes"])
+    return pre
+
+
+def run_bronze(spark: SparkSession, env: Env, strict_header: bool = False) -> int:
+    return overwrite_table(bronze(spark, env, strict_header), env.table(config.BRONZE), env.fmt)
+
+
+def run_silver(spark: SparkSession, env: Env, mode: str = "lenient", bronze_rows: int | None = None) -> dict:
+    """Write silver from the bronze table; returns bronze/silver rows, duplicates, quality drops."""
+    rows, counters = silver.silver_observed(spark.table(env.table(config.BRONZE)), mode, bronze_rows=bronze_rows)
+    overwrite_table(rows, env.table(config.SILVER), env.fmt)
+    return counters.report()
 
-def _write_gold(spark: SparkSession, env: Env, table: str, exact_money: bool) -> int:
-    source = spark.table(env.table(config.SILVER))
-    frame = (gold.sales_by_region(source, exact_money) if table == config.GOLD_SALES
-             else gold.top_products(source, exact_money))
-    return overwrite_table(frame, env.table(table), env.fmt)
+
+def run_gold_sales(spark: SparkSession, env: Env, exact_money: bool = False) -> int:
+    frame = gold.sales_by_region(spark.table(env.table(config.SILVER)), exact_money)
+    return overwrite_table(frame, env.table(config.GOLD_SALES), env.fmt)
+
+
+def run_gold_products(spark: SparkSession, env: Env, exact_money: bool = False) -> int:
+    frame = gold.top_products(spark.table(env.table(config.SILVER)), exact_money)
+    return overwrite_table(frame, env.table(config.GOLD_PRODUCTS), env.fmt)
 
 
 def run(spark: SparkSession, env: Env, mode: str = "lenient", strict_header: bool = False,
@@ -58,27 +96,20 @@ def run(spark: SparkSession, env: Env, mode: str = "lenient", strict_header: boo
     ``size_to_input`` the session's initial shuffle partition count is raised to
     the landing size / 128 MB before any shuffle runs.
     """
-    pre = require(preflight_report(spark, env, strict_header=strict_header, count="exists")).asDict()
-    report = RunReport(preflight=pre)
-    if size_to_input:
-        size_shuffles(spark, pre["csv_bytes"])
-
-    report.rows[config.BRONZE] = overwrite_table(bronze(spark, env, strict_header), env.table(config.BRONZE),
-                                                 env.fmt)
+    report = RunReport(preflight=run_preflight(spark, env, strict_header, "exists", size_to_input))
+    report.rows[config.BRONZE] = run_bronze(spark, env, strict_header)
     report.preflight["rows"] = report.rows[config.BRONZE]
 
-    silver_rows, counters = silver.silver_observed(spark.table(env.table(config.BRONZE)), mode,
-                                                   bronze_rows=report.rows[config.BRONZE])
-    report.rows[config.SILVER] = overwrite_table(silver_rows, env.table(config.SILVER), env.fmt)
-    report.silver_metrics = counters.report()
+    report.silver_metrics = run_silver(spark, env, mode, bronze_rows=report.rows[config.BRONZE])
+    report.rows[config.SILVER] = report.silver_metrics["silver_rows"]
 
-    golds = (config.GOLD_SALES, config.GOLD_PRODUCTS)
+    golds = {config.GOLD_SALES: run_gold_sales, config.GOLD_PRODUCTS: run_gold_products}
     if parallel_gold:
         with ThreadPoolExecutor(max_workers=len(golds)) as pool:
-            futures = {t: pool.submit(_write_gold, spark, env, t, exact_money) for t in golds}
+            futures = {t: pool.submit(step, spark, env, exact_money) for t, step in golds.items()}
             for t, fut in futures.items():
                 report.rows[t] = fut.result()
     else:
-        for t in golds:
-            report.rows[t] = _write_gold(spark, env, t, exact_money)
+        for t, step in golds.items():
+            report.rows[t] = step(spark, env, exact_money)
     return report
