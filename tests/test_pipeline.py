@@ -111,3 +111,36 @@ def test_cli_steps_in_job_order(spark, env, caplog):
     assert spark.table(env.table(config.GOLD_SALES)).count() > 0
     report = pipeline.run(spark, env)
     assert report.lines(env)[1] == f"written: {env.table(config.BRONZE)} (120 rows)"
+
+
+def test_strict_mode_refresh(spark, env):
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        pytest.skip("strict casts only fail under ANSI mode")
+    from tests.conftest import SF_SMALL
+    from tiers.sources import orders_feed
+    # clean input: strict and lenient agree
+    pipeline.bootstrap(spark, env, landing_rows=synthetic_orders(spark, 200, seed=9))
+    strict = pipeline.run(spark, env, mode="strict", strict_header=True)
+    lenient = pipeline.run(spark, env, mode="lenient")
+    assert strict.rows == lenient.rows and strict.silver_metrics == lenient.silver_metrics
+    # dirty input ('n/a' quantities, 31/12/1999 dates): strict fails, silver keeps its last good state
+    before = _rows(spark.table(env.table(config.SILVER)))
+    pipeline.bootstrap(spark, env, landing_rows=orders_feed(spark, SF_SMALL))
+    pipeline.run_bronze(spark, env)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|CANNOT_PARSE"):
+        pipeline.run_silver(spark, env, mode="strict")
+    assert _rows(spark.table(env.table(config.SILVER))) == before
+
+
+def test_two_environments_same_code(spark, env, workdir):
+    import uuid
+    from tiers.sources.tables import create_schema
+    prod = env.with_(schema=f"p_{uuid.uuid4().hex[:8]}", schema_location=f"{workdir}/prod",
+                     landing_path=f"{workdir}/prod_landing")
+    create_schema(spark, prod)
+    pipeline.bootstrap(spark, env, landing_rows=synthetic_orders(spark, 100, seed=1))
+    pipeline.bootstrap(spark, prod, landing_rows=synthetic_orders(spark, 250, seed=2))
+    dev_report, prod_report = pipeline.run(spark, env), pipeline.run(spark, prod)
+    assert dev_report.rows[config.SILVER] == 100 and prod_report.rows[config.SILVER] == 250
+    assert spark.table(env.table(config.BRONZE)).count() == 100
+    assert spark.table(prod.table(config.BRONZE)).count() == 250
