@@ -1,7 +1,6 @@
 """Gold aggregates, dashboard datasets and widgets, empty state."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tiers.plans import dashboard, gold, silver
 from tiers.schemas import GOLD_PRODUCTS_SCHEMA, GOLD_SALES_SCHEMA, SILVER_SCHEMA

@@ -1,6 +1,5 @@
 """Physical-plan checks: pushdown, pruning, one dedup shuffle with map-side limit, no Python."""
 
-import pytest
 
 from tiers import config
 from tiers.plans import gold, pipeline, silver
