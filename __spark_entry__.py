@@ -32,7 +32,7 @@ from tiers.plans import dashboard, gold, pipeline, silver  # noqa: E402
 from tiers.plans.bronze import bronze  # noqa: E402
 from tiers.plans.preflight import preflight_report  # noqa: E402
 from tiers.schemas import LANDING_COLUMNS  # noqa: E402
-from tiers.session import scratch_dir  # noqa: E402
+from tiers.session import scratch_dir, session_key  # noqa: E402
 from tiers.sources import (  # noqa: E402
     create_schema, landing_inventory, orders_feed, orders_from_ids, overwrite_table, preview, write_csv,
 )
@@ -216,12 +216,12 @@ def q_placeholder_tables(spark, sf_dir):
 # does; the refresh of a given source folder runs once per session (the first
 # dashboard query pays for it).
 
-_REFRESHED: dict[tuple[int, str], Env] = {}
+_REFRESHED: dict[tuple, Env] = {}
 _REFRESH_LOCK = threading.Lock()
 
 
 def _refreshed_env(spark: SparkSession, sf_dir: str) -> Env:
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (*session_key(spark), sf_dir.rstrip("/"))
     with _REFRESH_LOCK:
         if key not in _REFRESHED:
             env = _scratch_env(spark, "dash")

@@ -88,6 +88,12 @@ def size_shuffles(spark: SparkSession, input_bytes: int,
     return int(current)
 
 
+def session_key(spark: SparkSession) -> tuple[str, int]:
+    """Identity of a live session for per-session caches: the application id (new for
+    every SparkContext) and the session object (several sessions can share a context)."""
+    return spark.sparkContext.applicationId, id(spark)
+
+
 def scratch_dir(spark: SparkSession, label: str = "run") -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/tiers/{label}-{uuid.uuid4().hex[:12]}"

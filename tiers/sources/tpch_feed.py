@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiers.operators.joins import broadcast_if_small
-from tiers.session import checkpoint_root
+from tiers.session import checkpoint_root, session_key
 
 # The rules that make the feed dirty (first match wins per column).
 NULL_ID_EVERY = 1009        # l_orderkey % 1009 = 0 → order_id NULL
@@ -45,7 +45,7 @@ def _every(c: str, k: int) -> Column:
     return F.pmod(F.col(c), F.lit(k)) == 0
 
 
-_FEEDS: dict[tuple[int, str, bool], DataFrame] = {}
+_FEEDS: dict[tuple, DataFrame] = {}
 _LOCK = threading.Lock()
 
 
@@ -59,9 +59,9 @@ def orders_feed(spark: SparkSession, sf_dir: str, materialize: bool = True) -> D
     pay for their own work only, and the scan splits over as many files as the
     join produced.  ``materialize=False`` returns the lazy join plan instead.
     """
-    key = (id(spark), sf_dir.rstrip("/"), materialize)
+    key = (*session_key(spark), sf_dir.rstrip("/"), materialize)
     with _LOCK:
-        if key not in _FEEDS:
+        if key not in _FEEDS or _FEEDS[key].sparkSession is not spark:
             feed = build_orders_feed(spark, sf_dir)
             if materialize:
                 path = f"{checkpoint_root(spark)}/tiers/feed-{uuid.uuid4().hex[:12]}"
