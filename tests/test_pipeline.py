@@ -144,3 +144,10 @@ def test_two_environments_same_code(spark, env, workdir):
     assert dev_report.rows[config.SILVER] == 100 and prod_report.rows[config.SILVER] == 250
     assert spark.table(env.table(config.BRONZE)).count() == 100
     assert spark.table(prod.table(config.BRONZE)).count() == 250
+
+
+def test_refresh_without_swap(spark, env):
+    e = env.with_(swap_overwrite=False)
+    pipeline.bootstrap(spark, e, landing_rows=synthetic_orders(spark, 50, seed=4))
+    assert pipeline.run(spark, e).rows[config.SILVER] == 50
+    assert pipeline.run(spark, e, parallel_gold=False).rows[config.SILVER] == 50

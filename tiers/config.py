@@ -23,7 +23,9 @@ class Env:
     the classpath, which gives atomic overwrites).  ``landing_root`` is any Hadoop-FS
     path; the landing folder is ``{landing_root}/{catalog}/{schema}/raw_data`` unless
     ``landing_path`` is given.  ``schema_location`` places the schema's managed tables
-    (default: the warehouse dir).
+    (default: the warehouse dir).  ``swap_overwrite`` chooses how layer tables are
+    replaced (``None``: staged write + rename swap for non-Delta formats; see
+    ``tiers.sources.tables.overwrite_table``).
     """
 
     schema: str = "sales_lab"
@@ -34,6 +36,7 @@ class Env:
     run_date: str = DEFAULT_RUN_DATE
     schema_location: str | None = None
     path_glob: str | None = None
+    swap_overwrite: bool | None = None
 
     def table(self, name: str) -> str:
         return f"{self.catalog}.{self.schema}.{name}"

@@ -67,24 +67,25 @@ def run_preflight(spark: SparkSession, env: Env, strict_header: bool = False, co
 
 
 def run_bronze(spark: SparkSession, env: Env, strict_header: bool = False) -> int:
-    return overwrite_table(bronze(spark, env, strict_header), env.table(config.BRONZE), env.fmt)
+    return overwrite_table(bronze(spark, env, strict_header), env.table(config.BRONZE), env.fmt,
+                           swap=env.swap_overwrite)
 
 
 def run_silver(spark: SparkSession, env: Env, mode: str = "lenient", bronze_rows: int | None = None) -> dict:
     """Write silver from the bronze table; returns bronze/silver rows, duplicates, quality drops."""
     rows, counters = silver.silver_observed(spark.table(env.table(config.BRONZE)), mode, bronze_rows=bronze_rows)
-    overwrite_table(rows, env.table(config.SILVER), env.fmt)
+    overwrite_table(rows, env.table(config.SILVER), env.fmt, swap=env.swap_overwrite)
     return counters.report()
 
 
 def run_gold_sales(spark: SparkSession, env: Env, exact_money: bool = False) -> int:
     frame = gold.sales_by_region(spark.table(env.table(config.SILVER)), exact_money)
-    return overwrite_table(frame, env.table(config.GOLD_SALES), env.fmt)
+    return overwrite_table(frame, env.table(config.GOLD_SALES), env.fmt, swap=env.swap_overwrite)
 
 
 def run_gold_products(spark: SparkSession, env: Env, exact_money: bool = False) -> int:
     frame = gold.top_products(spark.table(env.table(config.SILVER)), exact_money)
-    return overwrite_table(frame, env.table(config.GOLD_PRODUCTS), env.fmt)
+    return overwrite_table(frame, env.table(config.GOLD_PRODUCTS), env.fmt, swap=env.swap_overwrite)
 
 
 def run(spark: SparkSession, env: Env, mode: str = "lenient", strict_header: bool = False,
