@@ -30,7 +30,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--catalog", default="spark_catalog")
     ap.add_argument("--schema", default="sales_lab")
     ap.add_argument("--run-date", default=DEFAULT_RUN_DATE)
-    ap.add_argument("--landing-root", default="/tmp/tiers-landing")
+    ap.add_argument("--landing-root", default=None, help="shared root of the landing folders")
     ap.add_argument("--landing-path", default=None, help="explicit landing folder (overrides the root)")
     ap.add_argument("--path-glob", default=None, help="only ingest files matching this glob, e.g. *.csv")
     ap.add_argument("--format", default="parquet", dest="fmt")

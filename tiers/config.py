@@ -20,8 +20,8 @@ class Env:
 
     ``catalog`` defaults to Spark's session catalog, whose namespaces are single-part.
     ``fmt`` is the table format (``parquet`` everywhere; ``delta`` where its jar is on
-    the classpath, which gives atomic overwrites).  ``landing_root`` is any Hadoop-FS
-    path; the landing folder is ``{landing_root}/{catalog}/{schema}/raw_data`` unless
+    the classpath, which gives atomic overwrites).  ``landing_root`` is any shared Hadoop-FS
+    path (no default: a machine-local folder would not be visible to executors); the landing folder is ``{landing_root}/{catalog}/{schema}/raw_data`` unless
     ``landing_path`` is given.  ``schema_location`` places the schema's managed tables
     (default: the warehouse dir).  ``swap_overwrite`` chooses how layer tables are
     replaced (``None``: staged write + rename swap for non-Delta formats; see
@@ -30,7 +30,7 @@ class Env:
 
     schema: str = "sales_lab"
     catalog: str = "spark_catalog"
-    landing_root: str = "/tmp/tiers-landing"
+    landing_root: str | None = None
     landing_path: str | None = None
     fmt: str = "parquet"
     run_date: str = DEFAULT_RUN_DATE
@@ -49,6 +49,8 @@ class Env:
     def landing(self) -> str:
         if self.landing_path:
             return self.landing_path
+        if not self.landing_root:
+            raise ValueError("Env needs landing_root or landing_path (a shared filesystem path)")
         return f"{self.landing_root.rstrip('/')}/{self.catalog}/{self.schema}/{LANDING_FOLDER}"
 
     def with_schema(self, schema: str) -> "Env":
