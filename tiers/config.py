@@ -20,9 +20,10 @@ class Env:
 
     ``catalog`` defaults to Spark's session catalog, whose namespaces are single-part.
     ``fmt`` is the table format (``parquet`` everywhere; ``delta`` where its jar is on
-    the classpath, which gives atomic overwrites).  ``landing_root`` is any shared Hadoop-FS
-    path (no default: a machine-local folder would not be visible to executors); the landing folder is ``{landing_root}/{catalog}/{schema}/raw_data`` unless
-    ``landing_path`` is given.  ``schema_location`` places the schema's managed tables
+    the classpath, which gives atomic overwrites).  ``landing_root`` is any shared
+    Hadoop-FS path (no default: a machine-local folder would not be visible to
+    executors); the landing folder is ``{landing_root}/{catalog}/{schema}/raw_data``
+    unless ``landing_path`` is given.  ``schema_location`` places the schema's managed tables
     (default: the warehouse dir).  ``swap_overwrite`` chooses how layer tables are
     replaced (``None``: staged write + rename swap for non-Delta formats; see
     ``tiers.sources.tables.overwrite_table``).
