@@ -28,7 +28,12 @@ def survivor_order(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] |
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
-    """One row per distinct ``keys``: the first under ``order_by`` (default: all other columns)."""
+    """One row per distinct ``keys``: the first under ``order_by`` (default: all other columns).
+
+    The survivor is reproducible when ``order_by`` covers every non-key column (or
+    the columns it leaves out are functions of those it covers, as in silver);
+    rows tied on ``order_by`` but different elsewhere are a free choice.
+    """
     w = Window.partitionBy(*keys).orderBy(*survivor_order(df, keys, order_by))
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 

@@ -1,8 +1,9 @@
 """Preflight check of the landing folder: report and gate.
 
 Two Spark scans: the file inventory (metadata only) and a row count (or a
-row-exists probe) over the landing CSVs.  Both work on any Hadoop filesystem.  The report is one row;
-``require`` raises with the reason so that nothing downstream runs.
+row-exists probe) over the landing CSVs.  Both work on any Hadoop filesystem.
+The report is one row; ``require`` raises with the reason so that nothing
+downstream runs.
 """
 
 from __future__ import annotations
