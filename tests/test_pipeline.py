@@ -101,9 +101,9 @@ def test_cli_steps_in_job_order(spark, env, caplog):
     import logging
 
     from tiers import cli
-    pipeline.bootstrap(spark, env, landing_rows=synthetic_orders(spark, 120, seed=5))
     args = ["--schema", env.schema, "--landing-path", env.landing]
     with caplog.at_level(logging.INFO, logger="tiers"):
+        assert cli.main(["bootstrap", *args, "--synthetic-rows", "120", "--seed", "5"], spark=spark) == 0
         for step in ("preflight", "bronze", "silver", "gold-sales", "gold-products"):
             assert cli.main([step, *args], spark=spark) == 0
     text = caplog.text

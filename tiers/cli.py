@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 
 from tiers.config import DEFAULT_RUN_DATE, Env
 from tiers.plans import dashboard, pipeline
+from tiers.sources.synthetic import synthetic_orders
 
 log = logging.getLogger("tiers")
 
@@ -37,6 +38,9 @@ def parse(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--mode", default="lenient", choices=("lenient", "strict"))
     ap.add_argument("--strict-header", action="store_true")
     ap.add_argument("--exact-money", action="store_true")
+    ap.add_argument("--synthetic-rows", type=int, default=0,
+                    help="bootstrap: also write this many synthetic orders as the landing CSV")
+    ap.add_argument("--seed", type=int, default=42)
     return ap.parse_args(argv)
 
 
@@ -48,8 +52,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
               landing_path=args.landing_path, fmt=args.fmt, run_date=args.run_date, path_glob=args.path_glob)
     step = args.step
     if step == "bootstrap":
-        for t in pipeline.bootstrap(spark, env):
+        rows = synthetic_orders(spark, args.synthetic_rows, args.seed) if args.synthetic_rows else None
+        for t in pipeline.bootstrap(spark, env, landing_rows=rows):
             log.info("table ready: %s", t)
+        if rows is not None:
+            log.info("landing written: %s (%s synthetic orders)", env.landing, args.synthetic_rows)
     elif step == "preflight":
         r = pipeline.run_preflight(spark, env, args.strict_header, count="exact", size_to_input=False)
         log.info("preflight passed: %s CSV file(s), %s rows, %s columns in %s (run date %s)",
