@@ -73,3 +73,47 @@ def test_gold_hot_group_is_combined_map_side(spark):
     records = shuffle_records(gold.sales_by_region(rows, sort=False))
     # (keys, customer) then keys: bounded by distinct groups × map tasks, not by rows
     assert all(r <= 6 * 7 * MAP_TASKS for r in records), records
+
+
+def _scan_rows(df) -> int:
+    df.collect()
+    rows = []
+
+    def walk(node):
+        if "QueryStage" in node.nodeName():
+            walk(node.plan())
+            return
+        if node.nodeName().startswith("Scan"):
+            rows.append(_metrics(node)["numOutputRows"])
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    plan = df._jdf.queryExecution().executedPlan()
+    walk(plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan)
+    return sum(rows)
+
+
+def test_clustered_silver_lets_gold_skip_row_groups(spark, env):
+    from tiers import config
+    from tiers.plans import pipeline
+    from tiers.sources.synthetic import synthetic_orders
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    before = hadoop.get("parquet.block.size")
+    hadoop.set("parquet.block.size", str(32 * 1024))  # many small row groups
+    try:
+        scanned = {}
+        for cluster in ((), ("status",)):
+            e = env.with_(silver_cluster_by=cluster)
+            pipeline.bootstrap(spark, e, landing_rows=synthetic_orders(spark, 60_000, seed=11))
+            pipeline.run(spark, e)
+            silver_rows = spark.table(e.table(config.SILVER)).count()
+            scanned[cluster] = _scan_rows(gold.sales_by_region(spark.table(e.table(config.SILVER)), sort=False))
+        completed = spark.table(env.table(config.SILVER)).filter("status = 'completed'").count()
+        assert scanned[()] == silver_rows                     # unclustered: every row group is read
+        assert completed <= scanned[("status",)] < 0.8 * silver_rows  # clustered: other statuses skipped
+    finally:
+        if before is None:
+            hadoop.unset("parquet.block.size")
+        else:
+            hadoop.set("parquet.block.size", before)

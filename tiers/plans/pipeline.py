@@ -71,9 +71,19 @@ def run_bronze(spark: SparkSession, env: Env, strict_header: bool = False) -> in
                            swap=env.swap_overwrite)
 
 
+def silver_write_frame(spark: SparkSession, env: Env, mode: str = "lenient",
+                       bronze_rows: int | None = None) -> tuple[DataFrame, silver.SilverCounters]:
+    """What the silver step writes: silver rows from the bronze table with their counters,
+    each file clustered by ``env.silver_cluster_by``."""
+    rows, counters = silver.silver_observed(spark.table(env.table(config.BRONZE)), mode, bronze_rows=bronze_rows)
+    if env.silver_cluster_by:
+        rows = rows.sortWithinPartitions(*env.silver_cluster_by)
+    return rows, counters
+
+
 def run_silver(spark: SparkSession, env: Env, mode: str = "lenient", bronze_rows: int | None = None) -> dict:
     """Write silver from the bronze table; returns bronze/silver rows, duplicates, quality drops."""
-    rows, counters = silver.silver_observed(spark.table(env.table(config.BRONZE)), mode, bronze_rows=bronze_rows)
+    rows, counters = silver_write_frame(spark, env, mode, bronze_rows)
     overwrite_table(rows, env.table(config.SILVER), env.fmt, swap=env.swap_overwrite)
     return counters.report()
 
