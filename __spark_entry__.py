@@ -95,6 +95,17 @@ def q_landing_inventory(spark, sf_dir):
     return landing_inventory(spark, env.landing).select("file_name", "length")
 
 
+def q_landing_totals(spark, sf_dir):
+    """The landing CSV (K5) as the inventory (S5) sees it: file count and total bytes.
+
+    Byte-exact: every landing value is ASCII and needs no CSV quoting, so the
+    total is the header per file plus each row's fields, commas and newline."""
+    env = _scratch_env(spark, "totals")
+    write_csv(orders_feed(spark, sf_dir), env.landing, num_files=3)
+    return landing_inventory(spark, env.landing).agg(
+        F.count(F.lit(1)).alias("csv_files"), F.sum("length").alias("csv_bytes"))
+
+
 def q_preflight_report(spark, sf_dir):
     env = _scratch_env(spark, "preflight")
     write_csv(orders_feed(spark, sf_dir), env.landing, num_files=3)

