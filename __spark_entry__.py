@@ -142,12 +142,24 @@ def q_silver_typed(spark, sf_dir):
     return _typed(spark, sf_dir)
 
 
+def q_silver_typed_strict(spark, sf_dir):
+    """Strict casts (plain ``cast`` / ``to_date``) over the castable feed: they succeed and
+    agree with SQL's strict casts (over the full feed they fail the job under ANSI)."""
+    return silver.typed(orders_feed(spark, sf_dir, castable=True), mode="strict")
+
+
 # ---- dedup and filters ------------------------------------------------------------------------
 
 def q_dedup_orders(spark, sf_dir):
     return _dedup(spark, sf_dir)
 
 
+def q_dedup_faithful_keys(spark, sf_dir):
+    """``dropDuplicates(order_id)`` as the original pipeline ran it: which survivor is kept
+    is arbitrary, the set of keys (one NULL group included) is not."""
+    return silver.dedup_orders(_typed(spark, sf_dir), deterministic=False).select("order_id")
+
+
 def q_filter_not_null(spark, sf_dir):
     return _dedup(spark, sf_dir).filter(predicates.key_not_null("order_id"))
 

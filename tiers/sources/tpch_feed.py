@@ -49,7 +49,8 @@ _FEEDS: dict[tuple, DataFrame] = {}
 _LOCK = threading.Lock()
 
 
-def orders_feed(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+def orders_feed(spark: SparkSession, sf_dir: str, materialize: bool = True,
+                castable: bool = False) -> DataFrame:
     """The 9-column all-string orders feed over the tables in ``sf_dir``.
 
     The feed plays the landing data, so by default it is produced once per
@@ -58,11 +59,14 @@ def orders_feed(spark: SparkSession, sf_dir: str, materialize: bool = True) -> D
     survives executor loss), and every caller reads that.  Downstream steps then
     pay for their own work only, and the scan splits over as many files as the
     join produced.  ``materialize=False`` returns the lazy join plan instead.
+    ``castable=True`` leaves out the two rules that produce unparsable values
+    (``n/a`` quantities, ``31/12/1999`` dates), so strict-mode casts succeed; the
+    other faults (NULL ids, zero quantities, negative prices, unknown statuses) stay.
     """
-    key = (*session_key(spark), sf_dir.rstrip("/"), materialize)
+    key = (*session_key(spark), sf_dir.rstrip("/"), materialize, castable)
     with _LOCK:
         if key not in _FEEDS or _FEEDS[key].sparkSession is not spark:
-            feed = build_orders_feed(spark, sf_dir)
+            feed = build_orders_feed(spark, sf_dir, castable)
             if materialize:
                 path = f"{checkpoint_root(spark)}/tiers/feed-{uuid.uuid4().hex[:12]}"
                 feed.write.parquet(path)
@@ -71,7 +75,7 @@ def orders_feed(spark: SparkSession, sf_dir: str, materialize: bool = True) -> D
         return _FEEDS[key]
 
 
-def build_orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_orders_feed(spark: SparkSession, sf_dir: str, castable: bool = False) -> DataFrame:
     """Build the feed plan (uncached); see ``orders_feed``."""
     lineitem = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
@@ -105,13 +109,15 @@ def build_orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("CUST-"), F.col("o_custkey").cast("string")).alias("customer_id"),
         F.col("p_name").alias("product"),
         F.col("p_type").alias("category"),
-        F.when(_every("l_orderkey", BAD_QUANTITY_EVERY), F.lit("n/a"))
-         .when(F.col("l_quantity") >= ZERO_QUANTITY_FROM, F.lit("0"))
-         .otherwise(F.col("l_quantity").cast("int").cast("string")).alias("quantity"),
+        (F.when(F.col("l_quantity") >= ZERO_QUANTITY_FROM, F.lit("0")) if castable
+         else F.when(_every("l_orderkey", BAD_QUANTITY_EVERY), F.lit("n/a"))
+         .when(F.col("l_quantity") >= ZERO_QUANTITY_FROM, F.lit("0")))
+        .otherwise(F.col("l_quantity").cast("int").cast("string")).alias("quantity"),
         F.when(_every("l_partkey", BAD_PRICE_EVERY), F.lit("-1.00"))
          .otherwise(F.col("l_extendedprice").cast("decimal(12,2)").cast("string")).alias("unit_price"),
-        F.when(_every("l_orderkey", BAD_DATE_EVERY), F.lit("31/12/1999"))
-         .otherwise(F.col("o_orderdate").cast("date").cast("string")).alias("order_date"),
+        (F.col("o_orderdate").cast("date").cast("string") if castable
+         else F.when(_every("l_orderkey", BAD_DATE_EVERY), F.lit("31/12/1999"))
+         .otherwise(F.col("o_orderdate").cast("date").cast("string"))).alias("order_date"),
         F.col("r_name").alias("region"),
         status.alias("status"),
     )

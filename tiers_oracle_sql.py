@@ -116,7 +116,27 @@ summary AS (
   FROM gold_sales
 )"""
 
-_STAGES = {"feed": [FEED], "typed": [FEED, TYPED], "dedup": [FEED, TYPED, DEDUP],
+FEED_CASTABLE = (FEED.replace("""    CASE WHEN l.l_orderkey % 997 = 0 THEN 'n/a'
+         WHEN l.l_quantity >= 50 THEN '0'""", """    CASE WHEN l.l_quantity >= 50 THEN '0'""")
+                 .replace("""    CASE WHEN l.l_orderkey % 991 = 0 THEN '31/12/1999'
+         ELSE CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) END AS order_date,""",
+                          """    CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS order_date,"""))
+
+TYPED_STRICT = """
+typed0 AS (
+  SELECT order_id, customer_id, product, category,
+         CAST(quantity AS INTEGER) AS quantity,
+         CAST(unit_price AS DOUBLE) AS unit_price,
+         CAST(strptime(order_date, '%Y-%m-%d') AS DATE) AS order_date,
+         region, status
+  FROM feed
+),
+typed AS (
+  SELECT *, quantity * unit_price AS total_amount, strftime(order_date, '%Y-%m') AS year_month
+  FROM typed0
+)"""
+
+_STAGES = {"feed": [FEED], "typed_strict": [FEED_CASTABLE, TYPED_STRICT], "typed": [FEED, TYPED], "dedup": [FEED, TYPED, DEDUP],
            "silver": [FEED, TYPED, DEDUP, SILVER], "gold": [FEED, TYPED, DEDUP, SILVER, GOLD],
            "summary": [FEED, TYPED, DEDUP, SILVER, GOLD, SUMMARY]}
 
@@ -203,6 +223,8 @@ SELECT order_id, order_date AS order_date_raw,
         "total_amount": chain("typed", "SELECT order_id, quantity, unit_price, total_amount FROM typed"),
         "silver_typed": chain("typed", "SELECT * FROM typed"),
         "dedup_orders": chain("dedup", "SELECT * FROM dedup"),
+        "dedup_faithful_keys": chain("feed", "SELECT DISTINCT order_id FROM feed"),
+        "silver_typed_strict": chain("typed_strict", "SELECT * FROM typed"),
         "filter_not_null": chain("dedup", "SELECT * FROM dedup WHERE order_id IS NOT NULL"),
         "filter_positive": chain("dedup", "SELECT * FROM dedup WHERE quantity > 0 AND unit_price > 0"),
         "filter_status_in": chain("dedup", """
