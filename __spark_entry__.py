@@ -316,6 +316,18 @@ def q_widget_sql_total_revenue(spark, sf_dir):
     return dashboard.widget_from_sql(spark, _refreshed_env(spark, sf_dir), "total_revenue")
 
 
+def q_dataset_sql_region_sales(spark, sf_dir):
+    return dashboard.dataset_sql(spark, _refreshed_env(spark, sf_dir), "region_sales")
+
+
+def q_widget_sql_total_orders(spark, sf_dir):
+    return dashboard.widget_from_sql(spark, _refreshed_env(spark, sf_dir), "total_orders")
+
+
+def q_widget_sql_avg_order_value(spark, sf_dir):
+    return dashboard.widget_from_sql(spark, _refreshed_env(spark, sf_dir), "avg_order_value")
+
+
 def q_widget_sql_top_products(spark, sf_dir):
     return dashboard.widget_from_sql(spark, _refreshed_env(spark, sf_dir), "top_products")
 

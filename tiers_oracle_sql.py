@@ -258,6 +258,11 @@ FROM gold_products ORDER BY total_revenue DESC"""),
         "dataset_sql_top_products": chain("gold", """
 SELECT product, category, total_revenue, total_units_sold, order_count, avg_unit_price
 FROM gold_products ORDER BY total_revenue DESC"""),
+        "dataset_sql_region_sales": chain("gold", """
+SELECT region, year_month, total_revenue, order_count, avg_order_value, unique_customers
+FROM gold_sales ORDER BY region NULLS FIRST, year_month NULLS FIRST"""),
+        "widget_sql_total_orders": chain("summary", 'SELECT CAST(SUM(total_orders) AS BIGINT) AS "sum(total_orders)" FROM summary'),
+        "widget_sql_avg_order_value": chain("summary", 'SELECT SUM(avg_order_value) AS "sum(avg_order_value)" FROM summary'),
         "widget_sql_total_revenue": chain("summary", 'SELECT SUM(total_revenue) AS "sum(total_revenue)" FROM summary'),
         "widget_sql_top_products": chain("gold", """
 SELECT product, category, total_revenue, total_units_sold FROM gold_products"""),
