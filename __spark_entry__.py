@@ -145,7 +145,8 @@ def q_silver_typed(spark, sf_dir):
 def q_silver_typed_strict(spark, sf_dir):
     """Strict casts (plain ``cast`` / ``to_date``) over the castable feed: they succeed and
     agree with SQL's strict casts (over the full feed they fail the job under ANSI)."""
-    return silver.typed(orders_feed(spark, sf_dir, castable=True), mode="strict")
+    # only this query reads the castable variant: run its joins in the same job, no materialization
+    return silver.typed(orders_feed(spark, sf_dir, materialize=False, castable=True), mode="strict")
 
 
 # ---- dedup and filters ------------------------------------------------------------------------
