@@ -1,4 +1,4 @@
-"""Command line for job tasks: ``spark-submit -m tiers <step> --schema ... --landing-root ...``.
+"""Command line for job tasks: ``spark-submit --py-files tiers.zip tiers_job.py <step> --schema ...``.
 
 Each step is one task of the daily refresh and reads the previous layer's table,
 so an orchestrator can run, retry and fan out steps independently
