@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 from tiers.config import DEFAULT_RUN_DATE, Env
 from tiers.plans import dashboard, pipeline
 from tiers.sources.synthetic import synthetic_orders
+from tiers.sources.tables import create_schema
 
 log = logging.getLogger("tiers")
 
@@ -51,6 +52,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     env = Env(schema=args.schema, catalog=args.catalog, landing_root=args.landing_root,
               landing_path=args.landing_path, fmt=args.fmt, run_date=args.run_date, path_glob=args.path_glob)
     step = args.step
+    if step in ("bronze", "silver", "gold-sales", "gold-products", "refresh"):
+        create_schema(spark, env)  # idempotent; a step may run first in a fresh session
     if step == "bootstrap":
         rows = synthetic_orders(spark, args.synthetic_rows, args.seed) if args.synthetic_rows else None
         for t in pipeline.bootstrap(spark, env, landing_rows=rows):
