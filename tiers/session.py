@@ -53,18 +53,32 @@ def checkpoint_root(spark: SparkSession) -> str:
     a cluster session without it is a configuration error, because a
     machine-local folder is not visible to other executors.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: configure a shared folder (HDFS/S3/ABFS) for this cluster")
     root = tempfile.mkdtemp(prefix="tiers-ckpt-")
+    if sc is None:  # a remote (Connect) session to a local server: remember it in the session conf
+        spark.conf.set("spark.checkpoint.dir", root)
+        return root
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir().rstrip("/") if sc.getCheckpointDir() else root
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 # Target input bytes per shuffle partition when sizing shuffles from the input size.
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
@@ -91,7 +105,10 @@ def size_shuffles(spark: SparkSession, input_bytes: int,
 def session_key(spark: SparkSession) -> tuple[str, int]:
     """Identity of a live session for per-session caches: the application id (new for
     every SparkContext) and the session object (several sessions can share a context)."""
-    return spark.sparkContext.applicationId, id(spark)
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId, id(spark)
+    return getattr(spark, "session_id", "") or spark.conf.get("spark.app.id", ""), id(spark)
 
 
 def scratch_dir(spark: SparkSession, label: str = "run") -> str:
