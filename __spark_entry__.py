@@ -260,8 +260,8 @@ def _refreshed_env(spark: SparkSession, sf_dir: str) -> Env:
     key = (*session_key(spark), sf_dir.rstrip("/"))
     with _REFRESH_LOCK:
         if key not in _REFRESHED:
-            env = _scratch_env(spark, "dash")
-            pipeline.bootstrap(spark, env, landing_rows=orders_feed(spark, sf_dir))
+            env = _scratch_env(spark, "dash").with_(landing_path=_landing_env(spark, sf_dir).landing)
+            pipeline.bootstrap(spark, env)
             pipeline.run(spark, env, exact_money=EXACT)
             _REFRESHED[key] = env
         return _REFRESHED[key]
