@@ -228,12 +228,15 @@ def q_gold_products_table(spark, sf_dir):
 
 
 def q_schema_replace(spark, sf_dir):
-    """A table holding bronze-shaped rows (9 STRING) is overwritten with silver (11 typed)."""
+    """A table holding the bronze rows (9 STRING) is overwritten with the silver rows
+    (11 typed) of the session's refresh: the stored schema is replaced (K1)."""
+    stored = _refreshed_env(spark, sf_dir)
     env = _scratch_env(spark, "schema")
     target = env.table("orders_layer")
-    feed = orders_feed(spark, sf_dir)
-    overwrite_table(feed, target, env.fmt)
-    overwrite_table(silver.silver(feed), target, env.fmt)
+    overwrite_table(spark.table(stored.table(config.BRONZE)), target, env.fmt)
+    if len(spark.table(target).columns) != len(LANDING_COLUMNS):
+        raise RuntimeError("the first write did not store the bronze schema")
+    overwrite_table(spark.table(stored.table(config.SILVER)), target, env.fmt)
     return spark.table(target)
 
 
