@@ -374,6 +374,21 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
 
+# The training-data operators and their pipeline, if that part of the library is installed.
+try:
+    import corpus_pipeline
+    from tiers.llm import oracles as _llm_oracles
+    from tiers.llm import queries as _llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tiers.llm"):
+        raise
+    _LLM_SQL: dict[str, str] = {}
+else:
+    _QUERIES |= {**_llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
+    _LLM_SQL = dict(_llm_oracles.ORACLES)
+    if corpus_pipeline.ORACLE_SQL:
+        _LLM_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: gold sales by region × month over the sf0.001 tables."""
@@ -387,4 +402,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from tiers_oracle_sql import statements
 
-    return {k: v for k, v in statements().items() if k in _QUERIES}
+    return {k: v for k, v in (statements() | _LLM_SQL).items() if k in _QUERIES}
