@@ -13,8 +13,8 @@ OP1 = f"""
 WITH RECURSIVE v AS (
     SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
     WHERE label IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-      AND list_sum(list_transform(CAST(embedding AS DOUBLE[]), x -> x * x)) > 0),
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x)) > 0),
   link AS (SELECT a.id AS a, b.id AS b FROM v a JOIN v b ON a.label = b.label AND a.id <> b.id
            AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
 {_COMPONENTS},
@@ -44,19 +44,19 @@ FROM documents d LEFT JOIN size z ON z.id = d.doc_id LEFT JOIN component c ON c.
 
 OP9 = """
 WITH l AS (
-    SELECT doc_id AS d, i - 1 AS at, parts[i] AS line,
+    SELECT doc_id AS d, i - 1 AS ln, parts[i] AS line,
            greatest(1, len(regexp_extract_all(parts[i], '[^\\x20\\x09-\\x0D]+'))) AS words
     FROM (SELECT doc_id, parts, unnest(generate_series(1, len(parts))) AS i
           FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text <> ''))),
-  same AS (SELECT p.d AS pd, q.d AS qd, p.at AS at, p.at - q.at AS shift, p.words
-           FROM l p JOIN l q ON p.line = q.line AND (q.d < p.d OR (q.d = p.d AND q.at < p.at))),
-  run AS (SELECT *, at - row_number() OVER (PARTITION BY pd, qd, shift ORDER BY at) AS island FROM same),
-  cut AS (SELECT DISTINCT pd AS d, at FROM (
+  same AS (SELECT p.d AS pd, q.d AS qd, p.ln AS ln, p.ln - q.ln AS shift, p.words
+           FROM l p JOIN l q ON p.line = q.line AND (q.d < p.d OR (q.d = p.d AND q.ln < p.ln))),
+  run AS (SELECT *, ln - row_number() OVER (PARTITION BY pd, qd, shift ORDER BY ln) AS island FROM same),
+  cut AS (SELECT DISTINCT pd AS d, ln FROM (
             SELECT *, sum(words) OVER (PARTITION BY pd, qd, shift, island) AS total FROM run) WHERE total >= 50),
-  per AS (SELECT l.d, count(*) AS n_lines, count(cut.at) AS n_cut,
-                 coalesce(string_agg(CAST(cut.at AS VARCHAR), ',' ORDER BY l.at), '') AS cut_lines,
-                 coalesce(string_agg(l.line, chr(10) ORDER BY l.at) FILTER (WHERE cut.at IS NULL), '') AS kept
-          FROM l LEFT JOIN cut ON cut.d = l.d AND cut.at = l.at GROUP BY l.d)
+  per AS (SELECT l.d, count(*) AS n_lines, count(cut.ln) AS n_cut,
+                 coalesce(string_agg(CAST(cut.ln AS VARCHAR), ',' ORDER BY l.ln), '') AS cut_lines,
+                 coalesce(string_agg(l.line, chr(10) ORDER BY l.ln) FILTER (WHERE cut.ln IS NULL), '') AS kept
+          FROM l LEFT JOIN cut ON cut.d = l.d AND cut.ln = l.ln GROUP BY l.d)
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_cut, 0) AS n_cut, coalesce(cut_lines, '') AS cut_lines,
        sha256(coalesce(kept, '')) AS text_sha256
 FROM documents d LEFT JOIN per ON per.d = d.doc_id
