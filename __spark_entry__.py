@@ -379,7 +379,7 @@ try:
     import corpus_pipeline
     from tiers.llm import oracles as _llm_oracles
     from tiers.llm import queries as _llm_queries
-except ModuleNotFoundError as missing:
+except ImportError as missing:
     if missing.name not in ("corpus_pipeline", "tiers.llm"):
         raise
     _LLM_SQL: dict[str, str] = {}
