@@ -27,7 +27,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiers.llm.common import row_blocks
+from tiers.llm.common import row_blocks, ship
 
 LEAF_CHARS = 1024     # spans up to this length are encoded directly
 LEAF_BYTES = 512      # matches up to this length are merged directly
@@ -172,6 +172,7 @@ def tokenize(docs: DataFrame, ranks: str, pattern: str | None = None, text_col:
     A column of ``docs`` called ``ids_col`` is replaced.
     """
     pattern = pattern or _default_pattern()
+    ship(docs.sparkSession)
 
     @F.pandas_udf("array<int>")
     def encode(texts):
@@ -184,6 +185,7 @@ def tokenize(docs: DataFrame, ranks: str, pattern: str | None = None, text_col:
 def detokenize(docs: DataFrame, ranks: str, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
     """``docs`` with ``out_col``: the bytes of the ids in ``ids_col`` (null ids: no bytes)."""
     pattern = _default_pattern()
+    ship(docs.sparkSession)
 
     @F.pandas_udf("binary")
     def decode(ids):
@@ -205,6 +207,7 @@ def token_digests(docs: DataFrame, ranks: str, pattern: str | None = None, id_co
     so that no id list leaves its task."""
     pattern = pattern or _default_pattern()
     kind = docs.schema[id_col].dataType.simpleString()
+    ship(docs.sparkSession)
 
     def run(batches):
         c = codec(_path(ranks), pattern)

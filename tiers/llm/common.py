@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +16,28 @@ from pyspark.sql import functions as F
 from tiers.session import scratch_dir
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the session's executors, once per application, so that their Python
+    workers need no copy of it (as ``spark-submit --py-files`` does)."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="tiers-package-"), "tiers_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -36,6 +60,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, label: str):
+        ship(spark)
         self.spark, self.root = spark, scratch_dir(spark, f"llm-{label}")
         self._n = 0
         self._paths: dict[int, str] = {}

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tiers.llm.common import row_blocks
+from tiers.llm.common import row_blocks, ship
 
 UNKNOWN = "und"
 LEVEL = 6
@@ -81,6 +81,7 @@ def identify(spark: SparkSession, docs: DataFrame, dictionaries: dict[str, bytes
     ``score`` weighs the chosen language's output against the others' (0 to 1); ``margin`` is the
     runner-up's relative excess; below ``min_margin`` the prediction is not ``accepted``.
     """
+    ship(spark)
     shared = spark.sparkContext.broadcast(dictionaries)  # bounded by the fit's parameters
     kind = docs.schema[id_col].dataType.simpleString()
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiers.llm.common import row_blocks
+from tiers.llm.common import row_blocks, ship
 
 LEAF_CUT, SECTION_CUT = 6, 8
 DIGITS = 8  # hexadecimal digits of a leaf's digest
@@ -99,6 +99,8 @@ def differences(a: str, b: str) -> list[tuple[int, int]]:
 
 def fingerprints(docs: DataFrame, text_col: str = "text", out_col: str = "fingerprint") -> DataFrame:
     """``docs`` with ``out_col``, the fingerprint of each row's whole text."""
+    ship(docs.sparkSession)
+
     @F.pandas_udf("string")
     def run(texts):
         return texts.map(fingerprint, na_action=None)
@@ -124,6 +126,7 @@ def edit_fingerprints(spark: SparkSession, docs: DataFrame, id_col: str = "doc_i
     Texts are shuffled once: rows are dealt to ranges of ids, and each range's first row also
     goes to the range before it, as the neighbour of that range's last row.
     """
+    ship(spark)
     ids = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("key"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = sorted({int(x) for x in ids.approxQuantile("key", [i / parts for i in range(1, parts)], 0.2 / parts)}) \

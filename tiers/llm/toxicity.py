@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tiers.llm.common import row_blocks
+from tiers.llm.common import row_blocks, ship
 
 PER_CLASS, BLOCK, NEIGHBOURS = 2048, 64, 32
 PREFIXES = (3, 4, 5)
@@ -166,6 +166,7 @@ def fit_index(labelled: DataFrame, per_class: int = PER_CLASS, min_docs: int = 5
     The driver gets at most ``max_features`` features and ``2 * per_class`` sparse vectors.  With
     one class or none the index is empty and every score is the training rate (0 without rows).
     """
+    ship(labelled.sparkSession)
     rows = labelled.where("label is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", (F.col("label") == 1).cast("int").alias("label"))
     n1, n = rows.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count(F.lit(1))).first()
@@ -192,6 +193,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, index: Index, id_col: str
                 text_col: str = "text") -> DataFrame:
     """``(id, score, predicted, evidence)`` per row of ``docs``; the training rate for a text
     without a feature of the index (empty and null texts too)."""
+    ship(spark)
     shared = spark.sparkContext.broadcast(index)  # bounded by the fit's sample
     kind = docs.schema[id_col].dataType.simpleString()
     near = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
@@ -212,6 +214,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, index: Index, id_col: str
 
 def score_column(spark: SparkSession, index: Index):
     """A function from a text column to its score, for filters that keep whole rows."""
+    ship(spark)
     shared = spark.sparkContext.broadcast(index)  # bounded by the fit's sample
 
     @F.pandas_udf("double")
