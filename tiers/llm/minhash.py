@@ -8,9 +8,9 @@
 3. Each bucket links its members to its smallest member only (a star), so a bucket of n
    classes gives n - 1 candidates.  Candidates are confirmed on full sets.
 4. A star alone can miss a link between two members of which one is far from the centre.
-   Members that the confirmed links leave in different components of one bucket are therefore
-   compared with each other, unless exact bounds rule the link out: the sizes, and the triangle
-   inequality of Jaccard distance over the bucket's centre.  No bucket is capped.
+   Members that the confirmed links leave outside their centre's component are therefore compared
+   with that whole component and with each other, in blocks that return links only.  No bucket
+   is capped.
 
 With 32 bands of 5 rows a pair at similarity 0.8 shares no bucket with probability 3e-6.
 Shuffled per document: 32 bucket rows, the text once (only documents in shared buckets go on)
@@ -20,6 +20,7 @@ and, for those, their shingle hashes per candidate.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,7 @@ from tiers.llm.components import connected_components
 
 BANDS, ROWS = 32, 5
 TRIES = 64
+BLOCK = 256
 
 
 class OnePermutation:
@@ -102,8 +104,6 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
 @pandas_udf(LongType())
 def shared_count(a, b):
     """Size of the intersection of two packed shingle sets."""
-    import pandas as pd
-
     return pd.Series([
         len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
         for x, y in zip(a, b)], dtype="int64")
@@ -123,6 +123,54 @@ def _linked(percent: int):
     return F.col("common") * 100 >= (F.col("n_centre") + F.col("n_member") - F.col("common")) * percent
 
 
+def _against_components(visitors: DataFrame, placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of each visitor ``(home, id)`` to the members of the component ``home`` and to its
+    other visitors, as forests that connect the same documents.
+
+    Members and visitors are dealt to blocks of ``BLOCK`` rows; a task compares one block of each
+    and returns fewer links than it has rows."""
+    inside = (visitors.select("home").distinct().join(placed, F.col("home") == F.col("component"))
+              .select("home", F.col("node").alias("id")).unionByName(visitors))
+    m_size = inside.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("m_blocks"))
+    v_size = visitors.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("v_blocks"))
+    size = m_size.join(v_size, "home")
+    deal = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    m = inside.join(size, "home").select("home", "id", F.lit(0).alias("side"), deal("m_blocks").alias("mb"),
+                                         every("v_blocks").alias("vb"))
+    v = visitors.join(size, "home").select("home", "id", F.lit(1).alias("side"), every("m_blocks").alias("mb"),
+                                           deal("v_blocks").alias("vb"))
+
+    def links(pdf: pd.DataFrame) -> pd.DataFrame:
+        m, v = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
+        found, root = [], {}
+
+        def top(x):
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        if len(m) and len(v):
+            packed = [np.frombuffer(x, np.uint64) for x in m["shingles"]]
+            size = np.array([len(x) for x in packed])
+            flat, starts = np.concatenate(packed), np.concatenate([[0], np.cumsum(size)[:-1]])
+            ids = m["id"].to_numpy()
+            for i, x in zip(v["id"].tolist(), v["shingles"]):
+                own = np.frombuffer(x, np.uint64)
+                at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+                common = np.add.reduceat((own[at] == flat).astype(np.int64), starts)
+                hit = (common * 100 >= (len(own) + size - common) * percent) & (ids != i)
+                for j in ids[hit].tolist():
+                    a, b = top(i), top(j)
+                    if a != b:
+                        root[max(a, b)] = min(a, b)
+                        found.append((j, i))
+        return pd.DataFrame(found, columns=["centre", "member"], dtype="int64")
+
+    return (m.unionByName(v).join(sets, "id").groupBy("home", "mb", "vb")
+            .applyInPandas(links, "centre long, member long"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``(id, n_shingles, component_id, kept)``, one row per row of ``docs``.
@@ -141,11 +189,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
         .dropDuplicates(["set_hash", "id"])
 
     # Buckets of two classes at least, with their smallest class as the centre.
-    rows_of = reps.select("id", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
+    rows_of = reps.select("id", F.explode("keys").alias("key"))
     centres = rows_of.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")) \
         .where("centre < last").select("key", "centre")
     buckets = scratch.save(rows_of.join(centres, "key"))
-    size_ok = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
     star = buckets.where("id <> centre").select("centre", F.col("id").alias("member")).distinct()
     wanted = buckets.select("id").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")) \
@@ -156,32 +203,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     copies = member_of.where("id <> rep").select(F.col("rep").alias("centre"), F.col("id").alias("member"))
     first = scratch.save(connected_components(spark, links, "centre", "member"))
 
-    # Members that a bucket still holds in different components.
-    distance = (1 - F.col("common") / (F.col("n_centre") + F.col("n_member") - F.col("common"))).alias("far")
-    far = tested.groupBy("centre", "member").agg(F.min(distance).alias("far"))
+    # Members that a bucket still holds outside its centre's component.
     placed = (buckets.join(first.select(F.col("node").alias("id"), "component"), "id", "left")
               .withColumn("component", F.coalesce("component", "id")))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .where("lo < hi").select("key")
-    open_ = (placed.join(mixed, "key")
-             .join(far.withColumnRenamed("member", "id"), ["centre", "id"], "left")
-             .withColumn("far", F.when(F.col("id") == F.col("centre"), 0.0).otherwise(F.coalesce("far", F.lit(0.0)))))
-    home = open_.where("id = centre").select("key", F.col("component").alias("home")).distinct()
-    a = open_.join(home, "key").where("component <> home and id <> centre").select(
-        "key", F.col("id").alias("member"), F.col("n").alias("n_member"), F.col("component").alias("ca"),
-        F.col("far").alias("fa"), "home")
-    b = open_.where("id <> centre").select(
-        "key", F.col("id").alias("other"), F.col("n").alias("n_other"), F.col("component").alias("cb"),
-        F.col("far").alias("fb"))
-    slack = 1 - percent / 100 + 1e-9
-    cross = (a.join(b, "key")
-             .where((F.col("ca") != F.col("cb"))
-                    # both outside the centre's component: each pair from one side only
-                    & ((F.col("cb") == F.col("home")) | (F.col("member") < F.col("other")))
-                    & size_ok(F.col("n_member"), F.col("n_other"))
-                    & (F.abs(F.col("fa") - F.col("fb")) <= slack))
-             .select(F.col("member").alias("centre"), F.col("other").alias("member")).distinct())
-    more = _confirm(cross, sets).where(_linked(percent)).select("centre", "member")
+    homes = placed.groupBy("key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"),
+        F.min(F.when(F.col("id") == F.col("centre"), F.col("component"))).alias("home")).where("lo < hi").select("key", "home")
+    apart = scratch.save(placed.join(homes, "key").where("component <> home").select("home", "id").distinct())
+    more = _against_components(apart, first, sets, percent)
     stars = first.select(F.col("component").alias("centre"), F.col("node").alias("member"))
     final = connected_components(spark, stars.unionByName(copies).unionByName(more), "centre", "member")
 
