@@ -34,10 +34,10 @@ from tiers.plans.preflight import preflight_report  # noqa: E402
 from tiers.schemas import LANDING_COLUMNS  # noqa: E402
 from tiers.session import scratch_dir, session_key  # noqa: E402
 from tiers.sources import (  # noqa: E402
-    create_schema, landing_inventory, orders_feed, orders_from_ids, overwrite_table, preview, write_csv,
+    create_schema, create_tables, landing_inventory, orders_feed, orders_from_ids, overwrite_table, preview, write_csv,
 )
 
-SMOKE_DIR = "/root/testdata/sf0.001"
+SMOKE_DIR = os.environ.get("SMOKE_DIR", "/root/testdata/sf0.001")
 EXACT = True
 
 
@@ -83,14 +83,13 @@ def _table_counts(spark: SparkSession, env: Env, tables) -> DataFrame:
 
 def q_bronze_orders(spark, sf_dir):
     """Feed → landing CSV (K5) → bronze scan (S1) → table overwrite (K1) → table scan (S3)."""
-    env = _scratch_env(spark, "bronze")
-    write_csv(orders_feed(spark, sf_dir), env.landing)
+    env = _scratch_env(spark, "bronze").with_(landing_path=_landing_env(spark, sf_dir).landing)
     overwrite_table(bronze(spark, env), env.table(config.BRONZE), env.fmt)
     return spark.table(env.table(config.BRONZE))
 
 
-# The landing folder as three CSV files (a fixed file count makes file-level results
-# checkable), written once per session and source folder; the first query pays for it.
+# The landing folder, one CSV file per partition of the feed, written once per session and
+# source folder; the first query pays for it.  Results do not depend on the number of files.
 
 _LANDINGS: dict[tuple, Env] = {}
 _LANDING_LOCK = threading.Lock()
@@ -101,27 +100,55 @@ def _landing_env(spark: SparkSession, sf_dir: str) -> Env:
     with _LANDING_LOCK:
         if key not in _LANDINGS:
             env = _scratch_env(spark, "landing")
-            write_csv(orders_feed(spark, sf_dir), env.landing, num_files=3)
+            write_csv(orders_feed(spark, sf_dir), env.landing)
             _LANDINGS[key] = env
         return _LANDINGS[key]
 
 
 def q_landing_inventory(spark, sf_dir):
-    return landing_inventory(spark, _landing_env(spark, sf_dir).landing).select("file_name", "length")
+    """The inventory (S5, F7) of a folder that also holds text files, which the filter drops."""
+    env = _scratch_env(spark, "inventory")
+    feed = orders_feed(spark, sf_dir)
+    write_csv(feed, env.landing)
+    feed.select(F.coalesce("order_id", F.lit("none"))).write.mode("append").text(env.landing)
+    return _file_totals(landing_inventory(spark, env.landing))
+
+
+HEADER_BYTES = len(",".join(LANDING_COLUMNS)) + 1
+
+
+def _file_totals(files: DataFrame) -> DataFrame:
+    """Facts of an inventory that hold for any number of files (each starts with a header)."""
+    return files.agg(
+        (F.count(F.lit(1)) > 0).alias("has_files"), F.every(F.col("file_name").endswith(".csv")).alias("all_csv"),
+        (F.count_distinct("file_name") == F.count(F.lit(1))).alias("distinct_names"),
+        (F.sum("length") - F.count(F.lit(1)) * HEADER_BYTES).alias("payload_bytes"))
 
 
 def q_landing_totals(spark, sf_dir):
-    """The landing CSV (K5) as the inventory (S5) sees it: file count and total bytes.
+    """The landing CSV (K5) as the inventory (S5) sees it.
 
     Byte-exact: every landing value is ASCII and needs no CSV quoting, so the
-    total is the header per file plus each row's fields, commas and newline."""
-    return landing_inventory(spark, _landing_env(spark, sf_dir).landing).agg(
-        F.count(F.lit(1)).alias("csv_files"), F.sum("length").alias("csv_bytes"))
+    payload is each row's fields, commas and newline."""
+    return _file_totals(landing_inventory(spark, _landing_env(spark, sf_dir).landing))
 
 
 def q_preflight_report(spark, sf_dir):
     report = preflight_report(spark, _landing_env(spark, sf_dir))
-    return report.select("run_date", "csv_files", "rows", "cols", "columns", "passed", "reason")
+    return report.select("run_date", (F.col("csv_files") > 0).alias("has_csv"), "rows", "cols", "columns", "passed",
+                         "reason")
+
+
+def q_preflight_outcomes(spark, sf_dir):
+    """The gate's outcomes (F8): the full landing, only a header, only text files, no folder."""
+    feed, full = orders_feed(spark, sf_dir), _landing_env(spark, sf_dir)
+    header, text, missing = (_scratch_env(spark, f"gate_{n}") for n in ("header", "text", "missing"))
+    write_csv(feed.where("false"), header.landing)
+    feed.select(F.coalesce("order_id", F.lit("none"))).write.text(text.landing)
+    cases = {"full": full, "header_only": header, "text_only": text, "missing": missing}
+    return reduce(DataFrame.unionByName, [
+        preflight_report(spark, env).select(F.lit(name).alias("landing"), (F.col("csv_files") > 0).alias("has_csv"),
+                                            "rows", "passed", "reason") for name, env in cases.items()])
 
 
 # ---- projections ------------------------------------------------------------------------------
@@ -206,16 +233,27 @@ def q_gold_top_products(spark, sf_dir):
     return _gold_products(spark, sf_dir)
 
 
+def q_gold_sales_plain(spark, sf_dir):
+    """Gold sales with the plain DOUBLE sum and average (A2, A5): totals rounded to cents and averages
+    to 8 digits, so that the order of the rows does not show."""
+    rows = gold.sales_by_region(_silver(spark, sf_dir), sort=False)
+    return rows.withColumns({"total_revenue": F.round("total_revenue", 2), "avg_order_value": F.round("avg_order_value", 8)})
+
+
+def q_gold_products_plain(spark, sf_dir):
+    rows = gold.top_products(_silver(spark, sf_dir), sort=False)
+    return rows.withColumns({"total_revenue": F.round("total_revenue", 2), "avg_unit_price": F.round("avg_unit_price", 8)})
+
+
 def _gold_table(spark, sf_dir, table):
-    """Gold from the stored silver table, written twice into a fresh schema (a rerun
-    must replace, not append), then read back (K1, S3, K6)."""
-    silver_table = _refreshed_env(spark, sf_dir).table(config.SILVER)
+    """Gold from the stored silver table over the placeholder of a fresh schema, read back
+    (K1, S3, K6)."""
+    src = spark.table(_refreshed_env(spark, sf_dir).table(config.SILVER))
     env = _scratch_env(spark, "gold")
-    for _ in range(2):
-        src = spark.table(silver_table)
-        frame = (gold.sales_by_region(src, exact_money=EXACT) if table == config.GOLD_SALES
-                 else gold.top_products(src, exact_money=EXACT))
-        overwrite_table(frame, env.table(table), env.fmt)
+    create_tables(spark, env)
+    frame = (gold.sales_by_region(src, exact_money=EXACT) if table == config.GOLD_SALES
+             else gold.top_products(src, exact_money=EXACT))
+    overwrite_table(frame, env.table(table), env.fmt)
     return spark.table(env.table(table))
 
 
@@ -331,6 +369,20 @@ def q_widget_sql_total_revenue(spark, sf_dir):
     return dashboard.widget_from_sql(spark, _refreshed_env(spark, sf_dir), "total_revenue")
 
 
+def _sql_widget_cents(spark, sf_dir, name):
+    rows = dashboard.widget_from_sql(spark, _refreshed_env(spark, sf_dir), name)
+    return rows.withColumn("total_revenue", F.round("total_revenue", 2))
+
+
+def q_widget_sql_revenue_by_region(spark, sf_dir):
+    """A grouped widget as stored SQL (``GROUP BY ALL`` with a plain field; P10, W4, W7)."""
+    return _sql_widget_cents(spark, sf_dir, "revenue_by_region")
+
+
+def q_widget_sql_revenue_trend(spark, sf_dir):
+    return _sql_widget_cents(spark, sf_dir, "revenue_trend")
+
+
 def q_dataset_sql_region_sales(spark, sf_dir):
     return dashboard.dataset_sql(spark, _refreshed_env(spark, sf_dir), "region_sales")
 

@@ -89,16 +89,34 @@ def test_exists_mode_skips_the_count(spark, env):
     assert preflight_report(spark, env, count="exists").first()["reason"] == NO_ROWS
 
 
-def test_size_shuffles_only_raises(spark):
-    from tiers.session import size_shuffles
+def test_sized_shuffles_raise_for_one_step_only(spark):
+    from tiers.session import TARGET_PARTITION_BYTES, sized_shuffles
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     before = spark.conf.get(key, None)
+    with sized_shuffles(spark, 1):
+        assert spark.conf.get(key, None) == before
+    with pytest.raises(ValueError), sized_shuffles(spark, 1000 * TARGET_PARTITION_BYTES) as n:
+        assert n == 1000 and spark.conf.get(key) == "1000"
+        raise ValueError
+    assert spark.conf.get(key, None) == before
+    with sized_shuffles(spark, 100 * 10 ** 12) as n:
+        assert n <= 100_000
+
+
+def test_exists_probe_runs_few_tasks(spark, env):
+    for i in range(30):  # fewer than the number from which Spark lists folders by tasks
+        write_text(f"{env.landing}/f{i:02d}.csv", HEADER + ROW)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    tracker, group = spark.sparkContext.statusTracker(), "exists-probe"
+    spark.sparkContext.setJobGroup(group, group)
     try:
-        assert size_shuffles(spark, 1) == int(before or spark.conf.get("spark.sql.shuffle.partitions"))
-        assert size_shuffles(spark, 1000 * 128 * 1024 * 1024) == 1000
-        assert spark.conf.get(key) == "1000"
+        from tiers.sources.landing import read_landing
+        source = read_landing(spark, env.landing)
+        assert source.rdd.getNumPartitions() >= 30
+        assert source.take(1)
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+        tasks = sum(tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds if tracker.getStageInfo(s))
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert tasks <= 8

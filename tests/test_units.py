@@ -66,3 +66,41 @@ def test_broadcast_bound_is_checked(spark):
         assert joined_small.count() == joined_big.count() == 5000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_exact_money_beyond_bigint(spark):
+    from pyspark.sql import functions as F
+
+    from tiers.functions.money import money_avg, money_sum
+    df = spark.range(40).select(F.lit(5e15).alias("x"))
+    r = df.agg(money_sum("x", True).alias("s"), money_avg("x", True).alias("a")).first()
+    assert (r["s"], r["a"]) == (2e17, 5e15)
+
+
+@pytest.mark.parametrize("failing", [1, 2, 3])
+def test_failing_swap_step_keeps_rows_under_the_name(spark, env, monkeypatch, failing):
+    from tiers.sources import tables
+    name = env.table("swap_t")
+    tables.overwrite_table(spark.range(3), name)
+    session, calls = type(spark), []
+    real = session.sql
+
+    def sql(self, text, *a, **k):
+        if "RENAME" in text or ("DROP" in text and "__previous_" in text):
+            calls.append(text)
+            if len(calls) == failing:
+                raise RuntimeError("injected")
+        return real(self, text, *a, **k)
+
+    monkeypatch.setattr(session, "sql", sql)
+    with pytest.raises(RuntimeError, match="injected"):
+        tables.overwrite_table(spark.range(5), name)
+    monkeypatch.undo()
+    assert spark.table(name).count() == (5 if failing == 3 else 3)
+
+
+def test_synthetic_ids_beyond_the_modulus_differ(spark):
+    from tiers.sources.synthetic import MODULUS, orders_from_ids
+    ids = spark.createDataFrame([(k + j * MODULUS,) for k in range(1, 51) for j in (0, 1, 2)], "id long")
+    rows = orders_from_ids(ids).drop("order_id").distinct().count()
+    assert rows > 140

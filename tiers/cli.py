@@ -61,7 +61,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if rows is not None:
             log.info("landing written: %s (%s synthetic orders)", env.landing, args.synthetic_rows)
     elif step == "preflight":
-        r = pipeline.run_preflight(spark, env, args.strict_header, count="exact", size_to_input=False)
+        r = pipeline.run_preflight(spark, env, args.strict_header, count="exact")
         log.info("preflight passed: %s CSV file(s), %s rows, %s columns in %s (run date %s)",
                  r["csv_files"], r["rows"], r["cols"], r["source"], r["run_date"])
     elif step == "bronze":
@@ -83,5 +83,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif step == "dashboard":
         for name, df in dashboard.datasets_from_tables(spark, env).items():
             log.info("dataset %s", name)
-            df.show(20, truncate=False)
+            print(",".join(df.columns))
+            for row in df.toLocalIterator():  # every row, one partition at a time
+                print(",".join("" if v is None else str(v) for v in row))
     return 0

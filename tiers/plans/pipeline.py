@@ -13,6 +13,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tiers import config
@@ -20,7 +21,7 @@ from tiers.config import Env
 from tiers.plans import gold, silver
 from tiers.plans.bronze import bronze
 from tiers.plans.preflight import preflight_report, require
-from tiers.session import size_shuffles
+from tiers.session import plan_bytes, sized_shuffles
 from tiers.sources.tables import create_schema, create_tables, overwrite_table, write_csv
 
 
@@ -56,14 +57,10 @@ class RunReport:
 
 # ---- steps: each is one job that reads the previous layer's table -------------------------
 
-def run_preflight(spark: SparkSession, env: Env, strict_header: bool = False, count: str = "exists",
-                  size_to_input: bool = True) -> dict:
-    """Gate on the landing folder (raises ``PreflightError``); optionally size the shuffles
-    to the landing bytes.  ``count="exists"`` only proves a row exists (see preflight)."""
-    pre = require(preflight_report(spark, env, strict_header=strict_header, count=count)).asDict()
-    if size_to_input:
-        size_shuffles(spark, pre["csv_bytes"])
-    return pre
+def run_preflight(spark: SparkSession, env: Env, strict_header: bool = False, count: str = "exists") -> dict:
+    """Gate on the landing folder (raises ``PreflightError``).  ``count="exists"`` only proves a
+    row exists (see preflight)."""
+    return require(preflight_report(spark, env, strict_header=strict_header, count=count)).asDict()
 
 
 def run_bronze(spark: SparkSession, env: Env, strict_header: bool = False) -> int:
@@ -82,9 +79,12 @@ def silver_write_frame(spark: SparkSession, env: Env, mode: str = "lenient",
 
 
 def run_silver(spark: SparkSession, env: Env, mode: str = "lenient", bronze_rows: int | None = None) -> dict:
-    """Write silver from the bronze table; returns bronze/silver rows, duplicates, quality drops."""
+    """Write silver from the bronze table; returns bronze/silver rows, duplicates, quality drops.
+
+    The dedup shuffle is sized to the bronze table's bytes, for this step only."""
     rows, counters = silver_write_frame(spark, env, mode, bronze_rows)
-    overwrite_table(rows, env.table(config.SILVER), env.fmt, swap=env.swap_overwrite)
+    with sized_shuffles(spark, plan_bytes(spark.table(env.table(config.BRONZE)))):
+        overwrite_table(rows, env.table(config.SILVER), env.fmt, swap=env.swap_overwrite)
     return counters.report()
 
 
@@ -99,15 +99,13 @@ def run_gold_products(spark: SparkSession, env: Env, exact_money: bool = False)
 
 
 def run(spark: SparkSession, env: Env, mode: str = "lenient", strict_header: bool = False,
-        exact_money: bool = False, parallel_gold: bool = True, size_to_input: bool = True) -> RunReport:
+        exact_money: bool = False, parallel_gold: bool = True) -> RunReport:
     """Full refresh of all four layer tables of ``env``; returns counts per step.
 
     The preflight proves the landing folder has rows without counting them
-    (``count="exists"``); the exact count is the bronze write's own.  With
-    ``size_to_input`` the session's initial shuffle partition count is raised to
-    the landing size / 128 MB before any shuffle runs.
+    (``count="exists"``); the exact count is the bronze write's own.
     """
-    report = RunReport(preflight=run_preflight(spark, env, strict_header, "exists", size_to_input))
+    report = RunReport(preflight=run_preflight(spark, env, strict_header, "exists"))
     report.rows[config.BRONZE] = run_bronze(spark, env, strict_header)
     report.preflight["rows"] = report.rows[config.BRONZE]
 
@@ -117,7 +115,8 @@ def run(spark: SparkSession, env: Env, mode: str = "lenient", strict_header: boo
     golds = {config.GOLD_SALES: run_gold_sales, config.GOLD_PRODUCTS: run_gold_products}
     if parallel_gold:
         with ThreadPoolExecutor(max_workers=len(golds)) as pool:
-            futures = {t: pool.submit(step, spark, env, exact_money) for t, step in golds.items()}
+            futures = {t: pool.submit(inheritable_thread_target(spark)(step), spark, env, exact_money)
+                       for t, step in golds.items()}
             for t, fut in futures.items():
                 report.rows[t] = fut.result()
     else:

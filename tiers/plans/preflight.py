@@ -51,8 +51,8 @@ def preflight_report(spark: SparkSession, env: Env, strict_header: bool = False,
     (all files, or ``env.path_glob``), so it agrees with what the pipeline does.
 
     ``count="exact"`` scans the landing data to count rows, as a standalone
-    check must.  ``count="exists"`` only proves there is a row (``limit(1)``:
-    usually one split of one file) and leaves ``rows`` NULL: the refresh uses it
+    check must.  ``count="exists"`` only proves there is a row (``take(1)``: one split
+    first, further ones only while none has a row) and leaves ``rows`` NULL: the refresh uses it
     and takes the exact count from the bronze write, so a 100 TB landing folder
     is not read twice.  With ``strict_header`` and an exact count, one column is
     read so that every file's header is checked; in ``exists`` mode the header
@@ -78,7 +78,7 @@ def preflight_report(spark: SparkSession, env: Env, strict_header: bool = False,
         raise
     columns = source.columns
     if count == "exists":
-        has_rows = source.limit(1).count() > 0
+        has_rows = bool(source.take(1))
         return _report(spark, env, csv_files, csv_bytes, None, columns, None if has_rows else NO_ROWS)
     if strict_header:
         try:

@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -79,27 +81,44 @@ def _context(spark: SparkSession):
         return None
 
 
-# Target input bytes per shuffle partition when sizing shuffles from the input size.
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+# Input bytes per initial shuffle partition when a step sizes its shuffles.
+TARGET_PARTITION_BYTES = 1024 * 1024 * 1024
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int,
-                  target_partition_bytes: int = TARGET_PARTITION_BYTES) -> int:
-    """Raise the initial shuffle partition count to ``input_bytes / target`` if it is lower.
+def plan_bytes(df) -> int:
+    """The optimizer's size of a frame's input in bytes (file sizes for a stored table)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except AttributeError:  # a Spark Connect frame has no local plan
+        return 0
+
 
-    AQE coalesces small partitions at run time but never splits a big
-    non-skewed one, so the starting count must scale with the input: 100 TB
-    through the default 200 partitions would be 500 GB per task.  Only raises,
-    never lowers, and only this session's setting.
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int,
+                   target_partition_bytes: int = TARGET_PARTITION_BYTES) -> Iterator[int]:
+    """For one step, raise the initial shuffle partition count to ``input_bytes / target``.
+
+    AQE coalesces the small shuffle partitions of a small run but never splits a big
+    non-skewed one, so the starting count must follow the bytes the step reads: 100 TB makes
+    about 1e5 partitions.  Only raises, and the former setting is back afterwards, also when the
+    step fails.
     """
     wanted = max(1, -(-int(input_bytes) // target_partition_bytes))
     key = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum"
            if spark.conf.get("spark.sql.adaptive.enabled", "true") == "true" else "spark.sql.shuffle.partitions")
-    current = spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions")
-    if wanted > int(current):
-        spark.conf.set(key, str(wanted))
-        return wanted
-    return int(current)
+    before = spark.conf.get(key, None)
+    current = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted <= current:
+        yield current
+        return
+    spark.conf.set(key, str(wanted))
+    try:
+        yield wanted
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def session_key(spark: SparkSession) -> tuple[str, int]:

@@ -3,11 +3,11 @@
 from tiers.sources.landing import landing_inventory, read_landing
 from tiers.sources.synthetic import orders_from_ids, synthetic_orders
 from tiers.sources.tables import (
-    create_schema, create_tables, overwrite_table, preview, read_table, write_csv,
+    create_schema, create_tables, overwrite_table, preview, write_csv,
 )
 from tiers.sources.tpch_feed import orders_feed
 
 __all__ = [
     "landing_inventory", "read_landing", "orders_from_ids", "synthetic_orders", "create_schema",
-    "create_tables", "overwrite_table", "preview", "read_table", "write_csv", "orders_feed",
+    "create_tables", "overwrite_table", "preview", "write_csv", "orders_feed",
 ]

@@ -43,6 +43,7 @@ PRICE_FACTOR_MIN, PRICE_FACTOR_STEPS = 9500, 1001
 MODULUS = 2_147_483_647  # 2^31 - 1
 MULT_A = 48_271
 MULT_B = 16_807
+MULT_Q = 69_621  # for the part of an id above the modulus
 SQUARE_OFFSET = 12_345
 
 # Field salts: one per generated column.
@@ -55,7 +56,8 @@ def salt(seed: int, field: str) -> int:
 
 def mix(x: Column, s: int) -> Column:
     """Deterministic pseudo-random value in [0, 2^31 - 1) from a non-negative BIGINT."""
-    u = F.pmod(F.pmod(x, F.lit(MODULUS)) * F.lit(MULT_A) + F.lit(s), F.lit(MODULUS))
+    above = F.pmod((x - F.pmod(x, F.lit(MODULUS))) / F.lit(MODULUS), F.lit(MODULUS)).cast("bigint")
+    u = F.pmod(F.pmod(x, F.lit(MODULUS)) * F.lit(MULT_A) + above * F.lit(MULT_Q) + F.lit(s), F.lit(MODULUS))
     v = F.pmod(u * u + F.lit(SQUARE_OFFSET), F.lit(MODULUS))
     return F.pmod(v * F.lit(MULT_B) + u, F.lit(MODULUS))
 

@@ -12,10 +12,6 @@ from tiers.config import Env
 from tiers.schemas import TABLE_SCHEMAS
 
 
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
-
-
 def create_schema(spark: SparkSession, env: Env) -> None:
     """``CREATE SCHEMA IF NOT EXISTS``; managed tables go under ``env.schema_location`` if set."""
     location = f" LOCATION '{env.schema_location}'" if env.schema_location else ""
@@ -36,7 +32,7 @@ def create_tables(spark: SparkSession, env: Env, schemas: dict[str, T.StructType
 
 
 def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet",
-                    partition_by: list[str] | None = None, swap: bool | None = None) -> int:
+                    swap: bool | None = None) -> int:
     """Full refresh of ``name`` with ``df``'s rows and schema; returns the rows written.
 
     The row count is taken by ``observe`` inside the write job itself, so the
@@ -47,8 +43,9 @@ def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet",
     executors mid-write would leave the layer missing.  Hence, by default for
     non-Delta formats (``swap``), the rows are written to a staging table next
     to the target and swapped in by a metadata rename only after the write job
-    has committed: until then readers see the previous table, and a failed write
-    leaves it untouched.  This also allows refreshing a table from a read of itself.
+    has committed: until then readers see the previous table, and a failed write or
+    a failed rename leaves it in place.  Between the two renames of the swap a reader
+    of a Parquet table may miss the name.  This also allows refreshing a table from a read of itself.
     """
     spark = df.sparkSession
     swap = (fmt != "delta") if swap is None else swap
@@ -56,8 +53,6 @@ def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet",
     obs = Observation(f"rows_written_{uuid.uuid4().hex[:8]}")
     writer = (df.observe(obs, F.count(F.lit(1)).alias("rows"))
               .write.format(fmt).mode("overwrite").option("overwriteSchema", "true"))
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
     try:
         writer.saveAsTable(target)
     except Exception:
@@ -66,11 +61,31 @@ def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet",
         raise
     rows = int(obs.get["rows"])
     if swap:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"ALTER TABLE {target} RENAME TO {'.'.join(name.split('.')[-2:])}")
+        _swap_in(spark, target, name)
     return rows
 
 
+def _rename(spark: SparkSession, name: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE {name} RENAME TO {'.'.join(to.split('.')[-2:])}")
+
+
+def _swap_in(spark: SparkSession, staged: str, name: str) -> None:
+    """Put ``staged`` in the place of ``name``: the former table is renamed away, and dropped only
+    when the new one has the name.  A failing step renames the former table back."""
+    former = f"{name}__previous_{uuid.uuid4().hex[:10]}" if spark.catalog.tableExists(name) else None
+    if former:
+        _rename(spark, name, former)
+    try:
+        _rename(spark, staged, name)
+    except Exception:
+        if former:
+            _rename(spark, former, name)
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+    if former:
+        spark.sql(f"DROP TABLE IF EXISTS {former}")
+
+
 def write_csv(df: DataFrame, path: str, num_files: int | None = None) -> None:
     """Write a landing folder: CSV with a header, replacing what was there.
 

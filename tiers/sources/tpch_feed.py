@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiers.operators.joins import broadcast_if_small
-from tiers.session import checkpoint_root, session_key
+from tiers.session import checkpoint_root, plan_bytes, session_key, sized_shuffles
 
 # The rules that make the feed dirty (first match wins per column).
 NULL_ID_EVERY = 1009        # l_orderkey % 1009 = 0 → order_id NULL
@@ -45,6 +45,7 @@ def _every(c: str, k: int) -> Column:
     return F.pmod(F.col(c), F.lit(k)) == 0
 
 
+FEED_TABLES = ("lineitem", "orders", "customer", "part")
 _FEEDS: dict[tuple, DataFrame] = {}
 _LOCK = threading.Lock()
 
@@ -69,7 +70,8 @@ def orders_feed(spark: SparkSession, sf_dir: str, materialize: bool = True,
             feed = build_orders_feed(spark, sf_dir, castable)
             if materialize:
                 path = f"{checkpoint_root(spark)}/tiers/feed-{uuid.uuid4().hex[:12]}"
-                feed.write.parquet(path)
+                with sized_shuffles(spark, sum(plan_bytes(_read(spark, sf_dir, t)) for t in FEED_TABLES)):
+                    feed.write.parquet(path)
                 feed = spark.read.parquet(path)
             _FEEDS[key] = feed
         return _FEEDS[key]

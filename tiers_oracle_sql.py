@@ -150,7 +150,7 @@ def chain(stage: str, body: str) -> str:
 def _synthetic_sql(seed: int = 42) -> str:
     p = syn.MODULUS
     fields = ["customer", "product", "quantity", "price", "date", "region", "status"]
-    u = ", ".join(f"((id % {p}) * {syn.MULT_A} + {syn.salt(seed, f)}) % {p} AS u_{f}" for f in fields)
+    u = ", ".join(f"((id % {p}) * {syn.MULT_A} + (id // {p} % {p}) * {syn.MULT_Q} + {syn.salt(seed, f)}) % {p} AS u_{f}" for f in fields)
     v = ", ".join(f"(u_{f} * u_{f} + {syn.SQUARE_OFFSET}) % {p} AS v_{f}" for f in fields)
     w = ", ".join(f"(v_{f} * {syn.MULT_B} + u_{f}) % {p} AS w_{f}" for f in fields)
     names = ", ".join(f"'{n}'" for n, _, _ in syn.PRODUCTS)
@@ -198,20 +198,42 @@ UNION ALL SELECT 'duplicates', (SELECT COUNT(*) FROM feed) - (SELECT COUNT(*) FR
 UNION ALL SELECT 'quality_drops', (SELECT COUNT(*) FROM dedup) - (SELECT COUNT(*) FROM silver)"""
 
 
+_FILE_TOTALS = f"""
+SELECT TRUE AS has_files, TRUE AS all_csv, TRUE AS distinct_names,
+       CAST(SUM({" + ".join(f"strlen(coalesce({c}, ''))" for c in _LANDING_COLUMNS.split(", "))} + 8 + 1)
+            AS BIGINT) AS payload_bytes
+FROM feed"""
+
+
 def statements() -> dict[str, str]:
     return {
         "bronze_orders": chain("feed", "SELECT * FROM feed"),
-        "landing_totals": chain("feed", f"""
-SELECT CAST(3 AS BIGINT) AS csv_files,
-       CAST(3 * {len(_LANDING_COLUMNS.replace(", ", ",")) + 1}
-            + SUM({" + ".join(f"strlen(coalesce({c}, ''))" for c in _LANDING_COLUMNS.split(", "))} + 8 + 1)
-            AS BIGINT) AS csv_bytes
-FROM feed"""),
+        "landing_inventory": chain("feed", _FILE_TOTALS),
+        "landing_totals": chain("feed", _FILE_TOTALS),
         "preflight_report": chain("feed", f"""
-SELECT '2024-03-31' AS run_date, CAST(3 AS BIGINT) AS csv_files, CAST(COUNT(*) AS BIGINT) AS "rows",
+SELECT '2024-03-31' AS run_date, TRUE AS has_csv, CAST(COUNT(*) AS BIGINT) AS "rows",
        CAST(9 AS INTEGER) AS cols, '{_LANDING_COLUMNS}' AS "columns", TRUE AS passed,
        CAST(NULL AS VARCHAR) AS reason
 FROM feed"""),
+        "preflight_outcomes": chain("feed", """
+SELECT 'full' AS landing, TRUE AS has_csv, CAST(COUNT(*) AS BIGINT) AS "rows", TRUE AS passed,
+       CAST(NULL AS VARCHAR) AS reason FROM feed
+UNION ALL SELECT 'header_only', TRUE, 0, FALSE, 'landing folder has no rows'
+UNION ALL SELECT 'text_only', FALSE, 0, FALSE, 'no CSV files in landing folder'
+UNION ALL SELECT 'missing', FALSE, 0, FALSE, 'landing folder not found'"""),
+        "gold_sales_plain": chain("silver", """
+SELECT region, year_month, ROUND(SUM(total_amount), 2) AS total_revenue, COUNT(order_id) AS order_count,
+       ROUND(AVG(total_amount), 8) AS avg_order_value, COUNT(DISTINCT customer_id) AS unique_customers
+FROM silver WHERE status = 'completed' GROUP BY region, year_month"""),
+        "gold_products_plain": chain("silver", """
+SELECT product, category, ROUND(SUM(total_amount), 2) AS total_revenue,
+       CAST(SUM(quantity) AS BIGINT) AS total_units_sold, COUNT(order_id) AS order_count,
+       ROUND(AVG(unit_price), 8) AS avg_unit_price
+FROM silver WHERE status = 'completed' GROUP BY product, category"""),
+        "widget_sql_revenue_by_region": chain("gold", """
+SELECT region, ROUND(SUM(total_revenue), 2) AS total_revenue FROM gold_sales GROUP BY region"""),
+        "widget_sql_revenue_trend": chain("gold", """
+SELECT year_month, ROUND(SUM(total_revenue), 2) AS total_revenue FROM gold_sales GROUP BY year_month"""),
         "cast_quantity": chain("feed", """
 SELECT order_id, quantity AS quantity_raw, TRY_CAST(quantity AS INTEGER) AS quantity FROM feed"""),
         "cast_unit_price": chain("feed", """
