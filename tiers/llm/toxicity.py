@@ -47,6 +47,18 @@ def features(text: str | None) -> Counter:
     return out
 
 
+def features_among(text: str | None, known) -> dict:
+    """The part of ``features`` whose names are in ``known``, without making the others."""
+    out: dict[str, int] = {}
+    for w, n in (Counter(_WORDS(text.lower())) if text else {}).items():
+        if w in known:
+            out[w] = out.get(w, 0) + n
+        for p in PREFIXES:
+            if len(w) > p and (f := "^" + w[:p]) in known:
+                out[f] = out.get(f, 0) + n
+    return out
+
+
 class Index:
     """Block-max inverted index of labelled texts."""
 
@@ -201,7 +213,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, index: Index, id_col: str
     def run(batches):
         model = shared.value
         for b in row_blocks(batches):
-            found = [model.score(features(t)) for t in b.column(1).to_pylist()]
+            found = [model.score(features_among(t, model.slot)) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([x[0] for x in found], pa.float64()),
                  pa.array([int(x[0] >= 0.5) for x in found], pa.int32()), pa.array([x[1] for x in found], near)],
@@ -219,6 +231,6 @@ def score_column(spark: SparkSession, index: Index):
 
     @F.pandas_udf("double")
     def score(texts):
-        return texts.map(lambda t: shared.value.score(features(t))[0])
+        return texts.map(lambda t: shared.value.score(features_among(t, shared.value.slot))[0])
 
     return score
