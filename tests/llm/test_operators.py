@@ -238,6 +238,16 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity.score_texts(spark, df, nothing).collect()} == {0.0}
 
 
+def test_toxicity_sample_is_bounded(spark):
+    rows = [(i, f"calm words number {i % 7}", 0) for i in range(400)] + [(9, "calm words", 0)] * 300
+    rows += [(1000 + i, f"nasty words number {i % 7}", 1) for i in range(60)] + [(1000, "nasty", 1)] * 200
+    rows += [(2000, None, 1), (None, "nasty words", 1), (5, "text", None)]
+    index = toxicity.fit_index(spark.createDataFrame(rows, "doc_id long, text string, label int"), per_class=20)
+    assert len(index.ids) == len(set(index.ids)) <= 40
+    assert sum(index.labels == 0) >= 15 and sum(index.labels == 1) >= 15
+    assert index.score(toxicity.features("nasty words"))[0] > 0.5 > index.score(toxicity.features("calm words"))[0]
+
+
 def test_block_max_neighbours_are_exact():
     rnd = random.Random(8)
     terms = [f"t{i}" for i in range(60)]

@@ -3,7 +3,7 @@
 Fit: features are a text's words and their first letters.  Their document counts per class come
 from all training rows; the vocabulary keeps the ``max_features`` whose rates differ most between
 the classes (two-proportion z, and at least ``min_ratio`` times as frequent in one).  The index
-holds a bounded sample, at most ``per_class`` training rows of each class (those of smallest id
+holds a bounded sample, at most ``per_class`` training documents of each class (those of smallest id
 hash) as TF-IDF vectors: postings in blocks of ``block`` rows, with the largest weight of each
 feature in each block.
 
@@ -32,6 +32,7 @@ PER_CLASS, BLOCK, NEIGHBOURS = 2048, 64, 32
 PREFIXES = (3, 4, 5)
 FLUSH = 300_000
 PRIOR_VOTE = 0.1
+OVERSAMPLE = 4
 
 _WORDS = re.compile(r"\w+").findall
 
@@ -177,6 +178,7 @@ def fit_index(labelled: DataFrame, per_class: int = PER_CLASS, min_docs: int = 5
 
     The driver gets at most ``max_features`` features and ``2 * per_class`` sparse vectors.  With
     one class or none the index is empty and every score is the training rate (0 without rows).
+    Rows of one id and label give the index one vector (of the smallest text).
     """
     ship(labelled.sparkSession)
     rows = labelled.where("label is not null").select(
@@ -185,9 +187,13 @@ def fit_index(labelled: DataFrame, per_class: int = PER_CLASS, min_docs: int = 5
     if not 0 < n1 < n:
         return Index({}, [], n1 / n if n else 0.0)
     idf = _telling(_class_counts(rows), n1, n - n1, min_docs, min_z, min_ratio, max_features)
-    order = Window.partitionBy("label").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
-    chosen = (rows.select("doc_id", "label").withColumn("n", F.row_number().over(order))
-              .where(F.col("n") <= per_class).select("doc_id").distinct())
+    # Ids of small hash first, about OVERSAMPLE times as many as wanted: the window sees no more.
+    share = F.when(F.col("label") == 1, OVERSAMPLE * per_class / n1).otherwise(OVERSAMPLE * per_class / (n - n1))
+    near = (rows.select("doc_id", "label", F.xxhash64(F.col("doc_id").cast("string")).alias("h"))
+            .where(F.col("h") / 2.0 ** 64 + 0.5 <= share).distinct())
+    order = Window.partitionBy("label").orderBy("h", "doc_id")
+    chosen = (near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_class)
+              .select("doc_id", "label"))
 
     def run(batches):
         for b in row_blocks(batches):
@@ -196,7 +202,8 @@ def fit_index(labelled: DataFrame, per_class: int = PER_CLASS, min_docs: int = 5
                 [b.column(0), b.column(1), pa.array(kept, pa.map_(pa.string(), pa.int64()))],
                 ["doc_id", "label", "counts"])
 
-    got = (rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")  # 2 * per_class ids
+    got = (rows.join(F.broadcast(chosen), ["doc_id", "label"])  # 2 * per_class ids
+           .groupBy("doc_id", "label").agg(F.min("text").alias("text"))
            .mapInArrow(run, "doc_id long, label int, counts map<string,bigint>").collect())
     return Index(idf, [(r.doc_id, r.label, r.counts) for r in got], n1 / n)
 
