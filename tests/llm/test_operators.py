@@ -407,3 +407,27 @@ def test_context_tree_is_a_distribution():
     for c, r in list(zip(context.tolist(), reach.tolist()))[:50]:
         p = 2.0 ** tree.bits_log2(np.full(256, c), np.full(256, r), np.arange(256))
         assert p.sum() == pytest.approx(1.0)
+
+
+def test_language_model_contexts_run_through_words_and_are_all_kept(spark):
+    rnd = random.Random(14)
+    vocab = words(rnd, 40).split()
+    texts = [(i, " ".join(rnd.choice(vocab) for _ in range(rnd.randint(0, 60)))) for i in range(60)] + [(60, None)]
+    # 200,000 bytes more: contexts seen a few times are far below a share of 1e-5.
+    texts += [(61, "zz " * 70_000), (62, "qxq wyw qxq wyw"), (63, "qxq wyw"), (64, "wyw qxq")]
+    got = {r.id: r for r in ctw.score_texts(spark, frame(spark, texts), gram_share=1e-3).collect()}
+    nodes, coded = collections.defaultdict(lambda: [0, 0]), {}
+    for i, t in texts:
+        data = b"\n" * 6 + b"".join(w + b" " for w in words_of(t)) + b"\n"
+        coded[i] = collections.Counter((int.from_bytes(data[p - 6:p], "big"), data[p]) for p in range(6, len(data)))
+        for (c, y), n in coded[i].items():
+            for d in range(7):
+                for k in range(8):
+                    nodes[(d << 56) | ((c & ((1 << 8 * d) - 1)) << 8) | (1 << k) | (y >> (8 - k))][(y >> (7 - k)) & 1] += n
+    kept = {k: v for k, v in nodes.items() if sum(v) >= 2 or k < 256}
+    tree = ctw.Tree(np.array(list(kept), np.int64), np.array([v[0] for v in kept.values()]),
+                    np.array([v[1] for v in kept.values()]))
+    for i, t in texts:
+        c, y, n = (np.array(x) for x in zip(*((c, y, n) for (c, y), n in coded[i].items())))
+        want = float(n @ tree.bits_log2(c, np.full(len(c), 6), y)) * math.log10(2)
+        assert got[i].score == pytest.approx(want, rel=1e-9) and got[i].n_bytes == n.sum()
