@@ -431,3 +431,9 @@ def test_language_model_contexts_run_through_words_and_are_all_kept(spark):
         c, y, n = (np.array(x) for x in zip(*((c, y, n) for (c, y), n in coded[i].items())))
         want = float(n @ tree.bits_log2(c, np.full(len(c), 6), y)) * math.log10(2)
         assert got[i].score == pytest.approx(want, rel=1e-9) and got[i].n_bytes == n.sum()
+
+
+def test_language_model_minds_the_order_of_words(spark):
+    texts = [(i, "qxq wyw") for i in range(9)] + [(20, "wyw qxq")]
+    got = {r.id: r for r in ctw.score_texts(spark, frame(spark, texts)).collect()}
+    assert got[0].n_bytes == got[20].n_bytes and got[0].score > got[20].score + 0.5
