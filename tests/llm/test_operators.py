@@ -437,3 +437,13 @@ def test_language_model_minds_the_order_of_words(spark):
     texts = [(i, "qxq wyw") for i in range(9)] + [(20, "wyw qxq")]
     got = {r.id: r for r in ctw.score_texts(spark, frame(spark, texts)).collect()}
     assert got[0].n_bytes == got[20].n_bytes and got[0].score > got[20].score + 0.5
+
+
+def test_toxicity_vectors_hold_every_word(spark):
+    # Too few toxic rows for any test of significance; the words are telling all the same.
+    rows = [(i, f"calm mild word{i} words{i % 5}", 0) for i in range(40)]
+    rows += [(100 + i, f"calm grumblex{'ab'[i % 2]} other{i}", 1) for i in range(4)]
+    index = toxicity.fit_index(spark.createDataFrame(rows, "doc_id long, text string, label int"))
+    assert len(index.ids) == 44 and {"calm", "mild", "word7", "other2"} <= set(index.slot)
+    assert len(index.neighbours(toxicity.features("calm mild day"))[0]) > 0
+    assert index.score(toxicity.features("grumblexa day"))[0] > 0.5 > index.score(toxicity.features("mild day"))[0]

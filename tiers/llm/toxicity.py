@@ -1,15 +1,14 @@
 """Toxicity by labelled neighbours: exact TF-IDF cosine over a block-max inverted index.
 
 Fit: features are a text's words and their first letters.  Their document counts per class come
-from all training rows; the vocabulary keeps the ``max_features`` whose rates differ most between
-the classes (two-proportion z, and at least ``min_ratio`` times as frequent in one).  The index
-holds a bounded sample, at most ``per_class`` training documents of each class (those of smallest id
-hash) as TF-IDF vectors: postings in blocks of ``block`` rows, with the largest weight of each
-feature in each block.
-
-Score: a block's bound is the dot product of the query with its largest weights.  Blocks are
-visited from the largest bound down until the bound is below the k-th best cosine so far, so the
-k neighbours are exact.  Votes are weighted by squared cosine and by the classes' true rates
+from all training rows.  The index holds a bounded sample, at most ``per_class`` training documents of
+each class (those of smallest id hash), as TF-IDF vectors over every feature of the sample; a feature
+weighs more the more its rates differ between the classes, and none is left out.  Postings lie by
+feature in blocks of ``block`` rows, with the largest weight of each feature in each block.
+
+Score: a block's bound is the dot product of the query with its largest weights.  The ``FIRST``
+blocks of largest bounds are visited, then those whose bound is not below the k-th best cosine so
+far, so the k neighbours are exact.  Votes are weighted by squared cosine and by the classes' true rates
 (the sample is balanced, the score is not), plus a small vote for the training rate.
 
 Scoring reads whole texts in one pass without a shuffle; the index is bounded by the sample.
@@ -26,13 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tiers.llm.common import row_blocks, ship
+from tiers.llm.common import Scratch, row_blocks, ship
 
 PER_CLASS, BLOCK, NEIGHBOURS = 2048, 64, 32
 PREFIXES = (3, 4, 5)
 FLUSH = 300_000
 PRIOR_VOTE = 0.1
 OVERSAMPLE = 4
+FIRST = 4
+FEW = 5        # texts with a feature at which its class rates count half
+FLOOR = 0.01   # the weight's share that a feature of equal rates keeps
 
 _WORDS = re.compile(r"\w+").findall
 
@@ -76,50 +78,59 @@ class Index:
         n1 = sum(1 for r in rows if r[1] == 1)
         n0 = len(rows) - n1
         self.class_weight = np.where(self.labels == 1, rate / max(n1, 1), (1 - rate) / max(n0, 1)) * (n1 + n0)
-        blocks = -(-len(found) // block)
-        self.largest = np.zeros((len(self.slot), blocks))
-        self.postings = []
-        for k in range(blocks):
-            part = found[k * block:(k + 1) * block]
-            terms = np.concatenate([v[0] for _, v in part])
-            weights = np.concatenate([v[1] for _, v in part])
-            local = np.repeat(np.arange(len(part)), [len(v[0]) for _, v in part])
-            np.maximum.at(self.largest[:, k], terms, weights)
-            self.postings.append((terms, local, weights, len(part)))
+        self.blocks = -(-len(found) // block)
+        if not found:
+            return
+        terms = np.concatenate([v[0] for _, v in found])
+        at = np.repeat(np.arange(len(found), dtype=np.int32), [len(v[0]) for _, v in found])
+        order = np.lexsort((at, terms))
+        self.rows, self.weights = at[order], np.concatenate([v[1] for _, v in found])[order]
+        # An entry is the run of one feature's postings in one block.
+        entry = terms[order].astype(np.int64) * self.blocks + self.rows // block
+        starts = np.flatnonzero(np.concatenate([[True], entry[1:] != entry[:-1]]))
+        self.entry_at = np.append(starts, len(entry))
+        self.entry_block = entry[starts] % self.blocks
+        self.entry_largest = np.maximum.reduceat(self.weights, starts)
+        self.entries = np.searchsorted(entry[starts] // self.blocks, np.arange(len(self.slot) + 1))
 
     def vector(self, counts) -> tuple[np.ndarray, np.ndarray] | None:
-        """Unit TF-IDF vector over the vocabulary; None if it holds none of the counts."""
-        hit = [(i, n) for f, n in counts.items() if (i := self.slot.get(f)) is not None]
-        if not hit:
+        """Unit TF-IDF vector over the vocabulary of counts by name, or of ``(slots, counts)``; None if
+        it holds none of them."""
+        if isinstance(counts, tuple):
+            terms, n = counts
+        else:
+            hit = [(i, n) for f, n in counts.items() if (i := self.slot.get(f)) is not None]
+            terms, n = np.array([i for i, _ in hit], np.int64), np.array([n for _, n in hit], float)
+        if not len(terms):
             return None
-        terms = np.array([i for i, _ in hit])
-        w = (1 + np.log([n for _, n in hit])) * self.idf[terms]
+        w = (1 + np.log(n)) * self.idf[terms]
         norm = math.sqrt(float(w @ w))
         return (terms, w / norm) if norm > 0 else None
 
     def neighbours(self, counts, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """Index rows and cosines of the ``k`` nearest rows of positive cosine, ties by row."""
         v = self.vector(counts)
-        if v is None or not self.postings:
+        if v is None or not self.blocks:
             return np.empty(0, int), np.empty(0)
         terms, w = v
-        bounds = w @ self.largest[terms]
-        query = np.zeros(len(self.slot))
-        query[terms] = w
-        rows, cosines, kth = [], [], 0.0
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or bounds[b] * (1 + 1e-12) < kth:
-                break
-            t, local, weights, n = self.postings[b]
-            c = np.bincount(local, query[t] * weights, n)
-            rows.append(b * self.block + np.arange(n))
-            cosines.append(c)
-            got = np.concatenate(cosines)
-            if len(got) >= k:
-                kth = float(np.partition(got, len(got) - k)[len(got) - k])
-        if not rows:
-            return np.empty(0, int), np.empty(0)
-        r, c = np.concatenate(rows), np.concatenate(cosines)
+        entry, times = _ranges(self.entries[terms], self.entries[terms + 1])
+        w, in_block = np.repeat(w, times), self.entry_block[entry]
+        bounds = np.bincount(in_block, w * self.entry_largest[entry], self.blocks)
+        first = np.zeros(self.blocks, bool)
+        first[np.argsort(-bounds, kind="stable")[:FIRST]] = True
+
+        def cosines(visited):
+            take = visited[in_block]
+            at, times = _ranges(self.entry_at[entry[take]], self.entry_at[entry[take] + 1])
+            return np.bincount(self.rows[at], np.repeat(w[take], times) * self.weights[at], len(self.ids))
+
+        c = cosines(first)
+        kth = float(np.partition(c, len(c) - k)[len(c) - k]) if len(c) >= k else 0.0
+        more = ~first & (bounds > 0) & (bounds * (1 + 1e-12) >= kth)
+        if more.any():
+            c = c + cosines(more)
+        r = np.flatnonzero(c)
+        c = c[r]
         order = np.lexsort((r, -np.round(c, 12)))[:k]
         order = order[c[order] > 0]
         return r[order], c[order]
@@ -159,24 +170,26 @@ def _class_counts(rows: DataFrame) -> DataFrame:
             .groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")))
 
 
-def _telling(counts: DataFrame, n1: int, n0: int, min_docs: int, min_z: float, min_ratio: float,
-             max_features: int) -> dict[str, float]:
-    """IDF of the features that tell the classes apart."""
-    both, r1, r0 = F.col("n1") + F.col("n0"), F.col("n1") / n1, F.col("n0") / n0
-    p = both / (n1 + n0)
-    z = F.abs(r1 - r0) / F.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
-    ratio = F.greatest((r1 + 1e-9) / (r0 + 1e-9), (r0 + 1e-9) / (r1 + 1e-9))
-    kept = (counts.where((both >= min_docs) & (both < n1 + n0)).withColumn("z", z)
-            .where((F.col("z") >= min_z) & (ratio >= min_ratio))
-            .orderBy(F.desc("z"), "feature").limit(max_features))
-    return {r.feature: math.log((1 + n1 + n0) / (1 + r.n1 + r.n0)) for r in kept.collect()}
+def _weight(n1_of: np.ndarray, n0_of: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """A feature's weight: its IDF, times how far its rates in the classes are apart, to the square.
+
+    Rates are compared, so more rows of the same kind change no weight, but for features that only
+    few texts hold."""
+    both, r1, r0 = n1_of + n0_of, n1_of / n1, n0_of / n0
+    apart = np.abs(r1 - r0) / (r1 + r0) * both / (both + FEW)
+    return (1 + np.log((1 + n1 + n0) / (1 + both))) * (FLOOR + (1 - FLOOR) * apart ** 2)
+
 
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges one after another, and each range's size."""
+    sizes = ends - starts
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum()), sizes
 
-def fit_index(labelled: DataFrame, per_class: int = PER_CLASS, min_docs: int = 5, min_z: float = 5.0,
-              min_ratio: float = 3.0, max_features: int = 4096) -> Index:
+
+def fit_index(labelled: DataFrame, per_class: int = PER_CLASS) -> Index:
     """Index of ``labelled(doc_id, text, label)``; rows with a null label are left out.
 
-    The driver gets at most ``max_features`` features and ``2 * per_class`` sparse vectors.  With
+    The driver gets the features of ``2 * per_class`` texts and their sparse vectors.  With
     one class or none the index is empty and every score is the training rate (0 without rows).
     Rows of one id and label give the index one vector (of the smallest text).
     """
@@ -186,7 +199,6 @@ def fit_index(labelled: DataFrame, per_class: int = PER_CLASS, min_docs: int = 5
     n1, n = rows.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count(F.lit(1))).first()
     if not 0 < n1 < n:
         return Index({}, [], n1 / n if n else 0.0)
-    idf = _telling(_class_counts(rows), n1, n - n1, min_docs, min_z, min_ratio, max_features)
     # Ids of small hash first, about OVERSAMPLE times as many as wanted: the window sees no more.
     share = F.when(F.col("label") == 1, OVERSAMPLE * per_class / n1).otherwise(OVERSAMPLE * per_class / (n - n1))
     near = (rows.select("doc_id", "label", F.xxhash64(F.col("doc_id").cast("string")).alias("h"))
@@ -195,17 +207,27 @@ def fit_index(labelled: DataFrame, per_class: int = PER_CLASS, min_docs: int = 5
     chosen = (near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_class)
               .select("doc_id", "label"))
 
+    scratch = Scratch(labelled.sparkSession, "toxicity")
+    sample = scratch.save(rows.join(F.broadcast(chosen), ["doc_id", "label"])  # 2 * per_class ids
+                          .groupBy("doc_id", "label").agg(F.min("text").alias("text")))
+    # All features of the sample, with their counts over all rows.
+    here = _class_counts(sample).select("feature")
+    got = _class_counts(rows).join(here, "feature", "left_semi").toArrow()
+    weight = _weight(got["n1"].to_numpy().astype(float), got["n0"].to_numpy().astype(float), n1, n - n1)
+    idf = dict(zip(got["feature"].to_pylist(), weight.tolist()))
+    shared = labelled.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(sorted(idf))})
+
     def run(batches):
+        slot = shared.value
         for b in row_blocks(batches):
-            kept = [[(f, c) for f, c in features(t).items() if f in idf] for t in b.column(2).to_pylist()]
+            found = [features(t) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(kept, pa.map_(pa.string(), pa.int64()))],
-                ["doc_id", "label", "counts"])
+                [b.column(0), b.column(1), pa.array([[slot[f] for f in c] for c in found], pa.list_(pa.int32())),
+                 pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], ["doc_id", "label", "slots", "counts"])
 
-    got = (rows.join(F.broadcast(chosen), ["doc_id", "label"])  # 2 * per_class ids
-           .groupBy("doc_id", "label").agg(F.min("text").alias("text"))
-           .mapInArrow(run, "doc_id long, label int, counts map<string,bigint>").collect())
-    return Index(idf, [(r.doc_id, r.label, r.counts) for r in got], n1 / n)
+    got = sample.mapInArrow(run, "doc_id long, label int, slots array<int>, counts array<int>").toArrow()
+    return Index(idf, [(i, y, (np.asarray(t.values, np.int64), np.asarray(c.values, float))) for i, y, t, c in zip(
+        got["doc_id"].to_pylist(), got["label"].to_pylist(), got["slots"], got["counts"])], n1 / n)
 
 
 def score_texts(spark: SparkSession, docs: DataFrame, index: Index, id_col: str = "doc_id",
