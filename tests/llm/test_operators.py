@@ -447,3 +447,17 @@ def test_toxicity_vectors_hold_every_word(spark):
     assert len(index.ids) == 44 and {"calm", "mild", "word7", "other2"} <= set(index.slot)
     assert len(index.neighbours(toxicity.features("calm mild day"))[0]) > 0
     assert index.score(toxicity.features("grumblexa day"))[0] > 0.5 > index.score(toxicity.features("mild day"))[0]
+
+
+def test_vectors_of_few_directions_on_many_cells(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "CELL_ROWS", 64)
+    rng = np.random.default_rng(15)
+    scale = 1 / np.arange(1, 65)
+    x = np.repeat(rng.standard_normal((40, 64)) * scale, 30, axis=0) + 0.4 * rng.standard_normal((1200, 64)) * scale
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    grid = embeddings.fit_grid(x, 1200, 0.93)
+    assert len(grid.books[0]) == 13 and len(np.unique(grid.cells(x))) > 60
+    links = (x @ x.T >= 0.93).sum(1) - 1
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.id: r for r in embeddings.near_vectors(spark, df).collect()}
+    assert [got[i].n_links for i in range(1200)] == links.tolist()

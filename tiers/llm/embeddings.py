@@ -4,9 +4,9 @@ Unit vectors are cut in halves; each half has its own codebook (k-means on a bou
 a vector lies in the cell (nearest codeword of the first half, of the second half) of the product
 grid, one grid per label.  For a query, the multi-sequence order visits cells by increasing
 distance; here a cell's distance is how far the query lies beyond the borders between its own
-cell and that one (0 for its own).  Visiting stops at a radius calibrated to the target recall:
-sample vectors are moved in random directions to exactly the similarity threshold, and the
-radius is the distance that all but ``1 - recall`` of them stay within.  Every row is indexed;
+cell and that one (0 for its own).  No vector of a cell is nearer to the query than that, so visiting
+stops at the distance of unit vectors at exactly the similarity threshold, and no pair is missed.
+Every row is indexed;
 found pairs are verified in double precision.
 
 Vectors with equal label and equal components are one class.  A pair of cells is visited from the
@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 from tiers.llm.common import Scratch
 from tiers.llm.components import connected_components
 
-SAMPLE_ROWS = 8192      # vectors that the codebooks and the radius are fitted on
+SAMPLE_ROWS = 8192      # vectors that the codebooks are fitted on
 CELL_ROWS = 2048        # classes per label and cell that the grid is sized for
 MAX_WORDS = 256         # codewords per half
 BLOCK_ROWS = 1024
-RECALL = 0.999
+SLACK = 1e-6            # on the radius, for rounding
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
@@ -47,10 +47,10 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -
 
 
 class Grid:
-    """The two codebooks, and the radius to visit."""
+    """The two codebooks, and the radius to visit: no pair of at least ``cosine`` lies beyond it."""
 
-    def __init__(self, first: np.ndarray, second: np.ndarray):
-        self.books, self.radius = (first, second), math.inf
+    def __init__(self, first: np.ndarray, second: np.ndarray, cosine: float):
+        self.books, self.radius = (first, second), math.sqrt(max(0.0, 2 - 2 * cosine)) + SLACK
         self.apart = [np.sqrt(((b[:, None] - b[None]) ** 2).sum(2)) for b in self.books]
 
     def beyond(self, half: int, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,8 +58,9 @@ class Grid:
         book = self.books[half]
         d2 = np.maximum((x ** 2).sum(1)[:, None] + (book ** 2).sum(1) - 2 * x @ book.T, 0)
         own = d2.argmin(1)
-        gap = np.maximum(self.apart[half][own], 1e-12)
-        over = (d2 - d2[np.arange(len(x)), own][:, None]) / (2 * gap)
+        gap = self.apart[half][own]
+        over = (d2 - d2[np.arange(len(x)), own][:, None]) / (2 * np.maximum(gap, SLACK))
+        over[gap < SLACK] = 0
         over[np.arange(len(x)), own] = 0
         return own, np.maximum(over, 0)
 
@@ -71,23 +72,6 @@ class Grid:
         (a, _), (b, _) = self.parts(x)
         return a * len(self.books[1]) + b
 
-    def calibrate(self, x: np.ndarray, cosine: float, recall: float, rng: np.random.Generator) -> None:
-        """Set the radius from vectors at exactly the threshold in random directions."""
-        away = rng.standard_normal((4,) + x.shape)
-        away -= (away * x).sum(2, keepdims=True) * x
-        away /= np.linalg.norm(away, axis=2, keepdims=True)
-        far = []
-        (_, da), (_, db) = self.parts(x)
-        for y in cosine * x + math.sqrt(1 - cosine ** 2) * away:
-            (ya, ea), (yb, eb) = self.parts(y)
-            (a, _), (b, _) = self.parts(x)
-            rows = np.arange(len(x))
-            forth = np.hypot(da[rows, ya], db[rows, yb])
-            back = np.hypot(ea[rows, a], eb[rows, b])
-            # A pair of cells is visited from the lower one only.
-            far.append(np.where(a * len(self.books[1]) + b <= ya * len(self.books[1]) + yb, forth, back))
-        self.radius = float(np.quantile(np.concatenate(far), recall)) + 1e-9
-
     def visits(self, da: np.ndarray, db: np.ndarray):
         """Multi-sequence traversal: cells by increasing distance, until the radius."""
         ia, ib = np.argsort(da, kind="stable"), np.argsort(db, kind="stable")
@@ -105,13 +89,12 @@ class Grid:
                     heapq.heappush(heap, (pa_[n[0]] + pb[n[1]], *n))
 
 
-def fit_grid(sample: np.ndarray, rows_per_label: float, cosine: float, recall: float, seed: int = 11) -> Grid:
+def fit_grid(sample: np.ndarray, rows_per_label: float, cosine: float, seed: int = 11) -> Grid:
     rng = np.random.default_rng(seed)
-    k = max(1, min(MAX_WORDS, len(sample) // 8, math.ceil(math.sqrt(rows_per_label / CELL_ROWS * 8))))
+    k = math.ceil(math.sqrt(rows_per_label / CELL_ROWS * 8))
+    k = max(1, min(MAX_WORDS, len(sample) // 8, k))
     cut = sample.shape[1] // 2
-    grid = Grid(_kmeans(sample[:, :cut], k, rng), _kmeans(sample[:, cut:], k, rng))
-    grid.calibrate(sample[:2048], cosine, recall, rng)
-    return grid
+    return Grid(_kmeans(sample[:, :cut], k, rng), _kmeans(sample[:, cut:], k, rng), cosine)
 
 
 def _unit(packed) -> np.ndarray:
@@ -132,7 +115,7 @@ def _forest(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np
 
 
 def near_vectors(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                 label_col: str = "label", cosine: float = 0.93, recall: float = RECALL) -> DataFrame:
+                 label_col: str = "label", cosine: float = 0.93) -> DataFrame:
     """``(id, n_links, component_id, kept)`` per row of ``vectors``.
 
     Rows are compared if their labels are equal and not null; a link is a cosine of at least
@@ -160,7 +143,7 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_id"
     packed = scratch.save(classes.select("rep", "label", "v", "times").mapInArrow(
         pack, f"rep long, label {kind}, dim int, times long, vec binary"))
     dims = [r.dim for r in packed.groupBy("dim").count().where("count > 1").select("dim").collect()]  # few lengths
-    found = [_one_length(spark, scratch, packed.where(F.col("dim") == d), kind, cosine, recall) for d in sorted(dims)]
+    found = [_one_length(spark, scratch, packed.where(F.col("dim") == d), kind, cosine) for d in sorted(dims)]
 
     own = packed.select(F.col("rep"), (F.col("times") - 1).alias("links"))
     edges = None
@@ -184,12 +167,11 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_id"
             .withColumn("kept", F.coalesce(F.col("component_id") == F.col("id"), F.lit(True))))
 
 
-def _one_length(spark: SparkSession, scratch: Scratch, packed: DataFrame, kind: str, cosine: float,
-                recall: float) -> DataFrame:
+def _one_length(spark: SparkSession, scratch: Scratch, packed: DataFrame, kind: str, cosine: float) -> DataFrame:
     """``(rep, links, root)`` partial counts and forest edges of vectors of one length."""
     n, labels = packed.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
     chosen = packed.orderBy(F.xxhash64("rep"), "rep").limit(min(SAMPLE_ROWS, n)).select("vec").collect()
-    grid = fit_grid(_unit([bytes(r.vec) for r in chosen]), n / max(1, labels), cosine, recall)
+    grid = fit_grid(_unit([bytes(r.vec) for r in chosen]), n / max(1, labels), cosine)
     shared = spark.sparkContext.broadcast(grid)
 
     def deal(batches):
