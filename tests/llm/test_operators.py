@@ -461,3 +461,9 @@ def test_vectors_of_few_directions_on_many_cells(spark, monkeypatch):
     df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
     got = {r.id: r for r in embeddings.near_vectors(spark, df).collect()}
     assert [got[i].n_links for i in range(1200)] == links.tolist()
+
+
+def test_vector_grid_on_small_tables():
+    x = np.random.default_rng(16).standard_normal((200, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert len(embeddings.fit_grid(x, 50, 0.93).books[0]) == embeddings.MIN_WORDS > 1

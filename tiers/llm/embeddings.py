@@ -6,7 +6,7 @@ grid, one grid per label.  For a query, the multi-sequence order visits cells by
 distance; here a cell's distance is how far the query lies beyond the borders between its own
 cell and that one (0 for its own).  No vector of a cell is nearer to the query than that, so visiting
 stops at the distance of unit vectors at exactly the similarity threshold, and no pair is missed.
-Every row is indexed;
+The grid is used at every size.  Every row is indexed;
 found pairs are verified in double precision.
 
 Vectors with equal label and equal components are one class.  A pair of cells is visited from the
@@ -31,7 +31,7 @@ from tiers.llm.components import connected_components
 
 SAMPLE_ROWS = 8192      # vectors that the codebooks are fitted on
 CELL_ROWS = 2048        # classes per label and cell that the grid is sized for
-MAX_WORDS = 256         # codewords per half
+MIN_WORDS, MAX_WORDS = 4, 256  # codewords per half (fewer on a few rows only)
 BLOCK_ROWS = 1024
 SLACK = 1e-6            # on the radius, for rounding
 
@@ -91,7 +91,7 @@ class Grid:
 
 def fit_grid(sample: np.ndarray, rows_per_label: float, cosine: float, seed: int = 11) -> Grid:
     rng = np.random.default_rng(seed)
-    k = math.ceil(math.sqrt(rows_per_label / CELL_ROWS * 8))
+    k = max(MIN_WORDS, math.ceil(math.sqrt(rows_per_label / CELL_ROWS * 8)))
     k = max(1, min(MAX_WORDS, len(sample) // 8, k))
     cut = sample.shape[1] // 2
     return Grid(_kmeans(sample[:, :cut], k, rng), _kmeans(sample[:, cut:], k, rng), cosine)
@@ -169,9 +169,9 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_id"
 
 def _one_length(spark: SparkSession, scratch: Scratch, packed: DataFrame, kind: str, cosine: float) -> DataFrame:
     """``(rep, links, root)`` partial counts and forest edges of vectors of one length."""
-    n, labels = packed.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
+    n, largest = packed.groupBy("label").count().agg(F.sum("count"), F.max("count")).first()
     chosen = packed.orderBy(F.xxhash64("rep"), "rep").limit(min(SAMPLE_ROWS, n)).select("vec").collect()
-    grid = fit_grid(_unit([bytes(r.vec) for r in chosen]), n / max(1, labels), cosine)
+    grid = fit_grid(_unit([bytes(r.vec) for r in chosen]), largest, cosine)
     shared = spark.sparkContext.broadcast(grid)
 
     def deal(batches):
