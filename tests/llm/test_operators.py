@@ -467,3 +467,12 @@ def test_vector_grid_on_small_tables():
     x = np.random.default_rng(16).standard_normal((200, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     assert len(embeddings.fit_grid(x, 50, 0.93).books[0]) == embeddings.MIN_WORDS > 1
+
+
+def test_language_pieces_come_from_the_whole_text(spark):
+    rnd = random.Random(17)
+    opening = words(rnd, 60) + " "
+    rows = [(i, opening + " ".join(rnd.choice(v) for _ in range(150)), lang) for i in range(40)
+            for lang, v in [("aa", "uno dos tres cuatro cinco".split()), ("bb", "eins zwei drei vier acht".split())][i % 2:i % 2 + 1]]
+    model = langid.fit_dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"), piece_chars=200)
+    assert b"cuatro" in model["aa"] and b"zwei" in model["bb"] and b"zwei" not in model["aa"]

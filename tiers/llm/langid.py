@@ -36,11 +36,16 @@ def letters(text: str) -> bytes:
 
 def fit_dictionaries(labelled: DataFrame, docs_per_lang: int = 48, piece_chars: int = 2048,
                      id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
-    """One raw-content dictionary per language value; rows without text or language are left out."""
+    """One raw-content dictionary per language value; rows without text or language are left out.
+
+    A piece starts anywhere in its text, by a hash of the id."""
+    name = F.col(id_col).cast("string")
+    starts = F.greatest(F.length(text_col) - piece_chars, F.lit(0)) + 1
+    start = (F.pmod(F.xxhash64(name, F.lit("start")), starts) + 1).cast("int")
     order = Window.partitionBy("lang").orderBy("h", "piece")
     sample = (labelled.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
-              .select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h"),
-                      F.substring(text_col, 1, piece_chars).alias("piece"))
+              .select(F.col(lang_col).alias("lang"), F.xxhash64(name).alias("h"),
+                      F.substring(F.col(text_col), start, F.lit(piece_chars)).alias("piece"))
               .withColumn("n", F.row_number().over(order)).where(F.col("n") <= docs_per_lang))
     pieces: dict[str, list] = {}
     for r in sample.collect():
