@@ -26,7 +26,7 @@ def test_query_matches_oracle(spark, name):
     assert _digest(rows, df.columns) == _digest(res.fetchall(), res.columns)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"op13_spelling_variants"}))
 def test_query_has_a_row_per_document(spark, name):
     ids = [r.doc_id for r in QUERIES[name](spark, SF_SMALL).select("doc_id").collect()]
     assert sorted(ids) == sorted(r.doc_id for r in read_table(spark, SF_SMALL, "documents").select("doc_id").collect())

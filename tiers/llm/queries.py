@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiers.llm import bpe, ctw, embeddings, langid, lines, merkle, minhash, mixing, pii, toxicity
+from tiers.llm import (align, bpe, ctw, embeddings, langid, lines, merkle, minhash, mixing, piece_counts, pii, spelling,
+                       toxicity)
 from tiers.llm.common import read_table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
+BYTE_LEVEL = "byte_bpe_50k.json"
 
 
 def _remainder(n: int):
@@ -77,6 +80,22 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("held_out", F.coalesce(_remainder(7) == 2, F.lit(False))))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its bytes and its tokens under the piece model."""
+    return piece_counts.count_tokens(read_table(spark, sf_dir, "documents"), PIECES)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the groups and links of its byte-level tokens and its pieces."""
+    return align.align(spark, read_table(spark, sf_dir, "documents"), BYTE_LEVEL, PIECES).withColumnRenamed("id", "doc_id")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per word of the corpus: its near words, its form and its root."""
+    return spelling.variant_groups(spark, read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_byte_bpe, op3_personal_data, op4_document_fingerprints, op5_language_id,
-    op6_source_mix, op7_toxicity, op8_minhash_near_dedup, op9_line_dedup, op10_lm_scores)}
+    op6_source_mix, op7_toxicity, op8_minhash_near_dedup, op9_line_dedup, op10_lm_scores, op11_token_counts,
+    op12_token_alignment, op13_spelling_variants)}
