@@ -79,6 +79,7 @@ def test_exact_money_beyond_bigint(spark):
 
 @pytest.mark.parametrize("failing", [1, 2, 3])
 def test_failing_swap_step_keeps_rows_under_the_name(spark, env, monkeypatch, failing):
+    """A refresh that changes the schema: a failing rename puts the former table back."""
     from tiers.sources import tables
     name = env.table("swap_t")
     tables.overwrite_table(spark.range(3), name)
@@ -86,7 +87,7 @@ def test_failing_swap_step_keeps_rows_under_the_name(spark, env, monkeypatch, fa
     real = session.sql
 
     def sql(self, text, *a, **k):
-        if "RENAME" in text or ("DROP" in text and "__previous_" in text):
+        if "RENAME" in text or ("DROP" in text and "__previous" in text):
             calls.append(text)
             if len(calls) == failing:
                 raise RuntimeError("injected")
@@ -94,9 +95,11 @@ def test_failing_swap_step_keeps_rows_under_the_name(spark, env, monkeypatch, fa
 
     monkeypatch.setattr(session, "sql", sql)
     with pytest.raises(RuntimeError, match="injected"):
-        tables.overwrite_table(spark.range(5), name)
+        tables.overwrite_table(spark.range(5).selectExpr("id", "'x' AS tag"), name)
     monkeypatch.undo()
     assert spark.table(name).count() == (5 if failing == 3 else 3)
+    assert tables.overwrite_table(spark.range(7), name) == 7
+    assert [t.name for t in spark.catalog.listTables(env.namespace)] == ["swap_t"]
 
 
 def test_synthetic_ids_beyond_the_modulus_differ(spark):

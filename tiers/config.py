@@ -25,11 +25,13 @@ class Env:
     executors); the landing folder is ``{landing_root}/{catalog}/{schema}/raw_data``
     unless ``landing_path`` is given.  ``schema_location`` places the schema's managed tables
     (default: the warehouse dir).  ``swap_overwrite`` chooses how layer tables are
-    replaced (``None``: staged write + rename swap for non-Delta formats; see
+    replaced (``None``: a new version folder and one catalog change for non-Delta formats; see
     ``tiers.sources.tables.overwrite_table``).  ``silver_cluster_by`` sorts each silver
     file by these columns before the write (a local sort, no shuffle): with ``status``
     clustered, the gold scans' pushed ``status = 'completed'`` skips the row groups of
     other statuses instead of reading them.  Row order is not part of the table's contract.
+    ``skip_null_keys`` keeps rows without an order id, which the rules drop anyway, out of the
+    dedup's shuffle (same rows, same counts).
     """
 
     schema: str = "sales_lab"
@@ -42,6 +44,7 @@ class Env:
     path_glob: str | None = None
     swap_overwrite: bool | None = None
     silver_cluster_by: tuple[str, ...] = ("status",)
+    skip_null_keys: bool = True
 
     def table(self, name: str) -> str:
         return f"{self.catalog}.{self.schema}.{name}"

@@ -18,11 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tiers import config
 from tiers.config import Env
+from tiers.functions.predicates import is_completed
 from tiers.plans import gold, silver
 from tiers.plans.bronze import bronze
 from tiers.plans.preflight import preflight_report, require
-from tiers.session import plan_bytes, sized_shuffles
+from tiers.plans.sizing import TARGET_SHUFFLE_BYTES, estimate
+from tiers.session import TARGET_PARTITION_BYTES, plan_bytes, step_session
 from tiers.sources.tables import create_schema, create_tables, overwrite_table, write_csv
+from tiers.sources.versions import table_facts
 
 
 def bootstrap(spark: SparkSession, env: Env, landing_rows: DataFrame | None = None,
@@ -45,7 +48,7 @@ class RunReport:
     def lines(self, env: Env) -> list[str]:
         """The human-readable run summary: preflight, then one line per written table."""
         p = self.preflight
-        out = [f"preflight passed: {p['csv_files']} CSV file(s), {p['csv_bytes']:,} bytes, "
+        out = [] if not p else [f"preflight passed: {p['csv_files']} CSV file(s), {p['csv_bytes']:,} bytes, "
                f"{p['cols']} columns in {p['source']} (run date {p['run_date']})"]
         for table, n in self.rows.items():
             out.append(f"written: {env.table(table)} ({n:,} rows)")
@@ -68,11 +71,24 @@ def run_bronze(spark: SparkSession, env: Env, strict_header: bool = False) -> in
                            swap=env.swap_overwrite)
 
 
-def silver_write_frame(spark: SparkSession, env: Env, mode: str = "lenient",
-                       bronze_rows: int | None = None) -> tuple[DataFrame, silver.SilverCounters]:
+# Each step from silver on runs in a sibling session of its own, with the partition count that its own shuffles
+# need: steps that run side by side do not see each other's, nor does the caller (``session.step_session``).
+
+def _publish(spark: SparkSession, env: Env, table: str, frame: DataFrame, facts=None) -> int:
+    rows = overwrite_table(frame, env.table(table), env.fmt, swap=env.swap_overwrite, facts=facts)
+    if frame.sparkSession is not spark:
+        spark.catalog.refreshTable(env.table(table))  # the caller may have looked at the former version
+    return rows
+
+
+def silver_write_frame(spark: SparkSession, env: Env, mode: str = "lenient", bronze_rows: int | None = None,
+                       target_bytes: int = TARGET_PARTITION_BYTES) -> tuple[DataFrame, silver.SilverCounters]:
     """What the silver step writes: silver rows from the bronze table with their counters,
-    each file clustered by ``env.silver_cluster_by``."""
-    rows, counters = silver.silver_observed(spark.table(env.table(config.BRONZE)), mode, bronze_rows=bronze_rows)
+    each file clustered by ``env.silver_cluster_by``; the dedup shuffle sized to the bronze table's bytes."""
+    size = plan_bytes(spark.table(env.table(config.BRONZE)))
+    own = step_session(spark, max(1, -(-size // target_bytes)))
+    rows, counters = silver.silver_observed(own.table(env.table(config.BRONZE)), mode, bronze_rows=bronze_rows,
+                                            skip_null_keys=env.skip_null_keys)
     if env.silver_cluster_by:
         rows = rows.sortWithinPartitions(*env.silver_cluster_by)
     return rows, counters
@@ -81,21 +97,36 @@ def silver_write_frame(spark: SparkSession, env: Env, mode: str = "lenient",
 def run_silver(spark: SparkSession, env: Env, mode: str = "lenient", bronze_rows: int | None = None) -> dict:
     """Write silver from the bronze table; returns bronze/silver rows, duplicates, quality drops.
 
-    The dedup shuffle is sized to the bronze table's bytes, for this step only."""
+    The counts are stored with the written version (``sources.versions.table_facts``)."""
     rows, counters = silver_write_frame(spark, env, mode, bronze_rows)
-    with sized_shuffles(spark, plan_bytes(spark.table(env.table(config.BRONZE)))):
-        overwrite_table(rows, env.table(config.SILVER), env.fmt, swap=env.swap_overwrite)
+    _publish(spark, env, config.SILVER, rows, facts=counters.report)
     return counters.report()
 
 
+def gold_sales_frame(spark: SparkSession, env: Env, exact_money: bool = False,
+                     target_bytes: int = TARGET_SHUFFLE_BYTES) -> DataFrame:
+    """Gold sales from the silver table, its shuffles sized to the distinct (region, month, customer) of the
+    completed orders: the wider of its two groupings, which counts customers."""
+    done = spark.table(env.table(config.SILVER)).filter(is_completed())
+    own = step_session(spark, estimate(done, ("region", "year_month", "customer_id"), 5).partitions(target_bytes))
+    return gold.sales_by_region(own.table(env.table(config.SILVER)), exact_money)
+
+
+def gold_products_frame(spark: SparkSession, env: Env, exact_money: bool = False,
+                        target_bytes: int = TARGET_SHUFFLE_BYTES) -> DataFrame:
+    """Gold products from the silver table, its shuffles (the grouping's and the sort's) sized to the distinct
+    (product, category) of the completed orders."""
+    done = spark.table(env.table(config.SILVER)).filter(is_completed())
+    own = step_session(spark, estimate(done, ("product", "category"), 6).partitions(target_bytes))
+    return gold.top_products(own.table(env.table(config.SILVER)), exact_money)
+
+
 def run_gold_sales(spark: SparkSession, env: Env, exact_money: bool = False) -> int:
-    frame = gold.sales_by_region(spark.table(env.table(config.SILVER)), exact_money)
-    return overwrite_table(frame, env.table(config.GOLD_SALES), env.fmt, swap=env.swap_overwrite)
+    return _publish(spark, env, config.GOLD_SALES, gold_sales_frame(spark, env, exact_money))
 
 
 def run_gold_products(spark: SparkSession, env: Env, exact_money: bool = False) -> int:
-    frame = gold.top_products(spark.table(env.table(config.SILVER)), exact_money)
-    return overwrite_table(frame, env.table(config.GOLD_PRODUCTS), env.fmt, swap=env.swap_overwrite)
+    return _publish(spark, env, config.GOLD_PRODUCTS, gold_products_frame(spark, env, exact_money))
 
 
 def run(spark: SparkSession, env: Env, mode: str = "lenient", strict_header: bool = False,
@@ -112,6 +143,25 @@ def run(spark: SparkSession, env: Env, mode: str = "lenient", strict_header: boo
     report.silver_metrics = run_silver(spark, env, mode, bronze_rows=report.rows[config.BRONZE])
     report.rows[config.SILVER] = report.silver_metrics["silver_rows"]
 
+    return _run_golds(spark, env, report, exact_money, parallel_gold)
+
+
+def resume(spark: SparkSession, env: Env, exact_money: bool = False, parallel_gold: bool = True) -> RunReport:
+    """The rest of a refresh that stopped after silver: the golds, from the stored silver table.
+
+    Bronze's and silver's counts are those stored with the tables' present versions, so the report is the one
+    that the whole run would have given.  Raises if silver has no stored counts."""
+    bronze, done = (table_facts(spark, env.table(t)) for t in (config.BRONZE, config.SILVER))
+    if not done or "silver_rows" not in done:
+        raise RuntimeError(f"{env.table(config.SILVER)} was not written by a refresh: run the whole refresh")
+    report = RunReport(preflight={})
+    report.rows[config.BRONZE] = bronze["rows"] if bronze else done["bronze_rows"]
+    report.silver_metrics = {k: v for k, v in done.items() if k != "rows"}
+    report.rows[config.SILVER] = done["silver_rows"]
+    return _run_golds(spark, env, report, exact_money, parallel_gold)
+
+
+def _run_golds(spark: SparkSession, env: Env, report: RunReport, exact_money: bool, parallel_gold: bool) -> RunReport:
     golds = {config.GOLD_SALES: run_gold_sales, config.GOLD_PRODUCTS: run_gold_products}
     if parallel_gold:
         with ThreadPoolExecutor(max_workers=len(golds)) as pool:

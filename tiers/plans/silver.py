@@ -64,15 +64,22 @@ class SilverCounters:
     deduped: Counter
     silver: Counter
 
+    null_keys: int = 0      # rows without a key that were left out before the dedup
+
     def report(self) -> dict[str, int]:
         b, d, s = self.bronze_rows, self.deduped.value, self.silver.value
+        d += 1 if self.null_keys else 0     # dedup would have kept one of them, and the rules dropped it
         return {"bronze_rows": b, "duplicates": b - d, "quality_drops": d - s, "silver_rows": s}
 
 
 def silver_observed(bronze: DataFrame, mode: str = "lenient",
-                    bronze_rows: int | None = None) -> tuple[DataFrame, SilverCounters]:
+                    bronze_rows: int | None = None, skip_null_keys: bool = True) -> tuple[DataFrame, SilverCounters]:
     """Silver rows with counters after dedup and after the filter, plus the input count.
 
+    Rows without a key all form one group, of which the dedup keeps one row and the rules then none.  With
+    ``skip_null_keys`` they are filtered out in the scan and never reach the shuffle; they are counted by themselves (a
+    one-column scan, which skips the row groups without NULLs), and the report is the same.
+
     Both counters sit after the dedup shuffle, i.e. in the result stage of the
     job that writes silver: they count each written partition once even when
     tasks are retried or a lost map output forces a stage re-run (a counter
@@ -83,9 +90,13 @@ def silver_observed(bronze: DataFrame, mode: str = "lenient",
     """
     if bronze_rows is None:
         bronze_rows = bronze.count()
+    null_keys = 0
+    if skip_null_keys and mode == "lenient":  # strict casts look at every row
+        null_keys = bronze.where(F.col(KEY).isNull()).count()
+        bronze = bronze.where(F.col(KEY).isNotNull())
     d, c_dedup = count_rows(dedup_orders(typed(bronze, mode)), "deduped")
     s, c_out = count_rows(quality_filter(d), "silver")
-    return s, SilverCounters(int(bronze_rows), c_dedup, c_out)
+    return s, SilverCounters(int(bronze_rows), c_dedup, c_out, null_keys)
 
 
 def metrics(bronze: DataFrame, mode: str = "lenient") -> DataFrame:

@@ -56,7 +56,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     machine-local folder is not visible to other executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    sc = _context(spark)
+    sc = session_context(spark)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if root:
@@ -73,7 +73,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/") if sc.getCheckpointDir() else root
 
 
-def _context(spark: SparkSession):
+def session_context(spark: SparkSession):
     """The SparkContext of a classic session; None for a Spark Connect session."""
     try:
         return spark.sparkContext
@@ -104,8 +104,7 @@ def sized_shuffles(spark: SparkSession, input_bytes: int,
     step fails.
     """
     wanted = max(1, -(-int(input_bytes) // target_partition_bytes))
-    key = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-           if spark.conf.get("spark.sql.adaptive.enabled", "true") == "true" else "spark.sql.shuffle.partitions")
+    key = _partition_key(spark)
     before = spark.conf.get(key, None)
     current = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
     if wanted <= current:
@@ -121,10 +120,35 @@ def sized_shuffles(spark: SparkSession, input_bytes: int,
             spark.conf.set(key, before)
 
 
+def step_session(spark: SparkSession, partitions: int) -> SparkSession:
+    """A sibling session for one step, whose shuffles start with at least ``partitions`` partitions.
+
+    It shares the application, the catalog and the caller's settings, but its own setting is seen by no other step:
+    two steps that run side by side each keep their count, and the caller's session is left as it is.
+    (A Spark Connect session is returned itself.)
+    """
+    if session_context(spark) is None:
+        return spark
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key) and own.conf.get(key, None) != value:
+            own.conf.set(key, value)
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    key = _partition_key(own)
+    if partitions > int(own.conf.get(key, None) or own.conf.get("spark.sql.shuffle.partitions")):
+        own.conf.set(key, str(partitions))
+    return own
+
+
+def _partition_key(spark: SparkSession) -> str:
+    return ("spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+            if spark.conf.get("spark.sql.adaptive.enabled", "true") == "true" else "spark.sql.shuffle.partitions")
+
+
 def session_key(spark: SparkSession) -> tuple[str, int]:
     """Identity of a live session for per-session caches: the application id (new for
     every SparkContext) and the session object (several sessions can share a context)."""
-    sc = _context(spark)
+    sc = session_context(spark)
     if sc is not None:
         return sc.applicationId, id(spark)
     return getattr(spark, "session_id", "") or spark.conf.get("spark.app.id", ""), id(spark)
