@@ -18,8 +18,10 @@ A run over a table has three steps, each from a written table, so a lost executo
    links (so at most ``HOT_PAIRS`` pairs, whatever the corpus) are broadcast; the others are rare by
    that definition and meet their texts in a shuffle join.  No pair is left out.
 
-Long texts are cut where both tokenizers surely cut, at a single space between word characters, and
-treated in blocks of ``BLOCK_CHARS``; their parts' results are put together.
+Texts are cut where both tokenizers surely cut, at a single space between two other characters.  The units
+between are the blocks on the matrices' diagonal: each distinct one is encoded and multiplied once per
+worker (a bounded table keeps the results), and a text's result is its units' put together.  Long texts are
+read in stretches of ``BLOCK_CHARS``.
 """
 
 from __future__ import annotations
@@ -39,9 +41,11 @@ from tiers.llm.common import Scratch, ship
 HOT_PAIRS = 500_000
 BLOCK_CHARS = 1 << 18
 BLOCK_TEXTS = 256
+KNOWN_UNITS = 200_000     # units a worker remembers; then it starts over
+KNOWN_CHARS = 48          # longer units are not remembered
 
-#: A place at which both tokenizers end a token: a single space between two word characters.
-CUT = re.compile(r"(?<=\w) (?=\w)")
+#: A place at which both tokenizers end a token: a single space between two characters that are no white space.
+CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
 
 
 # ---- sparse matrices ----------------------------------------------------------------------------
@@ -189,9 +193,12 @@ class Aligner:
         self.said = [f"{i}," for i in range(n)] + [f"{i}|" for i in range(n)] + \
             [f"{i}," for i in range(m)] + [f"{i};" for i in range(m)]
         self.base = (0, n, 2 * n, 2 * n + m)
+        self.known: dict[str, tuple | None] = {}
+        if any(b" " in x.lstrip(b" ") for x in self.b.bytes_of):  # A's words are split before its merges
+            raise ValueError("B's vocabulary has entries across words")
 
-    def parts(self, text: str) -> list[str]:
-        """The text's parts: without the space at which they are cut."""
+    def stretches(self, text: str) -> list[str]:
+        """The text in stretches of bounded size, without the spaces at which they are cut."""
         out, at = [], 0
         while len(text) - at > BLOCK_CHARS:
             m = CUT.search(text, at + BLOCK_CHARS // 2)
@@ -202,8 +209,8 @@ class Aligner:
         return [*out, text[at:]]
 
     def block(self, parts: list[str]) -> list[tuple | None]:
-        """For each part ``(n_a, n_b, n_groups, link keys, groups as text)``; None where the joined bytes
-        of either tokenizer differ from the part's."""
+        """For each unit ``(n_a, n_b, packed link keys, groups as text)``; None where the joined bytes
+        of either tokenizer differ from the unit's."""
         ids_a, ids_b = self.a.encode(parts), self.b.encode(parts)
         same = [b"".join(map(self.a.bytes_of.__getitem__, x)) == (want := b" " + p.encode()) and
                 b"".join(map(self.b.bytes_of.__getitem__, y)) == want for p, x, y in zip(parts, ids_a, ids_b)]
@@ -226,38 +233,60 @@ class Aligner:
         to_link = np.searchsorted(i, to_a)
         found, a0, b0, l0 = [], 0, 0, 0
         for a1, b1, l1 in zip(to_a.tolist(), to_b.tolist(), to_link.tolist()):
-            found.append((a1 - a0, b1 - b0, l1 - l0, keys[l0:l1], "".join(words[a0 + b0:a1 + b1])))
+            found.append((a1 - a0, b1 - b0, keys[l0:l1].tobytes(), "".join(words[a0 + b0:a1 + b1])))
             a0, b0, l0 = a1, b1, l1
         rows = iter(found)
         return [next(rows) if ok else None for ok in same]
 
-    def texts(self, texts: list[str | None]) -> list[tuple]:
-        """For each text ``(n_a, n_b, n_groups, link keys, digest)``, in blocks of bounded size."""
-        out: list = [None] * len(texts)
-        open_, held, size = [], [], 0
-
-        def flush():
-            done = self.block([p for _, p in held])
-            for (k, _), got in zip(held, done):
-                open_[k][1].append(got)
-            held.clear()
-
-        for k, t in enumerate(texts):
-            open_.append((k, []))
-            for p in self.parts(t) if t else []:
-                held.append((k, p))
-                size += len(p)
+    def learn(self, units: list[str]) -> dict:
+        """The results of these units, with the new ones worked out in blocks of bounded size."""
+        results, new, size = {}, [], 0
+        if len(self.known) > KNOWN_UNITS:
+            self.known.clear()
+
+        def work():
+            for u, got in zip(new, self.block(new)):
+                results[u] = got
+                if len(u) <= KNOWN_CHARS:
+                    self.known[u] = got
+            new.clear()
+
+        for u in dict.fromkeys(units):
+            if u in self.known:
+                results[u] = self.known[u]
+            else:
+                new.append(u)
+                size += len(u)
                 if size >= BLOCK_CHARS:
-                    flush()
+                    work()
                     size = 0
-        flush()
-        for k, got in open_:
-            if not got or None in got:
-                out[k] = (0, 0, 0, np.empty(0, np.int64), "")
+        work()
+        return results
+
+    def texts(self, texts: list[str | None]) -> list[tuple]:
+        """For each text ``(n_a, n_b, number of links, packed link keys, digest)``."""
+        out, held, size = [(0, 0, 0, b"", "")] * len(texts), [], 0
+        pending = [(k, s) for k, t in enumerate(texts) if t for s in self.stretches(t)]
+        done: dict[int, list] = {}
+        for at, (k, stretch) in enumerate(pending):
+            held.append((k, CUT.split(stretch)))
+            size += len(stretch)
+            if size < BLOCK_CHARS and at + 1 < len(pending):
                 continue
-            text = "".join(g[4] for g in got)[:-1]
-            out[k] = (*(sum(g[x] for g in got) for x in range(3)), np.concatenate([g[3] for g in got]),
-                      hashlib.sha256(text.encode()).hexdigest())
+            results = self.learn([u for _, units in held for u in units])
+            for i, units in held:
+                got = list(map(results.__getitem__, units))
+                if None in got:
+                    done.setdefault(i, []).append(None)
+                    continue
+                n_a, n_b, keys, said = zip(*got)
+                done.setdefault(i, []).append((sum(n_a), sum(n_b), b"".join(keys), "".join(said)))
+            held, size = [], 0
+        for k, got in done.items():
+            if None not in got:
+                n_a, n_b, keys, said = zip(*got)
+                packed = b"".join(keys)
+                out[k] = (sum(n_a), sum(n_b), len(packed) // 8, packed, hashlib.sha256("".join(said)[:-1].encode()).hexdigest())
         return out
 
 
@@ -286,7 +315,7 @@ def encoded(docs: DataFrame, a: str, b: str, id_col: str, text_col: str) -> Data
                 n_a, n_b, n_g, keys, digests = zip(*c.texts(part.column(1).to_pylist()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *(pa.array(x, pa.int64()) for x in (n_a, n_b, n_g)), pa.array(digests, pa.string()),
-                     pa.array([k.astype(np.int64).tobytes() for k in keys], pa.binary())],
+                     pa.array(keys, pa.binary())],
                     ["id", "n_a", "n_b", "n_groups", "groups_sha256", "links"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(
