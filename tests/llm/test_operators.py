@@ -162,6 +162,29 @@ def test_personal_data_contexts(spark):
         assert all(s.kind_no == 3 for s in got[i].added)
 
 
+def test_mostly_unknown_identifiers(spark):
+    """Ten known numbers say what a context means; thirty unknown ones behind it are revealed, on either side."""
+    rnd = random.Random(40)
+    mail = lambda i: f"{words(rnd, 4)} name{i}@mail.org wrote back soon {words(rnd, 3)}"
+    texts = [f"{words(rnd, 4)} please call +49 30 55{i:02d}7713 {words(rnd, 3)}" for i in range(10)] + \
+        [f"{words(rnd, 4)} please call 030/55{i:02d}77130x {words(rnd, 3)}" for i in range(30)] + \
+        [mail(i) for i in range(8)] + [f"{words(rnd, 4)} {'w' * 900} (user-{i:06d}) wrote back soon" for i in range(12)] + \
+        [f"{words(rnd, 4)} invoice number 70{i:04d} {words(rnd, 3)}" for i in range(30)] + \
+        [f"the price is name{i}@mail.org each the price is {10000 + i} now" for i in range(5)] + ["the price is low"] * 30
+    rows = [*enumerate(texts), (500, None), (None, "please call 030/991234"), (0, texts[0]), (1, texts[12])]
+    got = pii.personal_data(spark, frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    by = {r.id: r for r in got if r.id is not None and r.id > 1}
+    for i, t in enumerate(texts):
+        if i < 2:
+            continue
+        added = [(t[s.start:s.stop], s.kind_no) for s in by[i].added]
+        want = ([(f"030/55{i - 10:02d}77130x", 3)] if 10 <= i < 40 else [(f"user-{i - 48:06d}", 0)] if 48 <= i < 60 else [])
+        assert added == want, t
+        assert [tuple(s) for s in by[i].base] == plain_spans(t)
+    assert [len(r.added) for r in got if r.id is None] == [1]
+
+
 # ---- 4 ---------------------------------------------------------------------------------------
 
 def test_fingerprints(spark):
@@ -266,6 +289,55 @@ def test_block_max_neighbours_are_exact():
         assert np.allclose(c, want[:len(c)]) and (len(c) == 20 or want[len(c)] < 1e-12)
 
 
+@pytest.mark.parametrize("tiles, block", [(0, 16), (5, 7), (4096, 64)])
+def test_toxicity_scores_against_brute_force(monkeypatch, tiles, block):
+    """Neighbours and scores straight from the definition: all cosines, then the weighted vote."""
+    monkeypatch.setattr(toxicity, "TILE_FEATURES", tiles)
+    monkeypatch.setattr(toxicity, "TILE_SHARE", 1 / 200)
+    rnd = random.Random(80)
+    vocabulary = ["".join(rnd.choice("abcde") for _ in range(rnd.randint(2, 7))) for _ in range(300)]
+    text = lambda: " ".join(rnd.choice(vocabulary[:rnd.choice([20, 300])]) for _ in range(rnd.randint(1, 40)))
+    rows = [(i, int(rnd.random() < 0.3), toxicity.features(text())) for i in range(400)]
+    rows += [(1000 + i, 1, rows[5][2]) for i in range(50)] + [(2000, 0, {}), (None, 0, toxicity.features("abcde ab"))]
+    idf = {f: rnd.random() for r in rows for f in r[2]}
+    index = toxicity.Index(idf, rows, 0.2, block)
+    n1 = sum(r[1] for r in rows)
+    share = {1: 0.2 / n1 * len(rows), 0: 0.8 / (len(rows) - n1) * len(rows)}
+
+    def unit(counts):
+        v = {f: (1 + math.log(n)) * idf[f] for f, n in counts.items() if f in idf}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {f: x / norm for f, x in v.items()} if norm else {}
+    vectors = {k: (label, unit(c)) for k, label, c in rows}
+    texts = [text() for _ in range(40)] + [None, "", "zzzz", " ".join(vocabulary * 3), "abcde ab"]
+    got = index.score_texts(texts)
+    assert [x for x, _ in got] == pytest.approx([index.score(toxicity.features(t))[0] for t in texts], abs=1e-11)
+    names = toxicity._Names()
+    assert [toxicity.feature_names(t, names) for t in texts] == [set(toxicity.features(t)) for t in texts]
+    for t, (score, near) in zip(texts, got):
+        q = unit(toxicity.features(t))
+        cosines = sorted(((sum(x * v.get(f, 0) for f, x in q.items()), y) for y, v in vectors.values()), reverse=True)
+        top = [(c, y) for c, y in cosines[:32] if c > 1e-12]
+        assert [round(e["cosine"], 9) for e in near] == [round(c, 9) for c, _ in top[:3]]
+        if len(top) < 32 or top[-1][0] - cosines[32][0] > 1e-9:  # else equal rows compete for the last place
+            votes = [(c * c * share[y], y) for c, y in top]
+            want = (sum(v * y for v, y in votes) + 0.1 * 0.2) / (sum(v for v, _ in votes) + 0.1)
+            assert score == pytest.approx(want, abs=1e-9)
+
+
+def test_toxicity_on_odd_tables(spark):
+    rows = toxic_rows(random.Random(70), 60)
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    index = toxicity.fit_index(df)
+    assert toxicity.score_texts(spark, df.where("false"), index).count() == 0
+    odd = spark.createDataFrame([(None, "grumblex snarvik"), (1, None), (1, "a"), (1, "a")], "doc_id long, text string") \
+        .withColumn("score", F.lit("clash")).withColumn("label", F.lit("clash"))
+    assert toxicity.score_texts(spark, odd, index).count() == 4
+    only = toxicity.fit_index(df.where("label = 1"))
+    assert {r.score for r in toxicity.score_texts(spark, odd, only).collect()} == {1.0}
+    assert toxicity.fit_index(df.withColumn("label", F.lit(None).cast("int"))).rate == 0
+
+
 # ---- 6 ---------------------------------------------------------------------------------------
 
 def test_mixing(spark):

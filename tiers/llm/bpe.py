@@ -26,6 +26,7 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiers.llm.common import row_blocks, ship
 
@@ -195,6 +196,32 @@ def detokenize(docs: DataFrame, ranks: str, ids_col: str = "token_ids", out_col:
     return docs.withColumn(out_col, decode(F.col(ids_col)))
 
 
+def encode_and_check(docs: DataFrame, ranks: str, pattern: str | None = None, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``token_ids``, ``n_tokens`` and ``decoded_sha256`` (of the bytes that the ids decode to), texts whole.
+
+    One pass over small blocks of rows, so a task holds the ids and bytes of few documents at a time.  A null or
+    empty text has no tokens and the digest of no bytes; columns of these three names are replaced; rows are
+    independent; an empty table stays empty."""
+    pattern = pattern or _default_pattern()
+    own = ("token_ids", "n_tokens", "decoded_sha256")
+    kept = docs.drop(*own)
+    at = kept.columns.index(text_col)
+    ship(docs.sparkSession)
+
+    def run(batches):
+        c = codec(_path(ranks), pattern)
+        for b in row_blocks(batches, 64):
+            ids = [c.encode(t) if t else [] for t in b.column(at).to_pylist()]
+            digests = [hashlib.sha256(c.decode(x)).hexdigest() for x in ids]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64()),
+                 pa.array(digests, pa.string())], [*b.schema.names, *own])
+
+    schema = T.StructType(list(kept.schema.fields)).add("token_ids", T.ArrayType(T.IntegerType())) \
+        .add("n_tokens", T.LongType()).add("decoded_sha256", T.StringType())
+    return kept.mapInArrow(run, schema)
+
+
 def _default_pattern() -> str:
     import public_tokenizers
 

@@ -53,7 +53,7 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    index = toxicity.fit_index(docs.join(labels.select("doc_id", F.col("toxic").alias("label")), "doc_id")
+    index = toxicity.fit_index(toxicity.join_labels(docs, labels.select("doc_id", F.col("toxic").alias("label")))
                                .where(_remainder(5) != 0))
     return toxicity.score_texts(spark, docs, index).withColumn(
         "held_out", F.coalesce(_remainder(5) == 0, F.lit(False)))

@@ -6,9 +6,15 @@ each class (those of smallest id hash), as TF-IDF vectors over every feature of
 weighs more the more its rates differ between the classes, and none is left out.  Postings lie by
 feature in blocks of ``block`` rows, with the largest weight of each feature in each block.
 
-Score: a block's bound is the dot product of the query with its largest weights.  The ``FIRST``
-blocks of largest bounds are visited, then those whose bound is not below the k-th best cosine so
-far, so the k neighbours are exact.  Votes are weighted by squared cosine and by the classes' true rates
+Rows lie in blocks of like rows (spherical k-means over the heaviest features), so a block's largest weights say
+something about its rows.  Features that many rows hold are kept as a dense tile per block, the others as
+postings.
+
+Score: texts go through in batches.  The postings of a text's rarer features are added up for all rows.  A block's
+bound is the most of these sums in it, plus the dot product of the text's common features with their largest weights
+in the block.  The ``FIRST`` blocks of largest bounds are visited, then those whose bound is not below
+the k-th best cosine so far, so the k neighbours are exact; visiting multiplies a block's tile with all the batch's
+texts that need it.  Votes are weighted by squared cosine and by the classes' true rates
 (the sample is balanced, the score is not), plus a small vote for the training rate.
 
 Scoring reads whole texts in one pass without a shuffle; the index is bounded by the sample.
@@ -19,9 +25,13 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +42,12 @@ PREFIXES = (3, 4, 5)
 FLUSH = 300_000
 PRIOR_VOTE = 0.1
 OVERSAMPLE = 4
-FIRST = 4
+FIRST = 8
+BATCH = 256                     # texts scored together
+CLUSTERS, CLUSTER_FEATURES, CLUSTER_ROUNDS = 8, 512, 8
+TILE_SHARE, TILE_FEATURES = 1 / 16, 4096   # a tile holds features of at least this share of the rows, at most so many
+LABEL_ROWS = 2_000_000          # labels up to this number are broadcast to the texts
+KNOWN_WORDS = 200_000           # words a worker remembers the features of; then it starts over
 FEW = 5        # texts with a feature at which its class rates count half
 FLOOR = 0.01   # the weight's share that a feature of equal rates keeps
 
@@ -50,48 +65,80 @@ def features(text: str | None) -> Counter:
     return out
 
 
-def features_among(text: str | None, known) -> dict:
-    """The part of ``features`` whose names are in ``known``, without making the others."""
-    out: dict[str, int] = {}
-    for w, n in (Counter(_WORDS(text.lower())) if text else {}).items():
-        if w in known:
-            out[w] = out.get(w, 0) + n
-        for p in PREFIXES:
-            if len(w) > p and (f := "^" + w[:p]) in known:
-                out[f] = out.get(f, 0) + n
-    return out
+class _Names(dict):
+    """The names of each word's features."""
+
+    def __missing__(self, word: str) -> tuple:
+        self[word] = names = (word, *("^" + word[:p] for p in PREFIXES if len(word) > p))
+        return names
+
+
+def feature_names(text: str | None, known: dict) -> set[str]:
+    """The names of ``features``; ``known`` is a ``_Names``."""
+    if len(known) > KNOWN_WORDS:
+        known.clear()
+    return set(chain.from_iterable(map(known.__getitem__, set(_WORDS(text.lower()))))) if text else set()
 
 
 class Index:
-    """Block-max inverted index of labelled texts."""
+    """Block-max inverted index of labelled texts.
+
+    What is handed to the tasks is the sample's vectors; tiles, bounds and look-up tables are made there, once
+    per worker."""
 
     def __init__(self, idf: dict[str, float], rows: list[tuple], rate: float, block: int = BLOCK):
-        """``idf`` per feature; ``rows``: ``(doc_id, label, counts)``; ``rate``: share of label 1."""
-        rows = sorted(rows, key=lambda r: (r[1], r[0] if r[0] is not None else -1))
-        self.rate, self.block = rate, block
-        self.slot = {f: i for i, f in enumerate(sorted(idf))}
-        self.idf = np.array([idf[f] for f in sorted(idf)], float)
-        found = [(r, v) for r in rows if (v := self.vector(r[2])) is not None]
-        self.ids = [r[0] for r, _ in found]
-        self.labels = np.array([r[1] for r, _ in found], float)
+        """``idf`` per feature; ``rows``: ``(doc_id, label, counts by feature)``; ``rate``: share of label 1."""
+        names = sorted(idf)
+        slot = {f: i for i, f in enumerate(names)}
+        kept = [[(slot[f], n) for f, n in r[2].items() if f in slot] for r in rows]
+        self._build(names, np.array([idf[f] for f in names], float), [r[0] for r in rows],
+                    np.array([r[1] for r in rows], int), np.array([len(k) for k in kept], np.int64),
+                    np.array([i for k in kept for i, _ in k], np.int32), np.array([n for k in kept for _, n in k], float),
+                    rate, block)
+
+    @classmethod
+    def from_arrays(cls, *args) -> "Index":
+        """Of arrays, as ``_build`` takes them."""
+        index = cls.__new__(cls)
+        index._build(*args)
+        return index
+
+    def _build(self, names, idf: np.ndarray, ids: list, labels: np.ndarray, sizes: np.ndarray, slots: np.ndarray,
+               counts: np.ndarray, rate: float, block: int = BLOCK) -> None:
+        """``sizes`` of the rows' runs in ``slots`` and ``counts``, row after row."""
+        self.names, self.idf, self.rate, self.block = names, idf, rate, block
+        n1 = int((labels == 1).sum())
+        n0 = len(labels) - n1
+        w = (1 + np.log(counts)) * idf[slots]
+        at = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        norm = np.sqrt(np.bincount(at, w * w, len(sizes)))
+        held = norm[at] > 0
+        at, terms, w = at[held], slots[held], w[held] / norm[at[held]]
+        order = _alike(at, terms, w, np.lexsort((np.array([-1 if i is None else i for i in ids]), labels)), norm > 0)
+        place = np.full(len(sizes), -1, np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        self.ids, self.labels = [ids[i] for i in order], labels[order].astype(float)
         # A balanced sample's votes count as the classes' shares in training.
-        n1 = sum(1 for r in rows if r[1] == 1)
-        n0 = len(rows) - n1
         self.class_weight = np.where(self.labels == 1, rate / max(n1, 1), (1 - rate) / max(n0, 1)) * (n1 + n0)
-        self.blocks = -(-len(found) // block)
-        if not found:
-            return
-        terms = np.concatenate([v[0] for _, v in found])
-        at = np.repeat(np.arange(len(found), dtype=np.int32), [len(v[0]) for _, v in found])
+        self.blocks = -(-len(order) // block)
+        at = place[at]
         order = np.lexsort((at, terms))
-        self.rows, self.weights = at[order], np.concatenate([v[1] for _, v in found])[order]
-        # An entry is the run of one feature's postings in one block.
-        entry = terms[order].astype(np.int64) * self.blocks + self.rows // block
-        starts = np.flatnonzero(np.concatenate([[True], entry[1:] != entry[:-1]]))
-        self.entry_at = np.append(starts, len(entry))
-        self.entry_block = entry[starts] % self.blocks
-        self.entry_largest = np.maximum.reduceat(self.weights, starts)
-        self.entries = np.searchsorted(entry[starts] // self.blocks, np.arange(len(self.slot) + 1))
+        self.terms, self.rows, self.weights = terms[order], at[order], w[order]
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("slot", "_tiles", "_words")}
+
+    @cached_property
+    def slot(self) -> dict[str, int]:
+        return {f: i for i, f in enumerate(self.names if isinstance(self.names, list) else self.names.to_pylist())}
+
+    @cached_property
+    def _words(self) -> "_Slots":
+        return _Slots(self.slot)
+
+    @cached_property
+    def _tiles(self) -> "_Tiles":
+        return _Tiles(self)
 
     def vector(self, counts) -> tuple[np.ndarray, np.ndarray] | None:
         """Unit TF-IDF vector over the vocabulary of counts by name, or of ``(slots, counts)``; None if
@@ -107,48 +154,154 @@ class Index:
         norm = math.sqrt(float(w @ w))
         return (terms, w / norm) if norm > 0 else None
 
+    def text_vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
+        """``vector(features(text))``, with each word's features looked up once per worker."""
+        if not text:
+            return None
+        if len(self._words) > KNOWN_WORDS:
+            self._words.clear()
+        words = Counter(_WORDS(text.lower()))
+        of = list(map(self._words.__getitem__, words))
+        terms = np.fromiter(chain.from_iterable(of), np.int64)
+        if not len(terms):
+            return None
+        counts = np.repeat(np.fromiter(words.values(), float, len(words)), np.fromiter(map(len, of), np.int64, len(of)))
+        order = np.argsort(terms)
+        terms = terms[order]
+        first = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))
+        return self.vector((terms[first], np.add.reduceat(counts[order], first)))
+
+    def nearest(self, vectors: list, k: int = NEIGHBOURS) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each vector the index rows and cosines of the ``k`` nearest rows of positive cosine, ties by row."""
+        out = [(np.empty(0, int), np.empty(0))] * len(vectors)
+        there = [i for i, v in enumerate(vectors) if v is not None]
+        if there and self.blocks:
+            cosines = self._tiles.cosines([vectors[i] for i in there], k)
+            for i, c in zip(there, cosines):
+                least = np.partition(c, len(c) - k)[len(c) - k] - 1e-11 if len(c) > k else 0.0
+                r = np.flatnonzero(c >= least if least > 0 else c)  # no other row can be among the nearest, or equal the last
+                order = np.lexsort((r, -np.round(c[r], 12)))[:k]
+                order = order[c[r[order]] > 0]
+                out[i] = r[order], np.round(c[r[order]], 12)  # whatever the batch
+        return out
+
     def neighbours(self, counts, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """Index rows and cosines of the ``k`` nearest rows of positive cosine, ties by row."""
-        v = self.vector(counts)
-        if v is None or not self.blocks:
-            return np.empty(0, int), np.empty(0)
-        terms, w = v
-        entry, times = _ranges(self.entries[terms], self.entries[terms + 1])
-        w, in_block = np.repeat(w, times), self.entry_block[entry]
-        bounds = np.bincount(in_block, w * self.entry_largest[entry], self.blocks)
-        first = np.zeros(self.blocks, bool)
-        first[np.argsort(-bounds, kind="stable")[:FIRST]] = True
-
-        def cosines(visited):
-            take = visited[in_block]
-            at, times = _ranges(self.entry_at[entry[take]], self.entry_at[entry[take] + 1])
-            return np.bincount(self.rows[at], np.repeat(w[take], times) * self.weights[at], len(self.ids))
-
-        c = cosines(first)
-        kth = float(np.partition(c, len(c) - k)[len(c) - k]) if len(c) >= k else 0.0
-        more = ~first & (bounds > 0) & (bounds * (1 + 1e-12) >= kth)
-        if more.any():
-            c = c + cosines(more)
-        r = np.flatnonzero(c)
-        c = c[r]
-        order = np.lexsort((r, -np.round(c, 12)))[:k]
-        order = order[c[order] > 0]
-        return r[order], c[order]
+        """``nearest`` of the vector of one text's features."""
+        return self.nearest([self.vector(counts)], k)[0]
 
-    def score(self, counts) -> tuple[float, list]:
-        """Weighted vote (0 to 1) and the nearest rows as evidence."""
-        r, c = self.neighbours(counts)
+    def vote(self, r: np.ndarray, c: np.ndarray) -> tuple[float, list]:
+        """Weighted vote (0 to 1) of the nearest rows, and the first of them as evidence."""
         votes = c ** 2 * self.class_weight[r] if len(r) else c
         score = (float(votes @ self.labels[r]) if len(r) else 0.0) + PRIOR_VOTE * self.rate
         score /= float(votes.sum()) + PRIOR_VOTE
         near = [{"doc_id": self.ids[i], "cosine": float(x), "label": int(self.labels[i])} for i, x in zip(r[:3], c[:3])]
         return min(1.0, max(0.0, score)), near
 
+    def score(self, counts) -> tuple[float, list]:
+        return self.vote(*self.neighbours(counts))
+
+    def score_texts(self, texts: list) -> list[tuple[float, list]]:
+        """``score(features(text))`` for each text, in batches."""
+        out = []
+        for i in range(0, len(texts), BATCH):
+            out += [self.vote(*x) for x in self.nearest([self.text_vector(t) for t in texts[i:i + BATCH]])]
+        return out
+
+
+class _Slots(dict):
+    """The slots of each word's features."""
+
+    def __init__(self, slot: dict[str, int]):
+        self.slot = slot
+
+    def __missing__(self, word: str) -> tuple:
+        self[word] = slots = tuple(i for f in _Names.__missing__({}, word) if (i := self.slot.get(f)) is not None)
+        return slots
+
+
+class _Tiles:
+    """The index as a task uses it: a dense tile per block for its common features, postings for the rest."""
+
+    def __init__(self, index: Index):
+        n, blocks, block, vocabulary = len(index.ids), index.blocks, index.block, len(index.idf)
+        self.n, self.blocks, self.block = n, blocks, block
+        df = np.bincount(index.terms, minlength=vocabulary)
+        common = np.flatnonzero(df >= max(2, TILE_SHARE * n))
+        common = np.sort(common[np.argsort(-df[common], kind="stable")[:TILE_FEATURES]])
+        self.column = np.full(vocabulary, -1, np.int64)
+        self.column[common] = np.arange(len(common))
+        of = self.column[index.terms]
+        here = of >= 0
+        # A block's tile has the common features that its rows hold.
+        self.tiles, self.largest = [], np.zeros((len(common), blocks))
+        order = np.argsort(index.rows[here] // block, kind="stable")
+        of, at, w = of[here][order], index.rows[here][order], index.weights[here][order]
+        cuts = np.searchsorted(at // block, np.arange(blocks + 1))
+        for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])):
+            held, column = np.unique(of[i:j], return_inverse=True)
+            tile = np.zeros((len(held), block))
+            tile[column, at[i:j] % block] = w[i:j]
+            self.tiles.append((held, tile))
+            self.largest[held, b] = tile.max(axis=1) if len(held) else 0
+        self.postings = np.searchsorted(index.terms[~here], np.arange(vocabulary + 1))
+        self.rows, self.weights = index.rows[~here], index.weights[~here]
+
+    def cosines(self, vectors: list, k: int) -> np.ndarray:
+        """For each vector the cosines with all rows; too small ones in blocks that cannot hold one of the ``k``
+        nearest."""
+        many, blocks, block = len(vectors), self.blocks, self.block
+        dense, found = np.zeros((many, len(self.largest))), np.zeros((many, blocks * block))
+        for i, (terms, w) in enumerate(vectors):
+            column = self.column[terms]
+            common = column >= 0
+            dense[i, column[common]] = w[common]
+            at, times = _ranges(self.postings[terms[~common]], self.postings[terms[~common] + 1])
+            found[i, :self.n] = np.bincount(self.rows[at], np.repeat(w[~common], times) * self.weights[at], self.n)
+        bounds = found.reshape(many, blocks, block).max(axis=2) + dense @ self.largest
+
+        def visit(wanted: np.ndarray) -> None:
+            for b in np.flatnonzero(wanted.any(axis=0)):
+                who, (held, tile) = np.flatnonzero(wanted[:, b]), self.tiles[b]
+                found[who, b * block:(b + 1) * block] += dense[np.ix_(who, held)] @ tile
+
+        first = np.zeros(bounds.shape, bool)
+        np.put_along_axis(first, np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST], True, axis=1)
+        visit(first)
+        kth = np.partition(found[:, :self.n], self.n - k, axis=1)[:, self.n - k] if self.n >= k else np.zeros(many)
+        visit(~first & (bounds > 0) & (bounds * (1 + 1e-9) + 1e-11 >= kth[:, None]))
+        return found[:, :self.n]
+
+
+def _alike(at: np.ndarray, terms: np.ndarray, w: np.ndarray, order: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """The rows that are ``there`` with like rows side by side: by spherical k-means over the features of largest
+    total weight, each cluster from its middle outwards; ``order`` among equals."""
+    order = order[there[order]]
+    if len(order) <= CLUSTERS:
+        return order
+    mass = np.bincount(terms, w * w)
+    top = np.argsort(-mass, kind="stable")[:CLUSTER_FEATURES]
+    column = np.full(len(mass), -1)
+    column[top] = np.arange(len(top))
+    of = column[terms]
+    x = np.zeros((len(there), len(top)), np.float32)
+    x[at[of >= 0], of[of >= 0]] = w[of >= 0]
+    x = x[order]
+    x /= np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-12)
+    centres = x[np.linspace(0, len(x) - 1, CLUSTERS).astype(int)].copy()
+    for _ in range(CLUSTER_ROUNDS):
+        nearest = (x @ centres.T).argmax(axis=1)
+        for j in range(CLUSTERS):
+            if (own := nearest == j).any():
+                centres[j] = x[own].sum(axis=0)
+        centres /= np.maximum(np.sqrt((centres * centres).sum(axis=1, keepdims=True)), 1e-12)
+    near = x @ centres.T
+    return order[np.lexsort((np.arange(len(x)), -near.max(axis=1), near.argmax(axis=1)))]
+
 
 def _class_counts(rows: DataFrame) -> DataFrame:
     """``(feature, n1, n0)``: texts of each class that hold the feature, over all rows."""
     def run(batches):
-        with1, with0 = Counter(), Counter()
+        with1, with0, known = Counter(), Counter(), _Names()
 
         def flush():
             names = list(set(with1) | set(with0))
@@ -161,7 +314,7 @@ def _class_counts(rows: DataFrame) -> DataFrame:
 
         for b in row_blocks(batches):
             for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                (with1 if label else with0).update(features(text).keys())
+                (with1 if label else with0).update(feature_names(text, known))
             if len(with1) + len(with0) > FLUSH:
                 yield flush()
         yield flush()
@@ -186,6 +339,14 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum()), sizes
 
 
+def join_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs(doc_id, text)`` with their ``labels(doc_id, label)``, each of its labels a row.
+
+    Up to ``LABEL_ROWS`` labels (some 16 bytes each) go to the texts, beyond that both are shuffled."""
+    few = labels.limit(LABEL_ROWS + 1).count() <= LABEL_ROWS
+    return docs.select("doc_id", "text").join(F.broadcast(labels) if few else labels.hint("merge"), "doc_id")
+
+
 def fit_index(labelled: DataFrame, per_class: int = PER_CLASS) -> Index:
     """Index of ``labelled(doc_id, text, label)``; rows with a null label are left out.
 
@@ -194,6 +355,7 @@ def fit_index(labelled: DataFrame, per_class: int = PER_CLASS) -> Index:
     Rows of one id and label give the index one vector (of the smallest text).
     """
     ship(labelled.sparkSession)
+    scratch = Scratch(labelled.sparkSession, "toxicity")
     rows = labelled.where("label is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", (F.col("label") == 1).cast("int").alias("label"))
     n1, n = rows.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count(F.lit(1))).first()
@@ -207,27 +369,33 @@ def fit_index(labelled: DataFrame, per_class: int = PER_CLASS) -> Index:
     chosen = (near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_class)
               .select("doc_id", "label"))
 
-    scratch = Scratch(labelled.sparkSession, "toxicity")
     sample = scratch.save(rows.join(F.broadcast(chosen), ["doc_id", "label"])  # 2 * per_class ids
                           .groupBy("doc_id", "label").agg(F.min("text").alias("text")))
     # All features of the sample, with their counts over all rows.
     here = _class_counts(sample).select("feature")
-    got = _class_counts(rows).join(here, "feature", "left_semi").toArrow()
-    weight = _weight(got["n1"].to_numpy().astype(float), got["n0"].to_numpy().astype(float), n1, n - n1)
-    idf = dict(zip(got["feature"].to_pylist(), weight.tolist()))
-    shared = labelled.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(sorted(idf))})
+    got = _class_counts(rows).join(here, "feature", "left_semi").orderBy("feature").toArrow().combine_chunks()
+    idf = _weight(got["n1"].to_numpy().astype(float), got["n0"].to_numpy().astype(float), n1, n - n1)
+    names = got["feature"].combine_chunks()
+    del got
+    shared = labelled.sparkSession.sparkContext.broadcast(names)
 
     def run(batches):
-        slot = shared.value
+        slot = {f: i for i, f in enumerate(shared.value.to_pylist())}
         for b in row_blocks(batches):
             found = [features(t) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([[slot[f] for f in c] for c in found], pa.list_(pa.int32())),
                  pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], ["doc_id", "label", "slots", "counts"])
 
-    got = sample.mapInArrow(run, "doc_id long, label int, slots array<int>, counts array<int>").toArrow()
-    return Index(idf, [(i, y, (np.asarray(t.values, np.int64), np.asarray(c.values, float))) for i, y, t, c in zip(
-        got["doc_id"].to_pylist(), got["label"].to_pylist(), got["slots"], got["counts"])], n1 / n)
+    got = sample.mapInArrow(run, "doc_id long, label int, slots array<int>, counts array<int>") \
+        .orderBy("doc_id", "label").toArrow().combine_chunks()
+    shared.destroy()
+    scratch.drop(sample)
+    slots, counts = got["slots"].combine_chunks(), got["counts"].combine_chunks()
+    return Index.from_arrays(
+        names, idf, got["doc_id"].to_pylist(), got["label"].to_numpy().astype(int),
+        pc.list_value_length(slots).to_numpy(zero_copy_only=False).astype(np.int64), slots.flatten().to_numpy(),
+        counts.flatten().to_numpy().astype(float), n1 / n)
 
 
 def score_texts(spark: SparkSession, docs: DataFrame, index: Index, id_col: str = "doc_id",
@@ -242,7 +410,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, index: Index, id_col: str
     def run(batches):
         model = shared.value
         for b in row_blocks(batches):
-            found = [model.score(features_among(t, model.slot)) for t in b.column(1).to_pylist()]
+            found = model.score_texts(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([x[0] for x in found], pa.float64()),
                  pa.array([int(x[0] >= 0.5) for x in found], pa.int32()), pa.array([x[1] for x in found], near)],
@@ -260,6 +428,6 @@ def score_column(spark: SparkSession, index: Index):
 
     @F.pandas_udf("double")
     def score(texts):
-        return texts.map(lambda t: shared.value.score(features_among(t, shared.value.slot))[0])
+        return pd.Series([x[0] for x in shared.value.score_texts(texts.tolist())], dtype="float64")
 
     return score
