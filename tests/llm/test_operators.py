@@ -4,12 +4,15 @@ long texts, ties, repeated rows, empty tables, extra columns of clashing names."
 from __future__ import annotations
 
 import base64
+import binascii
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 from tiers.llm import bpe, components, ctw, embeddings, langid, lines, merkle, minhash, mixing, pii, toxicity
 from tiers.llm.common import shingle_set, words_of
 
+SF_SMALL = "/root/testdata/sf0.001"
 RANKS = "byte_bpe_multi_50k.tiktoken"
 DOCS = "doc_id long, text string, source string, id string, n long, key long"
 WORDS = "the of and to in is it on was for " .split()
@@ -65,10 +69,14 @@ def test_vectors_against_brute_force(spark):
     vecs = [(int(i), (base[i % 40] + 0.12 * rng.standard_normal(16)).tolist(), int(i % 40 % 3)) for i in range(600)]
     vecs += [(600, vecs[0][1], 0), (601, vecs[0][1], 1), (602, vecs[0][1], None), (603, None, 0), (604, [], 0),
              (605, [0.0] * 16, 0), (606, [float("nan")] + [1.0] * 15, 0), (607, [None] + [1.0] * 15, 0),
-             (608, [float("inf")] + [1.0] * 15, 0), (609, [1.0, 2.0], 0)]
+             (608, [float("inf")] + [1.0] * 15, 0), (609, [1.0, 2.0], 0), (610, [1e200] * 16, 0), (611, [1e200] * 16, 0),
+             (612, [1e-200] * 16, 0), (613, [-1e-310] * 16, 0), (614, [-3e300] * 16, 0)]
     df = spark.createDataFrame(vecs, "vec_id long, embedding array<double>, label int").withColumn("id", F.lit("x"))
     got = {r.id: r for r in embeddings.near_vectors(spark, df).collect()}
-    good = [(i, np.array(v, float) / np.linalg.norm(v), lab) for i, v, lab in vecs
+    def unit(v):
+        x = np.array(v, float) / np.abs(v).max()
+        return x / np.linalg.norm(x)
+    good = [(i, unit(v), lab) for i, v, lab in vecs
             if lab is not None and v and None not in v and np.isfinite(v).all() and np.any(v) and len(v) == 16]
     edges = [(a[0], b[0]) for k, a in enumerate(good) for b in good[:k] if a[2] == b[2] and a[1] @ b[1] >= 0.93]
     n = collections.Counter(x for e in edges for x in e)
@@ -78,6 +86,8 @@ def test_vectors_against_brute_force(spark):
     want = groups(edges, [v[0] for v in vecs])
     assert sum(got[i].component_id != want[i] for i in want) <= 3
     assert all(r.kept == (r.id == r.component_id) for r in got.values())
+    # Finite vectors of any length link: no square overflows or vanishes.
+    assert [got[i].component_id for i in range(610, 615)] == [610, 610, 610, 613, 613] and got[610].n_links == n[610] == 2
     assert embeddings.near_vectors(spark, df.where("false")).count() == 0
 
 
@@ -213,8 +223,60 @@ def test_fingerprint_equality_and_places():
     a = "one two three\nfour five six\n\nseven eight\nnine"
     assert merkle.fingerprint(a) == merkle.fingerprint(a) != merkle.fingerprint(a + " ")
     assert merkle.likeness(merkle.fingerprint(None), merkle.fingerprint("")) == 1.0
-    places = merkle.differences(merkle.fingerprint(a.replace("eight", "other")), merkle.fingerprint(a))
-    assert len(places) == 1 and not merkle.differences(merkle.fingerprint(a), merkle.fingerprint(a))
+    assert merkle.likeness(merkle.fingerprint(""), merkle.fingerprint("x")) == 0.0
+    near, places = merkle.compare(merkle.fingerprint(a), merkle.fingerprint(a.replace("eight", "other")))
+    assert len(places) == 1 and 0 < near < 1
+    assert merkle.compare(merkle.fingerprint(a), merkle.fingerprint(a)) == (1.0, [])
+
+
+def raw_leaves(text):
+    """The texts of the leaves of each paragraph."""
+    out = []
+    for line in text.encode().split(b"\n") if text else []:
+        runs, run = [], []
+        for w in line.split(b" "):
+            run.append(w)
+            if binascii.crc32(w) % 6 == 0:
+                runs.append(b" ".join(run))
+                run = []
+        out.append(runs + ([b" ".join(run)] if run or not runs else []))
+    return out
+
+
+def test_fingerprints_against_raw_texts():
+    """On all documents of the smallest table: equal fingerprints are equal texts; likeness and places are those
+    of the raw runs of words and paragraphs, without a digest."""
+    texts = [t or "" for t in duckdb.sql(
+        f"select text from '{SF_SMALL}/documents.parquet' order by doc_id").fetchnumpy()["text"].tolist()]
+    marks = [merkle.fingerprint(t) for t in texts]
+    assert len(set(marks)) == len(set(texts)) == len(set(zip(marks, texts)))
+    trees = [raw_leaves(t) for t in texts]
+    for k, (t, following) in enumerate(zip(texts, texts[1:] + texts[:1])):
+        cut = len(t) // 4
+        edited = t[:len(t) - cut] + following[:cut] if cut else t
+        mark = merkle.fingerprint(edited)
+        for other, tree in ((mark, raw_leaves(edited)), (marks[(k + 1) % len(texts)], trees[(k + 1) % len(texts)])):
+            near, places = merkle.compare(marks[k], other)
+            x, y = (collections.Counter(leaf for p in tr for leaf in p) for tr in (trees[k], tree))
+            n = sum(x.values()) + sum(y.values())
+            assert near == (pytest.approx(2 * sum((x & y).values()) / n) if n and marks[k] != other else 1.0)
+            x, y = (collections.Counter(map(tuple, tr)) for tr in (trees[k], tree))
+            assert len(places) == (sum((y - x).values()) if marks[k] != other else 0)
+
+
+def test_root_follows_from_leaves():
+    """Every digest of a tree is worked out from the fingerprint's own leaves."""
+    def node(kind, children):
+        return hashlib.blake2b((kind + children).encode(), digest_size=16).hexdigest()
+    rnd = random.Random(8)
+    for _ in range(50):
+        text = "\n".join(words(rnd, rnd.randint(0, 30)) for _ in range(rnd.randint(0, 30)))
+        root, _, tree = merkle.fingerprint(text).partition(":")
+        sections = [node("s", "".join(node("p", p) for p in s.split(","))) for s in tree.split(";")] if tree else []
+        assert root == node("r", "".join(sections))
+        leaves = [base64.b64decode(p) for s in tree.split(";") for p in s.split(",")]
+        assert b"".join(leaves) == b"".join(
+            hashlib.blake2b(leaf, digest_size=12).digest() for p in raw_leaves(text) for leaf in p)
 
 
 # ---- 5, 7 ------------------------------------------------------------------------------------
@@ -374,8 +436,48 @@ def test_mixing(spark):
     kept = mixing.apply_mix(spark, df, block_rows=128)
     assert kept.columns == df.columns and kept.count() == sum(r.copies for r in got)
     assert mixing.mix(spark, df.where("false")).count() == 0
-    twice = mixing.apply_mix(spark, frame(spark, [(1, "a b"), (1, "a b"), (None, None)]))
-    assert twice.count() >= 0
+    # Two equal rows of two words, half of all words wanted from each of the other source's kind: rows stay apart.
+    same = [(1, "a b")] * 40 + [(None, "c")] * 40 + [(None, None)]
+    got = mixing.mix(spark, frame(spark, same, {1: "x", None: "y"}), block_rows=16).collect()
+    assert len(got) == 81 and {r.source: r.target for r in got} == {"x": 40.0, "y": 80.0}
+    taken = collections.Counter()
+    for r in got:
+        taken[r.source] += r.taken
+    assert taken == {"x": 40, "y": 80}
+
+
+@pytest.mark.parametrize("p", [0.1, 0.5, 0.83])
+@pytest.mark.parametrize("kind", ["even", "long tail", "one giant", "equal", "few"])
+def test_flight_keeps_words_and_documents(kind, p):
+    """Words and documents after flight and landing, against the exact sums; no size of source goes another way."""
+    for seed in range(5):
+        rnd = random.Random(seed)
+        sizes = sorted({"even": lambda: [rnd.randint(0, 300) for _ in range(600)],
+                        "long tail": lambda: [int(rnd.paretovariate(1.0) * 20) for _ in range(600)],
+                        "one giant": lambda: [50000] + [rnd.randint(50, 400) for _ in range(700)],
+                        "equal": lambda: [9] * 501, "few": lambda: [rnd.randint(1, 9) for _ in range(8)]}[kind](), reverse=True)
+        moved = mixing.flight(sizes, [p] * len(sizes), random.Random(seed))
+        assert sum(a * x for a, x in zip(sizes, moved)) == pytest.approx(p * sum(sizes), rel=1e-9, abs=1e-6)
+        assert sum(0 < x < 1 for x in moved) <= mixing.LANDING + 2
+        taken = mixing.land(sizes, moved)
+        assert set(taken) <= {0.0, 1.0}
+        miss = abs(sum(a * x for a, x in zip(sizes, taken)) - p * sum(sizes))
+        if kind == "few":  # all roundings are tried
+            ways = itertools.product((0, 1), repeat=len(sizes))
+            assert miss == pytest.approx(min(abs(sum(a * x for a, x in zip(sizes, w)) - p * sum(sizes)) for w in ways))
+        elif kind in ("even", "equal"):
+            assert miss <= 5 and abs(sum(taken) - p * len(sizes)) <= 5
+        else:
+            assert miss <= max(10, 0.002 * p * sum(sizes))
+
+
+def test_flight_keeps_inclusion_probabilities():
+    rnd = random.Random(3)
+    sizes = sorted((int(rnd.paretovariate(1.5) * 20) for _ in range(150)), reverse=True)
+    times = np.zeros(150)
+    for seed in range(1500):
+        times += np.array(mixing.flight(sizes, [0.3] * 150, random.Random(seed)))
+    assert np.abs(times / 1500 - 0.3).max() < 0.06
 
 
 # ---- 8 ---------------------------------------------------------------------------------------

@@ -98,7 +98,9 @@ def fit_grid(sample: np.ndarray, rows_per_label: float, cosine: float, seed: int
 
 
 def _unit(packed) -> np.ndarray:
+    """Unit vectors; by their largest component first, so that no square overflows or vanishes."""
     x = np.frombuffer(b"".join(packed), np.float64).reshape(len(packed), -1)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -125,11 +127,12 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_id"
     """
     scratch = Scratch(spark, "vectors")
     v = F.col(vector_col).cast("array<double>")
-    size = F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)
+    # Null if a component is null; NaN counts as larger than infinity.
+    most = F.aggregate(v, F.lit(0.0), lambda s, x: F.when(x.isNull() | s.isNull(), None).otherwise(F.greatest(s, F.abs(x))))
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), v.alias("v"),
-                          size.alias("norm2"))
-    good = rows.where("id is not null and label is not null and norm2 > 0 and norm2 < double('infinity') "
-                      "and not isnan(norm2)").select("id", "label", "v")
+                          most.alias("most"))
+    fits = F.coalesce(F.col("label").isNotNull() & (F.col("most") > 0) & (F.col("most") < float("inf")), F.lit(False))
+    good = rows.where(F.col("id").isNotNull() & fits).select("id", "label", "v")
     classes = good.groupBy("label", "v").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("times"))
 
     def pack(batches):
@@ -159,10 +162,9 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_id"
     per = member.join(links, "rep").select("id", "rep", "n_links")
     # Rows of one id: each has its own links, all share the component.
     per = per.groupBy("id").agg(F.max("n_links").alias("n_links"))
-    return (rows.select("id", (F.col("label").isNotNull() & (F.col("norm2") > 0)
-                               & (F.col("norm2") < float("inf")) & ~F.isnan("norm2")).alias("valid"))
+    return (rows.select("id", fits.alias("valid"))
             .join(per, "id", "left").join(parts.withColumnRenamed("node", "id"), "id", "left")
-            .select("id", F.when(F.coalesce("valid", F.lit(False)), F.coalesce("n_links", F.lit(0)))
+            .select("id", F.when(F.col("valid"), F.coalesce("n_links", F.lit(0)))
                     .otherwise(0).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("component_id") == F.col("id"), F.lit(True))))
 

@@ -6,12 +6,13 @@ target / size is taken as its whole part (copies of every document) and a fracti
 each document's inclusion probability for one copy more.
 
 Flight: the fractions move along vectors that keep both the number of documents and the number
-of words, until each is 0 or 1 (three open documents have such a vector).  Documents are dealt
-to blocks of a bounded size by a hash, so a source of any size is many tasks; each block leaves
-at most two open documents.  These meet in the next level's blocks, until one block per source is
-left.  Landing: its last open documents are rounded so that the words miss the target least.  In
-a source of one block, where a single long document weighs, single documents are then exchanged
-while that brings the words nearer to the target.
+of words, until each is 0 or 1.  Heavy documents, of at least 1 / ``HEAVY`` of their block's words, move first, each
+against all the lighter ones (the projection onto the constraints' null space; where that is empty, of the words alone;
+one whose words the lighter ones could not make up for if it were taken is left out, and the other way round);
+the others by threes, which always have such a vector.  Documents are dealt to blocks of a bounded size by a hash, so a
+source of any size is many tasks; each block leaves at most ``LANDING`` open documents of mixed sizes and two more.  These
+meet in the next level's blocks, until one block per source is left.  Landing: of all roundings of its last open
+documents, the one whose words, then documents, miss their sums least.  Sources of every size go the same way.
 
 The random steps are seeded by source, block and level, and rows are ordered by size and id
 inside a block: a rerun takes the same documents.
@@ -20,7 +21,6 @@ inside a block: a rerun takes the same documents.
 from __future__ import annotations
 
 import random
-from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -32,7 +32,9 @@ from tiers.llm.common import Scratch, word_count
 BLOCK_ROWS = 4096
 WEIGHTS = (1, 2, 3)
 MAX_RATIO = 3
-ALONE = "alone"  # marks the rows of a source of one block
+HEAVY = 1000       # a document of at least this part of its block's words moves against all lighter ones
+LANDING = 12       # documents that a block's flight leaves open, and at most two more
+COPIES = 1 << 16   # equal rows numbered at a time
 
 
 def source_targets(sized: DataFrame, weights=WEIGHTS, max_ratio: int = MAX_RATIO) -> DataFrame:
@@ -62,11 +64,51 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, max_ratio: int = MAX_RATIO
                        F.least(cap.cast("double"), F.col("fill") * F.col("weight")).alias("target"))
 
 
-def flight(sizes: list[int], probs: list[float], rng: random.Random) -> list[float]:
-    """Move the probabilities to 0 or 1, keeping their sum and their sum weighted by size;
-    at most two stay open."""
-    p = list(probs)
-    waiting = iter([i for i, x in enumerate(p) if 0 < x < 1])
+def _spread(sizes: np.ndarray, p: np.ndarray, heavy: int, light: np.ndarray, rng: random.Random) -> np.ndarray:
+    """Move the ``heavy`` document's probability to 0 or 1 against the ``light`` ones (as far as they reach).
+
+    One that all other open documents together can only let go, or only make room for, has no choice."""
+    others = (p > 0) & (p < 1)
+    others[heavy] = False
+    can_go = p[heavy] * sizes[heavy] <= ((1 - p[others]) * sizes[others]).sum()
+    can_stay = (1 - p[heavy]) * sizes[heavy] <= (p[others] * sizes[others]).sum()
+    for _ in range(len(light) + 1):
+        light = light[(p[light] > 0) & (p[light] < 1)]
+        if not 0 < p[heavy] < 1 or not len(light):
+            break
+        s = sizes[light]
+        mean = s.mean()
+        apart = s - mean
+        by = -1 / len(s) - (sizes[heavy] - mean) * apart / max((apart ** 2).sum(), 1e-9)
+        if not (apart ** 2).sum() > 1e-9 or np.abs(by).max() > 1:  # documents and words cannot both be kept, or not within reach
+            if not (s > 0).any():
+                break
+            by = -sizes[heavy] * s / (s ** 2).sum()
+        at, step = np.append(light, heavy), np.append(by, 1.0)
+        at, step = at[step != 0], step[step != 0]
+        up = np.where(step > 0, (1 - p[at]) / step, -p[at] / step).min()
+        down = np.where(step > 0, p[at] / step, (p[at] - 1) / step).min()
+        odds = rng.random() * (up + down) < down
+        t = up if (odds if can_go == can_stay else can_stay) else -down
+        x = p[at] + t * step
+        p[at] = np.where(x < 1e-9, 0.0, np.where(x > 1 - 1e-9, 1.0, x))
+    return p
+
+
+def flight(sizes: list[int], probs: list[float], rng: random.Random, leave: int = LANDING) -> list[float]:
+    """Move the probabilities to 0 or 1, keeping their sum and their sum weighted by size, until at most ``leave + 2``
+    are open.  ``sizes`` descend."""
+    p, size = np.array(probs, float), np.array(sizes, float)
+    rest = np.flatnonzero((p > 0) & (p < 1))
+    if len(rest) <= leave + 2:
+        return p.tolist()
+    # Left for landing: documents of all sizes, so that their roundings come near any sum.
+    kept = rest[len(rest) * (2 * np.arange(leave) + 1) // (2 * leave)]
+    total, rest = size[rest].sum(), np.setdiff1d(rest, kept)
+    for k, i in enumerate(rest[size[rest] * HEAVY >= max(1.0, total)]):
+        p = _spread(size, p, i, rest[k + 1:], rng)
+    p = p.tolist()
+    waiting = iter([i for i in rest.tolist() if 0 < p[i] < 1])
     held: list[int] = []
     while True:
         while len(held) < 3:
@@ -92,30 +134,14 @@ def flight(sizes: list[int], probs: list[float], rng: random.Random) -> list[flo
 
 def land(sizes: list[int], probs: list[float]) -> list[float]:
     """Round the open probabilities so that the words, then the documents, miss their sums least."""
-    p = list(probs)
-    held = [i for i, x in enumerate(p) if 0 < x < 1]
-    best = min(product((0.0, 1.0), repeat=len(held)), key=lambda s: (
-        abs(sum(sizes[i] * (x - p[i]) for i, x in zip(held, s))), abs(sum(x - p[i] for i, x in zip(held, s))), s))
-    for i, x in zip(held, best):
-        p[i] = x
-    return p
-
-
-def exchange(sizes: list[int], wanted: list[float], taken: list[float]) -> list[float]:
-    """Flip single decisions, each the one that brings the words nearest to their sum."""
-    s, size = np.array(taken), np.array(sizes, float)
-    free = (np.array(wanted) > 0) & (np.array(wanted) < 1) & (size > 0)
-    over = float(size @ (s - np.array(wanted)))
-    for _ in range(len(s)):
-        able = np.flatnonzero(free & (s == (1.0 if over > 0 else 0.0)))
-        if not len(able):
-            break
-        at = able[np.abs(size[able] - abs(over)).argmin()]
-        if abs(abs(over) - size[at]) >= abs(over):
-            break
-        over -= size[at] * (1 if s[at] else -1)
-        s[at] = 1 - s[at]
-    return s.tolist()
+    p = np.array(probs, float)
+    held = np.flatnonzero((p > 0) & (p < 1))
+    if len(held):
+        size = np.array(sizes, float)[held]
+        ways = np.arange(1 << len(held))[:, None] >> np.arange(len(held)) & 1
+        words, docs = np.abs(ways @ size - p[held] @ size), np.abs(ways.sum(axis=1) - p[held].sum())
+        p[held] = ways[np.lexsort((np.round(docs, 6), np.round(words, 6)))[0]]
+    return p.tolist()
 
 
 def _level(rows: DataFrame, seed: int, level: int, last: bool) -> DataFrame:
@@ -126,10 +152,7 @@ def _level(rows: DataFrame, seed: int, level: int, last: bool) -> DataFrame:
         pdf = pdf.sort_values(["size", "id", "at"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
         rng = random.Random(f"{seed}:{level}:{key[0]}:{key[1]}")
         sizes = pdf["size"].tolist()
-        wanted = pdf["p"].tolist()
-        p = flight(sizes, wanted, rng)
-        if level == 0 and pdf["at"][0] == ALONE:
-            p = exchange(sizes, wanted, land(sizes, p))
+        p = flight(sizes, pdf["p"].tolist(), rng)
         pdf["p"] = land(sizes, p) if last else p
         if level == 0:
             pdf["at"] = [f"{key[1]}.{i}" for i in range(len(pdf))]
@@ -146,19 +169,25 @@ def mix(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", source_col
 
     ``size`` is the text's number of words (0 for a null or empty text), ``copies`` how often the
     mix holds the row, ``taken`` its words times copies.  A null source is a source of its own.
-    Rows with equal ids are separate rows.  An empty table gives no rows.
+    Rows with equal ids (or none) are separate rows, told apart by a number, so they too are dealt to many
+    blocks.  An empty table gives no rows.
     """
     scratch = Scratch(spark, "mixing")
     sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                         word_count(F.col(text_col)).alias("size"))
+    many = (sized.groupBy("id", "source", "size").agg(F.count(F.lit(1)).alias("times"))
+            .withColumn("run", F.explode(F.sequence(F.lit(0), F.floor((F.col("times") - 1) / COPIES)))))
+    here = F.least(F.lit(COPIES), F.col("times") - F.col("run") * COPIES)
+    sized = many.withColumn("no", F.explode(F.sequence(F.lit(1).cast("long"), here))).select(
+        "id", "source", "size", (F.col("run") * COPIES + F.col("no")).alias("no"))
     sized = scratch.save(sized)
     targets = scratch.save(source_targets(sized, weights, max_ratio))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     names = targets.select(F.col("source").alias("name"), "rank", "source_docs", ratio.alias("ratio"))
     rows = (sized.join(names, F.col("source").eqNullSafe(F.col("name"))).select(
-        "rank", F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(seed)),
+        "rank", F.pmod(F.xxhash64(F.col("id").cast("string"), "size", "no", F.lit(seed)),
                        F.ceil(F.col("source_docs") / block_rows)).alias("block"),
-        F.when(F.col("source_docs") <= block_rows, ALONE).otherwise("").alias("at"), "id", "size", (F.col("ratio") - F.floor("ratio")).alias("p")))
+        F.lit("").alias("at"), "id", "size", (F.col("ratio") - F.floor("ratio")).alias("p")))
     dealt = scratch.save(_level(rows, seed, 0, last=False))
 
     is_open = (F.col("p") > 0) & (F.col("p") < 1)
