@@ -374,8 +374,10 @@ def test_toxicity_scores_against_brute_force(monkeypatch, tiles, block):
     texts = [text() for _ in range(40)] + [None, "", "zzzz", " ".join(vocabulary * 3), "abcde ab"]
     got = index.score_texts(texts)
     assert [x for x, _ in got] == pytest.approx([index.score(toxicity.features(t))[0] for t in texts], abs=1e-11)
-    names = toxicity._Names()
-    assert [toxicity.feature_names(t, names) for t in texts] == [set(toxicity.features(t)) for t in texts]
+    slots = toxicity._Slots(index.slot)
+    for t in texts:
+        held = {i for w in re.findall(r"\w+", (t or "").lower()) for i in slots[w]}
+        assert held == {index.slot[f] for f in toxicity.features(t) if f in index.slot}
     for t, (score, near) in zip(texts, got):
         q = unit(toxicity.features(t))
         cosines = sorted(((sum(x * v.get(f, 0) for f, x in q.items()), y) for y, v in vectors.values()), reverse=True)
@@ -387,6 +389,27 @@ def test_toxicity_scores_against_brute_force(monkeypatch, tiles, block):
             assert score == pytest.approx(want, abs=1e-9)
 
 
+def test_toxicity_weights_come_from_all_rows(spark):
+    """Every feature's weight against counts over all training rows, the sample's and the others."""
+    rnd = random.Random(13)
+    rows = [(i, None if i % 50 == 0 else " ".join(rnd.choice("ab abc abcd abcde abcdef abcdefg tree trees idea".split())
+                                                   + rnd.choice(["", "x", "é"]) for _ in range(rnd.randint(0, 12))), i % 3 // 2)
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(5)
+    index = toxicity.fit_index(df, per_class=20)
+    n1 = sum(y for *_, y in rows)
+    with1, with0 = collections.Counter(), collections.Counter()
+    for _, t, y in rows:
+        (with1 if y else with0).update(set(toxicity.features(t)))
+    names = index.names.to_pylist()
+    assert names == sorted(names) and set(names) <= set(with1) | set(with0) and len(index.ids) <= 40
+    for f, w in zip(names, index.idf):
+        a, b = with1[f], with0[f]
+        r1, r0 = a / n1, b / (400 - n1)
+        apart = abs(r1 - r0) / (r1 + r0) * (a + b) / (a + b + 5)
+        assert w == pytest.approx((1 + math.log(401 / (1 + a + b))) * (0.01 + 0.99 * apart ** 2))
+
+
 def test_toxicity_on_odd_tables(spark):
     rows = toxic_rows(random.Random(70), 60)
     df = spark.createDataFrame(rows, "doc_id long, text string, label int")

@@ -65,19 +65,46 @@ def features(text: str | None) -> Counter:
     return out
 
 
-class _Names(dict):
-    """The names of each word's features."""
+class _Slots(dict):
+    """The slots of each word's features, given the slot of each feature's name."""
+
+    def __init__(self, slot: dict[str, int]):
+        self.slot, self.begins = slot, {}
 
     def __missing__(self, word: str) -> tuple:
-        self[word] = names = (word, *("^" + word[:p] for p in PREFIXES if len(word) > p))
-        return names
+        get, letters = self.slot.get, word[:PREFIXES[-1] + 1]
+        begin = self.begins.get(letters)
+        if begin is None:
+            begin = self.begins[letters] = tuple(
+                [i for p in PREFIXES if len(letters) > p and (i := get("^" + letters[:p])) is not None])
+        i = get(word)
+        self[word] = slots = begin if i is None else (i, *begin)
+        return slots
+
+    def ready(self) -> "_Slots":
+        """Itself; it starts over when it knows more than ``KNOWN_WORDS``."""
+        if len(self) > KNOWN_WORDS:
+            self.clear()
+            self.begins.clear()
+        return self
+
+
+class _Vocabulary:
+    """The features of the sample, by slot; tasks make the look-up tables once per worker."""
 
+    def __init__(self, names: pa.Array):
+        self.names = names
 
-def feature_names(text: str | None, known: dict) -> set[str]:
-    """The names of ``features``; ``known`` is a ``_Names``."""
-    if len(known) > KNOWN_WORDS:
-        known.clear()
-    return set(chain.from_iterable(map(known.__getitem__, set(_WORDS(text.lower()))))) if text else set()
+    def __getstate__(self):
+        return {"names": self.names}
+
+    @cached_property
+    def slot(self) -> dict[str, int]:
+        return {f: i for i, f in enumerate(self.names.to_pylist())}
+
+    @cached_property
+    def words(self) -> _Slots:
+        return _Slots(self.slot)
 
 
 class Index:
@@ -158,10 +185,8 @@ class Index:
         """``vector(features(text))``, with each word's features looked up once per worker."""
         if not text:
             return None
-        if len(self._words) > KNOWN_WORDS:
-            self._words.clear()
         words = Counter(_WORDS(text.lower()))
-        of = list(map(self._words.__getitem__, words))
+        of = list(map(self._words.ready().__getitem__, words))
         terms = np.fromiter(chain.from_iterable(of), np.int64)
         if not len(terms):
             return None
@@ -176,10 +201,13 @@ class Index:
         out = [(np.empty(0, int), np.empty(0))] * len(vectors)
         there = [i for i, v in enumerate(vectors) if v is not None]
         if there and self.blocks:
-            cosines = self._tiles.cosines([vectors[i] for i in there], k)
-            for i, c in zip(there, cosines):
-                least = np.partition(c, len(c) - k)[len(c) - k] - 1e-11 if len(c) > k else 0.0
-                r = np.flatnonzero(c >= least if least > 0 else c)  # no other row can be among the nearest, or equal the last
+            cosines, least = self._tiles.cosines([vectors[i] for i in there], k)
+            for i, c, low in zip(there, cosines, least):
+                # No other row can be among the nearest, or equal the last.
+                r = np.flatnonzero(c >= low - 1e-11 if low > 1e-11 else c)
+                if len(r) > k:
+                    x = c[r]
+                    r = r[x >= np.partition(x, len(r) - k)[len(r) - k] - 1e-11]
                 order = np.lexsort((r, -np.round(c[r], 12)))[:k]
                 order = order[c[r[order]] > 0]
                 out[i] = r[order], np.round(c[r[order]], 12)  # whatever the batch
@@ -208,17 +236,6 @@ class Index:
         return out
 
 
-class _Slots(dict):
-    """The slots of each word's features."""
-
-    def __init__(self, slot: dict[str, int]):
-        self.slot = slot
-
-    def __missing__(self, word: str) -> tuple:
-        self[word] = slots = tuple(i for f in _Names.__missing__({}, word) if (i := self.slot.get(f)) is not None)
-        return slots
-
-
 class _Tiles:
     """The index as a task uses it: a dense tile per block for its common features, postings for the rest."""
 
@@ -232,23 +249,20 @@ class _Tiles:
         self.column[common] = np.arange(len(common))
         of = self.column[index.terms]
         here = of >= 0
-        # A block's tile has the common features that its rows hold.
-        self.tiles, self.largest = [], np.zeros((len(common), blocks))
+        # A tile has all common features, so that a text's are taken as they lie.
+        self.tiles, self.largest = np.zeros((blocks, len(common), block)), np.zeros((len(common), blocks))
         order = np.argsort(index.rows[here] // block, kind="stable")
         of, at, w = of[here][order], index.rows[here][order], index.weights[here][order]
         cuts = np.searchsorted(at // block, np.arange(blocks + 1))
         for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])):
-            held, column = np.unique(of[i:j], return_inverse=True)
-            tile = np.zeros((len(held), block))
-            tile[column, at[i:j] % block] = w[i:j]
-            self.tiles.append((held, tile))
-            self.largest[held, b] = tile.max(axis=1) if len(held) else 0
+            self.tiles[b][of[i:j], at[i:j] % block] = w[i:j]
+            self.largest[:, b] = self.tiles[b].max(axis=1)
         self.postings = np.searchsorted(index.terms[~here], np.arange(vocabulary + 1))
         self.rows, self.weights = index.rows[~here], index.weights[~here]
 
-    def cosines(self, vectors: list, k: int) -> np.ndarray:
+    def cosines(self, vectors: list, k: int) -> tuple[np.ndarray, np.ndarray]:
         """For each vector the cosines with all rows; too small ones in blocks that cannot hold one of the ``k``
-        nearest."""
+        nearest.  And a cosine that the k-th nearest reaches."""
         many, blocks, block = len(vectors), self.blocks, self.block
         dense, found = np.zeros((many, len(self.largest))), np.zeros((many, blocks * block))
         for i, (terms, w) in enumerate(vectors):
@@ -261,15 +275,15 @@ class _Tiles:
 
         def visit(wanted: np.ndarray) -> None:
             for b in np.flatnonzero(wanted.any(axis=0)):
-                who, (held, tile) = np.flatnonzero(wanted[:, b]), self.tiles[b]
-                found[who, b * block:(b + 1) * block] += dense[np.ix_(who, held)] @ tile
+                who = np.flatnonzero(wanted[:, b])
+                found[who, b * block:(b + 1) * block] += dense[who] @ self.tiles[b]
 
         first = np.zeros(bounds.shape, bool)
         np.put_along_axis(first, np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST], True, axis=1)
         visit(first)
         kth = np.partition(found[:, :self.n], self.n - k, axis=1)[:, self.n - k] if self.n >= k else np.zeros(many)
         visit(~first & (bounds > 0) & (bounds * (1 + 1e-9) + 1e-11 >= kth[:, None]))
-        return found[:, :self.n]
+        return found[:, :self.n], kth
 
 
 def _alike(at: np.ndarray, terms: np.ndarray, w: np.ndarray, order: np.ndarray, there: np.ndarray) -> np.ndarray:
@@ -298,29 +312,43 @@ def _alike(at: np.ndarray, terms: np.ndarray, w: np.ndarray, order: np.ndarray,
     return order[np.lexsort((np.arange(len(x)), -near.max(axis=1), near.argmax(axis=1)))]
 
 
-def _class_counts(rows: DataFrame) -> DataFrame:
-    """``(feature, n1, n0)``: texts of each class that hold the feature, over all rows."""
+def _feature_names(rows: DataFrame) -> pa.Array:
+    """The features of all texts of ``rows``, in order."""
     def run(batches):
-        with1, with0, known = Counter(), Counter(), _Names()
+        names = set()
+        for b in row_blocks(batches):
+            for text in b.column(0).to_pylist():
+                names.update(features(text))
+            if len(names) > FLUSH:
+                yield pa.RecordBatch.from_arrays([pa.array(list(names), pa.string())], ["feature"])
+                names.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(list(names), pa.string())], ["feature"])
 
-        def flush():
-            names = list(set(with1) | set(with0))
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array([with1[f] for f in names], pa.int64()),
-                 pa.array([with0[f] for f in names], pa.int64())], ["feature", "n1", "n0"])
-            with1.clear()
-            with0.clear()
-            return out
+    found = rows.select("text").mapInArrow(run, "feature string").distinct().orderBy("feature")
+    return found.toArrow()["feature"].combine_chunks()
 
+
+def _class_counts(rows: DataFrame, shared, many: int) -> tuple[np.ndarray, np.ndarray]:
+    """Texts of class 1 and of class 0 that hold each of the ``many`` features of the ``shared`` vocabulary, over
+    all rows."""
+    def run(batches):
+        vocabulary, counts = shared.value, np.zeros((2, many), np.int64)
         for b in row_blocks(batches):
             for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                (with1 if label else with0).update(feature_names(text, known))
-            if len(with1) + len(with0) > FLUSH:
-                yield flush()
-        yield flush()
-
-    return (rows.select("text", "label").mapInArrow(run, "feature string, n1 long, n0 long")
-            .groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")))
+                if text:
+                    words = vocabulary.words.ready()
+                    held = set(chain.from_iterable(map(words.__getitem__, set(_WORDS(text.lower())))))
+                    counts[1 if label else 0, np.fromiter(held, np.int64, len(held))] += 1
+        at = np.flatnonzero(counts.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[1, at]), pa.array(counts[0, at])],
+                                         ["slot", "n1", "n0"])
+
+    got = (rows.select("text", "label").mapInArrow(run, "slot int, n1 long, n0 long")
+           .groupBy("slot").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))).toArrow()
+    out = np.zeros((2, many))
+    for row, name in enumerate(("n1", "n0")):
+        out[row, got["slot"].to_numpy()] = got[name].to_numpy()
+    return out[0], out[1]
 
 
 def _weight(n1_of: np.ndarray, n0_of: np.ndarray, n1: int, n0: int) -> np.ndarray:
@@ -372,15 +400,12 @@ def fit_index(labelled: DataFrame, per_class: int = PER_CLASS) -> Index:
     sample = scratch.save(rows.join(F.broadcast(chosen), ["doc_id", "label"])  # 2 * per_class ids
                           .groupBy("doc_id", "label").agg(F.min("text").alias("text")))
     # All features of the sample, with their counts over all rows.
-    here = _class_counts(sample).select("feature")
-    got = _class_counts(rows).join(here, "feature", "left_semi").orderBy("feature").toArrow().combine_chunks()
-    idf = _weight(got["n1"].to_numpy().astype(float), got["n0"].to_numpy().astype(float), n1, n - n1)
-    names = got["feature"].combine_chunks()
-    del got
-    shared = labelled.sparkSession.sparkContext.broadcast(names)
+    names = _feature_names(sample)
+    shared = labelled.sparkSession.sparkContext.broadcast(_Vocabulary(names))
+    idf = _weight(*_class_counts(rows, shared, len(names)), n1, n - n1)
 
     def run(batches):
-        slot = {f: i for i, f in enumerate(shared.value.to_pylist())}
+        slot = shared.value.slot
         for b in row_blocks(batches):
             found = [features(t) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
