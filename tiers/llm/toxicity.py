@@ -47,7 +47,7 @@ BATCH = 256                     # texts scored together
 CLUSTERS, CLUSTER_FEATURES, CLUSTER_ROUNDS = 8, 512, 8
 TILE_SHARE, TILE_FEATURES = 1 / 16, 4096   # a tile holds features of at least this share of the rows, at most so many
 LABEL_ROWS = 2_000_000          # labels up to this number are broadcast to the texts
-KNOWN_WORDS = 200_000           # words a worker remembers the features of; then it starts over
+KNOWN_BEGINS = 100_000          # words' first letters that a worker remembers the features of; then it starts over
 FEW = 5        # texts with a feature at which its class rates count half
 FLOOR = 0.01   # the weight's share that a feature of equal rates keeps
 
@@ -66,7 +66,8 @@ def features(text: str | None) -> Counter:
 
 
 class _Slots(dict):
-    """The slots of each word's features, given the slot of each feature's name."""
+    """The slots of each word's features, given the slot of each feature's name; words of the vocabulary are remembered,
+    and so are first letters."""
 
     def __init__(self, slot: dict[str, int]):
         self.slot, self.begins = slot, {}
@@ -78,13 +79,14 @@ class _Slots(dict):
             begin = self.begins[letters] = tuple(
                 [i for p in PREFIXES if len(letters) > p and (i := get("^" + letters[:p])) is not None])
         i = get(word)
-        self[word] = slots = begin if i is None else (i, *begin)
+        if i is None:
+            return begin
+        self[word] = slots = (i, *begin)
         return slots
 
     def ready(self) -> "_Slots":
-        """Itself; it starts over when it knows more than ``KNOWN_WORDS``."""
-        if len(self) > KNOWN_WORDS:
-            self.clear()
+        """Itself; first letters start over beyond ``KNOWN_BEGINS``."""
+        if len(self.begins) > KNOWN_BEGINS:
             self.begins.clear()
         return self
 
@@ -167,6 +169,13 @@ class Index:
     def _tiles(self) -> "_Tiles":
         return _Tiles(self)
 
+    def lean(self) -> "Index":
+        """Itself as a task keeps it: with its tiles, without the arrays they are made of."""
+        if "_tiles" not in self.__dict__:
+            self._tiles
+            self.terms = self.rows = self.weights = None
+        return self
+
     def vector(self, counts) -> tuple[np.ndarray, np.ndarray] | None:
         """Unit TF-IDF vector over the vocabulary of counts by name, or of ``(slots, counts)``; None if
         it holds none of them."""
@@ -433,7 +442,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, index: Index, id_col: str
     near = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
 
     def run(batches):
-        model = shared.value
+        model = shared.value.lean()
         for b in row_blocks(batches):
             found = model.score_texts(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
@@ -453,6 +462,10 @@ def score_column(spark: SparkSession, index: Index):
 
     @F.pandas_udf("double")
     def score(texts):
-        return pd.Series([x[0] for x in shared.value.score_texts(texts.tolist())], dtype="float64")
+        model, out = shared.value.lean(), np.zeros(len(texts))
+        for i in range(0, len(out), BATCH):
+            out[i:i + BATCH] = [x[0] for x in model.score_texts(texts.iloc[i:i + BATCH].tolist())]
+        pa.default_memory_pool().release_unused()
+        return pd.Series(out)
 
     return score
