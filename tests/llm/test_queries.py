@@ -38,6 +38,13 @@ def test_query_has_a_row_per_document(spark, name):
     assert sorted(ids) == sorted(r.doc_id for r in read_table(spark, SF_SMALL, "documents").select("doc_id").collect())
 
 
+def test_personal_data_counts_by_kind(spark, workdir):
+    texts = ["a@b.c 1.2.3.4 x 4111 1111 1111 1111 x +1 (017) 555-7713", "a@b.c d@e.f g@h.i", "1.2.3.4 5.6.7.8", "none", None]
+    spark.createDataFrame(enumerate(texts), "doc_id long, text string").write.parquet(f"{workdir}/documents.parquet")
+    got = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone) for r in QUERIES["op3_personal_data"](spark, workdir).collect()}
+    assert got == {0: (1, 1, 1, 1), 1: (3, 0, 0, 0), 2: (0, 2, 0, 0), 3: (0,) * 4, 4: (0,) * 4}
+
+
 def test_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "line dedup", "MinHash near-dedup", "mixing", "byte-level BPE"]
