@@ -34,7 +34,8 @@ from tiers.plans.preflight import preflight_report  # noqa: E402
 from tiers.schemas import LANDING_COLUMNS  # noqa: E402
 from tiers.session import scratch_dir, session_key  # noqa: E402
 from tiers.sources import (  # noqa: E402
-    create_schema, create_tables, landing_inventory, orders_feed, orders_from_ids, overwrite_table, preview, write_csv,
+    create_schema, create_tables, landing_inventory, orders_feed, orders_from_ids, overwrite_table, preview, sized_feed,
+    sized_joins, write_csv,
 )
 
 SMOKE_DIR = os.environ.get("SMOKE_DIR", "/root/testdata/sf0.001")
@@ -56,11 +57,11 @@ def _typed(spark, sf_dir):
 
 
 def _dedup(spark, sf_dir):
-    return silver.dedup_orders(_typed(spark, sf_dir))
+    return silver.dedup_orders(silver.typed(sized_feed(spark, sf_dir)))
 
 
 def _silver(spark, sf_dir):
-    return silver.clean(_typed(spark, sf_dir))
+    return silver.clean(silver.typed(sized_feed(spark, sf_dir)))
 
 
 def _gold_sales(spark, sf_dir, sort=True):
@@ -100,7 +101,8 @@ def _landing_env(spark: SparkSession, sf_dir: str) -> Env:
     with _LANDING_LOCK:
         if key not in _LANDINGS:
             env = _scratch_env(spark, "landing")
-            write_csv(orders_feed(spark, sf_dir), env.landing)
+            with sized_joins(spark, sf_dir):  # straight from the joins: the rows are stored once, as the landing
+                write_csv(orders_feed(spark, sf_dir, materialize=False), env.landing)
             _LANDINGS[key] = env
         return _LANDINGS[key]
 
@@ -196,7 +198,7 @@ def q_dedup_orders(spark, sf_dir):
 def q_dedup_faithful_keys(spark, sf_dir):
     """``dropDuplicates(order_id)`` as the original pipeline ran it: which survivor is kept
     is arbitrary, the set of keys (one NULL group included) is not."""
-    return silver.dedup_orders(_typed(spark, sf_dir), deterministic=False).select("order_id")
+    return silver.dedup_orders(silver.typed(sized_feed(spark, sf_dir)), deterministic=False).select("order_id")
 
 
 def q_filter_not_null(spark, sf_dir):
@@ -220,7 +222,7 @@ def q_silver_orders(spark, sf_dir):
 
 
 def q_silver_metrics(spark, sf_dir):
-    return silver.metrics(orders_feed(spark, sf_dir))
+    return silver.metrics(sized_feed(spark, sf_dir))
 
 
 # ---- gold -------------------------------------------------------------------------------------

@@ -23,7 +23,7 @@ from tiers.plans import gold, silver
 from tiers.plans.bronze import bronze
 from tiers.plans.preflight import preflight_report, require
 from tiers.plans.sizing import TARGET_SHUFFLE_BYTES, estimate
-from tiers.session import TARGET_PARTITION_BYTES, plan_bytes, step_session
+from tiers.session import TARGET_PARTITION_BYTES, partitions_for, plan_bytes, step_session
 from tiers.sources.tables import create_schema, create_tables, overwrite_table, write_csv
 from tiers.sources.versions import table_facts
 
@@ -86,7 +86,7 @@ def silver_write_frame(spark: SparkSession, env: Env, mode: str = "lenient", bro
     """What the silver step writes: silver rows from the bronze table with their counters,
     each file clustered by ``env.silver_cluster_by``; the dedup shuffle sized to the bronze table's bytes."""
     size = plan_bytes(spark.table(env.table(config.BRONZE)))
-    own = step_session(spark, max(1, -(-size // target_bytes)))
+    own = step_session(spark, partitions_for(size, target_bytes))
     rows, counters = silver.silver_observed(own.table(env.table(config.BRONZE)), mode, bronze_rows=bronze_rows,
                                             skip_null_keys=env.skip_null_keys)
     if env.silver_cluster_by:

@@ -33,15 +33,22 @@ def typed(bronze: DataFrame, mode: str = "lenient") -> DataFrame:
         "unit_price": casts.to_double("unit_price", mode),
         "order_date": casts.to_date_ymd("order_date", mode),
     })
-    return cast_cols.withColumns({
+    return derived(cast_cols)
+
+
+def derived(typed_df: DataFrame) -> DataFrame:
+    return typed_df.withColumns({
         "total_amount": casts.total_amount("quantity", "unit_price"),
         "year_month": casts.year_month("order_date"),
     })
 
 
 def dedup_orders(typed_df: DataFrame, deterministic: bool = True) -> DataFrame:
+    """One row per order id.  The derived columns follow from the others: they are left out of the dedup's shuffle and
+    computed again for the survivors."""
     if deterministic:
-        return dedup(typed_df, [KEY], DEDUP_ORDER)
+        kept = dedup(typed_df.select(KEY, *DEDUP_ORDER), [KEY], DEDUP_ORDER)
+        return derived(kept).select(*typed_df.columns)
     return drop_duplicates(typed_df, [KEY])
 
 

@@ -8,10 +8,12 @@ No row is dropped or sampled: the feed has exactly as many rows as ``lineitem``.
 duplicate order ids with differing content.
 
 Join plan: nation ⋈ region are checked-small dimensions and are broadcast into the
-customer scan; orders ⋈ customer, lineitem ⋈ orders and lineitem ⋈ part are
+customer scan; orders ⋈ customer, lineitem ⋈ part and lines ⋈ orders are
 shuffle joins on their keys (sort-merge by hint, so a compressed-size estimate
 never broadcasts a table that grows with the data; AQE splits a skewed key).  Column
-pruning keeps only the 13 columns the rules read.
+pruning keeps only the 13 columns the rules read, and the rules on a line's own keys are
+taken down to flags before the shuffles.  The orders come last, so the feed leaves the joins by
+order: lines of one order lie together, and the files hold an order's values once.
 """
 
 from __future__ import annotations
@@ -23,7 +25,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiers.operators.joins import broadcast_if_small
-from tiers.session import checkpoint_root, plan_bytes, session_key, sized_shuffles
+from tiers.session import (
+    PARQUET_OPTIONS, checkpoint_root, partitions_for, plan_bytes, session_key, sized_shuffles, step_session,
+)
 
 # The rules that make the feed dirty (first match wins per column).
 NULL_ID_EVERY = 1009        # l_orderkey % 1009 = 0 → order_id NULL
@@ -47,6 +51,7 @@ def _every(c: str, k: int) -> Column:
 
 FEED_TABLES = ("lineitem", "orders", "customer", "part")
 _FEEDS: dict[tuple, DataFrame] = {}
+_PATHS: dict[tuple, str] = {}
 _LOCK = threading.Lock()
 
 
@@ -70,17 +75,30 @@ def orders_feed(spark: SparkSession, sf_dir: str, materialize: bool = True,
             feed = build_orders_feed(spark, sf_dir, castable)
             if materialize:
                 path = f"{checkpoint_root(spark)}/tiers/feed-{uuid.uuid4().hex[:12]}"
-                with sized_shuffles(spark, sum(plan_bytes(_read(spark, sf_dir, t)) for t in FEED_TABLES)):
-                    feed.write.parquet(path)
-                feed = spark.read.parquet(path)
+                with sized_joins(spark, sf_dir):
+                    feed.write.options(**PARQUET_OPTIONS).parquet(path)
+                _PATHS[key], feed = path, spark.read.parquet(path)
             _FEEDS[key] = feed
         return _FEEDS[key]
 
 
+def sized_joins(spark: SparkSession, sf_dir: str):
+    """For a write of the lazy feed: its joins' shuffles sized to the tables they read."""
+    return sized_shuffles(spark, sum(plan_bytes(_read(spark, sf_dir, t)) for t in FEED_TABLES))
+
+
+def sized_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored feed, read in a sibling session whose shuffles and scan tasks are sized to its bytes."""
+    feed = orders_feed(spark, sf_dir)
+    own = step_session(spark, partitions_for(plan_bytes(feed)))
+    return own.read.schema(feed.schema).parquet(_PATHS[(*session_key(spark), sf_dir.rstrip("/"), True, False)])
+
+
 def build_orders_feed(spark: SparkSession, sf_dir: str, castable: bool = False) -> DataFrame:
     """Build the feed plan (uncached); see ``orders_feed``."""
     lineitem = _read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        _every("l_suppkey", UNKNOWN_STATUS_EVERY).alias("unknown"))
     orders = _read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -97,10 +115,12 @@ def build_orders_feed(spark: SparkSession, sf_dir: str, castable: bool = False)
     # broadcast picked from a compressed-size estimate.
     orders_ext = orders.join(customer_region.hint(SHUFFLE_JOIN), F.col("o_custkey") == F.col("c_custkey"))
     lines = (lineitem
-             .join(orders_ext.hint(SHUFFLE_JOIN), F.col("l_orderkey") == F.col("o_orderkey"))
-             .join(part.hint(SHUFFLE_JOIN), F.col("l_partkey") == F.col("p_partkey")))
+             .join(part.hint(SHUFFLE_JOIN), F.col("l_partkey") == F.col("p_partkey"))
+             .select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "unknown", "p_name", "p_type",
+                     _every("l_partkey", BAD_PRICE_EVERY).alias("bad_price"))
+             .join(orders_ext.hint(SHUFFLE_JOIN), F.col("l_orderkey") == F.col("o_orderkey")))
 
-    status = F.when(_every("l_suppkey", UNKNOWN_STATUS_EVERY), F.lit("unknown"))
+    status = F.when(F.col("unknown"), F.lit("unknown"))
     for code, name in STATUS_NAMES.items():
         status = status.when(F.col("o_orderstatus") == code, F.lit(name))
 
@@ -115,7 +135,7 @@ def build_orders_feed(spark: SparkSession, sf_dir: str, castable: bool = False)
          else F.when(_every("l_orderkey", BAD_QUANTITY_EVERY), F.lit("n/a"))
          .when(F.col("l_quantity") >= ZERO_QUANTITY_FROM, F.lit("0")))
         .otherwise(F.col("l_quantity").cast("int").cast("string")).alias("quantity"),
-        F.when(_every("l_partkey", BAD_PRICE_EVERY), F.lit("-1.00"))
+        F.when(F.col("bad_price"), F.lit("-1.00"))
          .otherwise(F.col("l_extendedprice").cast("decimal(12,2)").cast("string")).alias("unit_price"),
         (F.col("o_orderdate").cast("date").cast("string") if castable
          else F.when(_every("l_orderkey", BAD_DATE_EVERY), F.lit("31/12/1999"))
