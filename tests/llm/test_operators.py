@@ -195,6 +195,18 @@ def test_mostly_unknown_identifiers(spark):
     assert [len(r.added) for r in got if r.id is None] == [1]
 
 
+def test_support_does_not_follow_the_size(spark):
+    """Three known numbers behind a context are enough, however many other known instances there are."""
+    rnd = random.Random(41)
+    calls = [f"{words(rnd, 4)} please call +49 30 55{i % 3:02d}7713 {words(rnd, 3)}" for i in range(12)] + \
+        [f"{words(rnd, 4)} please call 030/5577130x {words(rnd, 3)}"]
+    rest = [" ".join(f"{words(rnd, 1)}{i}@mail.org {words(rnd, 1)}" for i in range(s, s + 700)) for s in range(0, 7000, 700)]
+    for texts in (calls, calls + rest):
+        got = {r.id: r for r in pii.personal_data(spark, frame(spark, enumerate(texts))).collect()}
+        assert [texts[12][s.start:s.stop] for s in got[12].added] == ["030/5577130x"]
+        assert not any(got[i].added for i in range(len(texts)) if i != 12)
+
+
 # ---- 4 ---------------------------------------------------------------------------------------
 
 def test_fingerprints(spark):

@@ -7,8 +7,8 @@ among its occurrences in the whole corpus, those with a still undecided candidat
 the patterns it stands in.  Patterns of high confidence and enough distinct known instances then admit the unknown
 instances (words of five digits or more) beside them, which become known for the next round.
 
-What is enough is a share of the known instances (``SUPPORT_SHARE``, at least ``MIN_SUPPORT``), so neither the
-patterns nor their occurrences grow faster than the corpus.
+What is enough (``MIN_SUPPORT``) is the same for any corpus.  A pattern's known mentions are among its occurrences, so
+they alone bound its confidence; only patterns that can still reach it are counted in the texts.
 
 Everything is DataFrame functions.  The regular expressions are possessive forms of the plain ones
 (same matches, but linear in the text and without recursion), and offsets come from the lengths of
@@ -38,7 +38,7 @@ CANDIDATE = rf"(?<!{WORD})(?=(?:[^\x20\x09-\x0D0-9]*+[0-9]){{5}}){WORD}++"
 LEFT = rf"(?<!{WORD})({WORD}++){SPACE}++({WORD}++){SPACE}++{WORD}*+$"
 RIGHT = rf"^{WORD}*+{SPACE}++({WORD}++){SPACE}++({WORD}++)"
 
-MIN_SUPPORT, SUPPORT_SHARE, MIN_CONFIDENCE, ROUNDS = 3, 1 / 2000, 0.8, 3
+MIN_SUPPORT, MIN_CONFIDENCE, ROUNDS = 3, 0.8, 3
 #: Patterns up to this number (16 bytes each) are broadcast when their occurrences are counted.
 BROADCAST_PATTERNS = 500_000
 
@@ -118,24 +118,34 @@ def _grow(spark, scratch: Scratch, texts: DataFrame, seeds: DataFrame, unknown:
         .select(F.posexplode(F.array("left", "right")).alias("side", "pair"), "instance", "kind").where("pair is not null"))
     known = scratch.save(seeds.select("instance", "kind", F.lit(1.0).alias("score")).distinct())
     before = known.count()
-    enough = max(min_support, -(-before // int(1 / SUPPORT_SHARE)))
     # Unknown mentions alone never make a pattern, and a pattern of seeds alone reveals nothing.
     useful = mentions.groupBy(*pattern).agg(
         F.count_distinct("instance").alias("n"), F.count("kind").alias("s"), F.count(F.lit(1)).alias("all")) \
-        .where((F.col("n") >= enough) & (F.col("s") > 0) & (F.col("s") < F.col("all"))).select(*pattern)
+        .where((F.col("n") >= min_support) & (F.col("s") > 0) & (F.col("s") < F.col("all"))).select(*pattern)
     useful = scratch.save(useful)
     if not useful.take(1):
         return None
-    totals = scratch.save(_pattern_totals(texts, useful).join(useful, pattern, "left_semi"))
     graph = scratch.save(mentions.join(useful, pattern, "left_semi"))
+    asked, totals = None, None
     for _ in range(rounds):
         decided = graph.select(*pattern, "instance").join(known, "instance", "left")
         support = (decided.groupBy(*pattern, "kind")
                    .agg(F.sum("score").alias("hits"), F.count(F.lit(1)).alias("here"), F.count_distinct("instance").alias("n")))
-        undecided = support.where("kind is null").select(*pattern, F.col("here").alias("open"))
-        others = F.greatest(F.col("total") - F.coalesce("open", F.lit(0)), "hits")
-        strong = (support.where((F.col("n") >= enough) & F.col("kind").isNotNull()).join(totals, pattern)
-                  .join(undecided, pattern, "left").withColumn("confidence", F.col("hits") / (others + 1))
+        inside = support.groupBy(*pattern).agg(
+            *(F.coalesce(F.sum(F.when(which, F.col("here"))), F.lit(0)).alias(name)
+              for name, which in (("sure", F.col("kind").isNotNull()), ("open", F.col("kind").isNull()))))
+        able = scratch.save(support.where((F.col("n") >= min_support) & F.col("kind").isNotNull()).join(inside, pattern)
+                            .where((F.col("open") > 0) & (F.col("hits") / (F.col("sure") + 1) >= min_confidence)))
+        new = able.select(*pattern).distinct()
+        new = new if asked is None else new.join(asked, pattern, "left_anti")
+        new = scratch.save(new)
+        if new.take(1):  # counted once, in the round that first needs them
+            found = scratch.save(_pattern_totals(texts, new).join(new, pattern, "left_semi"))
+            asked, totals = (new, found) if asked is None else (asked.unionByName(new), totals.unionByName(found))
+        if totals is None:
+            return None
+        others = F.greatest(F.col("total") - F.col("open"), F.col("sure"))
+        strong = (able.join(totals, pattern).withColumn("confidence", F.col("hits") / (others + 1))
                   .where(F.col("confidence") >= min_confidence).select(*pattern, "kind", "confidence"))
         scored = (graph.where("kind is null").select(*pattern, "instance").distinct().join(strong, pattern)
                   .groupBy("instance", "kind")
