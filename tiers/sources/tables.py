@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tiers.config import Env
 from tiers.schemas import TABLE_SCHEMAS
-from tiers.session import PARQUET_OPTIONS, session_context
+from tiers.session import session_context
 from tiers.sources import versions
 
 
@@ -60,7 +60,7 @@ def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet", swap: bool |
     obs = Observation(f"rows_written_{uuid.uuid4().hex[:8]}")
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("overwrite")
     if fmt == "parquet":
-        writer.options(**PARQUET_OPTIONS)
+        writer.option("compression", "zstd")  # row groups as the session has them
     if not swap:
         writer.option("overwriteSchema", "true").saveAsTable(name)
         return int(obs.get["rows"])
