@@ -171,6 +171,27 @@ def test_parts_of_long_texts_join(byte_level, pieces, monkeypatch):
     assert whole[4] == (0, 0, 0, b"", "")
 
 
+def test_new_units_share_lines_and_late_ones_stay_known(monkeypatch):
+    al = align.Aligner(public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES))
+    rnd = random.Random(7)
+    units = list(dict.fromkeys([rnd.choice(PARTS).strip() + str(i) + rnd.choice(PARTS) for i in range(300)] +
+                               ["'re", "n't", "a\u0301", "\u0301a", "\u2581", "x\n", "\ty", "<s>", "a  b", "a\nb"]))
+    want = [al.lines([[u]])[u] for u in units]
+    assert None in want and al.block(units) == want
+    asked = []
+    encode = al.a.encode
+    monkeypatch.setattr(al.a, "encode", lambda parts: asked.extend(parts) or encode(parts))
+    al.block([f"w{i}" for i in range(64)])
+    assert len(asked) == 64 / align.LINE_UNITS
+    # A unit in use stays known while others come and go: it was forgotten with all others before.
+    monkeypatch.setattr(align, "KNOWN_UNITS", 40)
+    for i in range(30):
+        al.learn(["often", *(f"u{i}x{k}" for k in range(15))])
+    assert sum("often" in line.split() for line in asked) == 1
+    assert len(al.known) + len(al.older) <= 40 + 2 * 16
+    assert al.texts(["often u3x1 " * 40])[0][0] == len(encode(["often u3x1 " * 40])[0])
+
+
 # ---- 13 --------------------------------------------------------------------------------------
 
 def brute_variants(docs, every=199, min_chars=6, min_count=5, ratio=5):

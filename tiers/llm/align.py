@@ -20,8 +20,9 @@ A run over a table has three steps, each from a written table, so a lost executo
 
 Texts are cut where both tokenizers surely cut, at a single space between two other characters.  The units
 between are the blocks on the matrices' diagonal: each distinct one is encoded and multiplied once per
-worker (a bounded table keeps the results), and a text's result is its units' put together.  Long texts are
-read in stretches of ``BLOCK_CHARS``.
+worker (a bounded table keeps the results, those of late use longest), and a text's result is its units' put
+together.  New units are encoded some to a line, with single spaces between, and told apart by their bytes.
+Long texts are read in stretches of ``BLOCK_CHARS``.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +43,14 @@ from tiers.llm.common import Scratch, ship
 HOT_PAIRS = 500_000
 BLOCK_CHARS = 1 << 18
 BLOCK_TEXTS = 256
-KNOWN_UNITS = 200_000     # units a worker remembers; then it starts over
+KNOWN_UNITS = 200_000     # units a worker remembers; half of them since the older half was last renewed
 KNOWN_CHARS = 48          # longer units are not remembered
+LINE_UNITS = 16           # units encoded as one line
 
 #: A place at which both tokenizers end a token: a single space between two characters that are no white space.
 CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
+#: A unit that is surely cut off from any such neighbours.
+WHOLE = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.DOTALL).fullmatch
 
 
 # ---- sparse matrices ----------------------------------------------------------------------------
@@ -194,6 +199,7 @@ class Aligner:
             [f"{i}," for i in range(m)] + [f"{i};" for i in range(m)]
         self.base = (0, n, 2 * n, 2 * n + m)
         self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
         if any(b" " in x.lstrip(b" ") for x in self.b.bytes_of):  # A's words are split before its merges
             raise ValueError("B's vocabulary has entries across words")
 
@@ -211,16 +217,32 @@ class Aligner:
     def block(self, parts: list[str]) -> list[tuple | None]:
         """For each unit ``(n_a, n_b, packed link keys, groups as text)``; None where the joined bytes
         of either tokenizer differ from the unit's."""
-        ids_a, ids_b = self.a.encode(parts), self.b.encode(parts)
+        whole = [p for p in parts if WHOLE(p)]
+        lines = [whole[k:k + LINE_UNITS] for k in range(0, len(whole), LINE_UNITS)]
+        found = self.lines(lines + [[p] for p in parts if not WHOLE(p)])
+        again = [p for p in parts if p not in found]
+        found.update(self.lines([[p] for p in again]))
+        return list(map(found.get, parts))
+
+    def lines(self, lines: list[list[str]]) -> dict[str, tuple | None]:
+        """``block`` of the units of each line, encoded with single spaces between them.  Of a line of many whose joined
+        bytes differ, or in which a token runs on from unit to unit, none are in the result."""
+        joined = list(map(" ".join, lines))
+        ids_a, ids_b = self.a.encode(joined), self.b.encode(joined)
         same = [b"".join(map(self.a.bytes_of.__getitem__, x)) == (want := b" " + p.encode()) and
-                b"".join(map(self.b.bytes_of.__getitem__, y)) == want for p, x, y in zip(parts, ids_a, ids_b)]
-        ids_a, ids_b = ([x for x, ok in zip(ids, same) if ok] for ids in (ids_a, ids_b))
-        size_a, size_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-        a = np.array([i for x in ids_a for i in x], np.int64)
-        b = np.array([i for x in ids_b for i in x], np.int64)
+                b"".join(map(self.b.bytes_of.__getitem__, y)) == want for p, x, y in zip(joined, ids_a, ids_b)]
+        found: dict[str, tuple | None] = {line[0]: None for line, ok in zip(lines, same) if not ok and len(line) == 1}
+        ids_a, ids_b, lines = ([x for x, ok in zip(them, same) if ok] for them in (ids_a, ids_b, lines))
+        a = np.fromiter(chain.from_iterable(ids_a), np.int64)
+        b = np.fromiter(chain.from_iterable(ids_b), np.int64)
+        units = list(chain.from_iterable(lines))
         ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
+        ends = np.cumsum(np.fromiter((len(u.encode()) + 1 for u in units), np.int64, len(units)))
+        to_a, to_b = np.searchsorted(ends_a, ends, "right"), np.searchsorted(ends_b, ends, "right")
+        if not (np.array_equal(ends_a[to_a - 1], ends) and np.array_equal(ends_b[to_b - 1], ends)):
+            return found | self.lines([x for x in lines if len(x) == 1])
         i, j, _ = links(ends_a, ends_b, "end")
-        keys = a[i] * self.width + b[j]
+        keys = (a[i] * self.width + b[j]).tobytes()
         group_a, group_b = _group_of(len(a), i), _group_of(len(b), j)
         # A group's A tokens stand behind all B tokens of earlier groups, its B tokens behind its A tokens.
         closes_a, closes_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
@@ -229,31 +251,27 @@ class Aligner:
         said[np.arange(len(a)) + np.concatenate([[0], j + 1])[group_a]] = a + np.where(closes_a, self.base[1], self.base[0])
         said[np.arange(len(b)) + (i + 1)[group_b]] = b + np.where(closes_b, self.base[3], self.base[2])
         words = list(map(self.said.__getitem__, said.tolist()))
-        to_a, to_b = np.cumsum(size_a), np.cumsum(size_b)
-        to_link = np.searchsorted(i, to_a)
-        found, a0, b0, l0 = [], 0, 0, 0
-        for a1, b1, l1 in zip(to_a.tolist(), to_b.tolist(), to_link.tolist()):
-            found.append((a1 - a0, b1 - b0, keys[l0:l1].tobytes(), "".join(words[a0 + b0:a1 + b1])))
+        to_link = 8 * np.searchsorted(i, to_a)
+        a0, b0, l0 = 0, 0, 0
+        for u, a1, b1, l1 in zip(units, to_a.tolist(), to_b.tolist(), to_link.tolist()):
+            found[u] = a1 - a0, b1 - b0, keys[l0:l1], "".join(words[a0 + b0:a1 + b1])
             a0, b0, l0 = a1, b1, l1
-        rows = iter(found)
-        return [next(rows) if ok else None for ok in same]
+        return found
 
     def learn(self, units: list[str]) -> dict:
         """The results of these units, with the new ones worked out in blocks of bounded size."""
-        results, new, size = {}, [], 0
-        if len(self.known) > KNOWN_UNITS:
-            self.known.clear()
+        if len(self.known) > KNOWN_UNITS // 2:
+            self.older, self.known = self.known, {}
+        known, older, long, new, size = self.known, self.older, {}, [], 0
 
         def work():
             for u, got in zip(new, self.block(new)):
-                results[u] = got
-                if len(u) <= KNOWN_CHARS:
-                    self.known[u] = got
+                (known if len(u) <= KNOWN_CHARS else long)[u] = got
             new.clear()
 
-        for u in dict.fromkeys(units):
-            if u in self.known:
-                results[u] = self.known[u]
+        for u in set(units).difference(known):
+            if u in older:
+                known[u] = older[u]
             else:
                 new.append(u)
                 size += len(u)
@@ -261,7 +279,7 @@ class Aligner:
                     work()
                     size = 0
         work()
-        return results
+        return known | long if long else known
 
     def texts(self, texts: list[str | None]) -> list[tuple]:
         """For each text ``(n_a, n_b, number of links, packed link keys, digest)``."""
