@@ -401,6 +401,24 @@ def test_toxicity_scores_against_brute_force(monkeypatch, tiles, block):
             assert score == pytest.approx(want, abs=1e-9)
 
 
+def test_toxicity_workers_hold_little(spark):
+    rnd = random.Random(3)
+    words = [f"w{i}x" for i in range(400)]
+    texts = [" ".join(rnd.choices(words, k=200)) for _ in range(300)]
+    rows = [(i, i % 2, toxicity.features(t)) for i, t in enumerate(texts)]
+    index = toxicity.Index({f: rnd.random() + 0.1 for r in rows for f in r[2]}, rows, 0.3)
+    postings = sum(len(r[2]) for r in rows)
+    # A posting was 16 bytes, kept or copied several times while tiles were made.
+    assert index.rows.nbytes + index.counts.nbytes <= 4 * postings
+    want = index.score_texts(texts)
+    index.put_away()
+    assert not set(index.MADE) & set(vars(index))
+    assert index.score_texts(texts) == want
+    df = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "text string").repartition(3)
+    got = df.select("text", toxicity.score_column(spark, index)(F.col("text")).alias("s")).collect()
+    assert {r.text: r.s for r in got} == dict(zip([*texts, None, ""], [x for x, _ in index.score_texts([*texts, None, ""])]))
+
+
 def test_toxicity_weights_come_from_all_rows(spark):
     """Every feature's weight against counts over all training rows, the sample's and the others."""
     rnd = random.Random(13)

@@ -25,11 +25,11 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from functools import cached_property
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -46,6 +46,7 @@ FIRST = 8
 BATCH = 256                     # texts scored together
 CLUSTERS, CLUSTER_FEATURES, CLUSTER_ROUNDS = 8, 512, 8
 TILE_SHARE, TILE_FEATURES = 1 / 16, 4096   # a tile holds features of at least this share of the rows, at most so many
+TILE_STEP = 1 << 17             # postings put into tiles at a time
 LABEL_ROWS = 2_000_000          # labels up to this number are broadcast to the texts
 KNOWN_BEGINS = 100_000          # words' first letters that a worker remembers the features of; then it starts over
 FEW = 5        # texts with a feature at which its class rates count half
@@ -142,7 +143,7 @@ class Index:
         at = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         norm = np.sqrt(np.bincount(at, w * w, len(sizes)))
         held = norm[at] > 0
-        at, terms, w = at[held], slots[held], w[held] / norm[at[held]]
+        at, terms, w, counts = at[held], slots[held], w[held] / norm[at[held]], counts[held]
         order = _alike(at, terms, w, np.lexsort((np.array([-1 if i is None else i for i in ids]), labels)), norm > 0)
         place = np.full(len(sizes), -1, np.int32)
         place[order] = np.arange(len(order), dtype=np.int32)
@@ -152,10 +153,24 @@ class Index:
         self.blocks = -(-len(order) // block)
         at = place[at]
         order = np.lexsort((at, terms))
-        self.terms, self.rows, self.weights = terms[order], at[order], w[order]
+        # Weights follow from counts, so a task keeps some bytes a posting.
+        self.df, self.norms = np.bincount(terms, minlength=len(names)), norm[norm > 0][np.argsort(place[norm > 0])]
+        self.rows, self.counts = _narrow(at[order]), _narrow(counts[order])
+
+    def weights(self, terms: np.ndarray, which) -> np.ndarray:
+        """The unit vectors' weights at the postings ``which``, whose features are ``terms``."""
+        return (1 + np.log(self.counts[which].astype(float))) * self.idf[terms] / self.norms[self.rows[which]]
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("slot", "_tiles", "_words")}
+        return {k: v for k, v in self.__dict__.items() if k not in self.MADE}
+
+    #: What a task makes of the rest.
+    MADE = ("slot", "_tiles", "_words")
+
+    def put_away(self) -> None:
+        """Forgets what was made, so that an idle worker holds little."""
+        for k in self.MADE:
+            self.__dict__.pop(k, None)
 
     @cached_property
     def slot(self) -> dict[str, int]:
@@ -169,13 +184,6 @@ class Index:
     def _tiles(self) -> "_Tiles":
         return _Tiles(self)
 
-    def lean(self) -> "Index":
-        """Itself as a task keeps it: with its tiles, without the arrays they are made of."""
-        if "_tiles" not in self.__dict__:
-            self._tiles
-            self.terms = self.rows = self.weights = None
-        return self
-
     def vector(self, counts) -> tuple[np.ndarray, np.ndarray] | None:
         """Unit TF-IDF vector over the vocabulary of counts by name, or of ``(slots, counts)``; None if
         it holds none of them."""
@@ -251,23 +259,22 @@ class _Tiles:
     def __init__(self, index: Index):
         n, blocks, block, vocabulary = len(index.ids), index.blocks, index.block, len(index.idf)
         self.n, self.blocks, self.block = n, blocks, block
-        df = np.bincount(index.terms, minlength=vocabulary)
+        df, terms = index.df, np.repeat(np.arange(vocabulary, dtype=np.int32), index.df)
         common = np.flatnonzero(df >= max(2, TILE_SHARE * n))
         common = np.sort(common[np.argsort(-df[common], kind="stable")[:TILE_FEATURES]])
         self.column = np.full(vocabulary, -1, np.int64)
         self.column[common] = np.arange(len(common))
-        of = self.column[index.terms]
-        here = of >= 0
+        rest = (self.column < 0)[terms]
         # A tile has all common features, so that a text's are taken as they lie.
         self.tiles, self.largest = np.zeros((blocks, len(common), block)), np.zeros((len(common), blocks))
-        order = np.argsort(index.rows[here] // block, kind="stable")
-        of, at, w = of[here][order], index.rows[here][order], index.weights[here][order]
-        cuts = np.searchsorted(at // block, np.arange(blocks + 1))
-        for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])):
-            self.tiles[b][of[i:j], at[i:j] % block] = w[i:j]
+        for i in range(0, len(rest), TILE_STEP):  # so that the copies on the way stay small
+            here = np.flatnonzero(~rest[i:i + TILE_STEP]) + i
+            at = index.rows[here].astype(np.int64)
+            self.tiles[at // block, self.column[terms[here]], at % block] = index.weights(terms[here], here)
+        for b in range(blocks):
             self.largest[:, b] = self.tiles[b].max(axis=1)
-        self.postings = np.searchsorted(index.terms[~here], np.arange(vocabulary + 1))
-        self.rows, self.weights = index.rows[~here], index.weights[~here]
+        self.postings = np.concatenate([[0], np.cumsum(np.where(self.column < 0, df, 0))])
+        self.rows, self.weights = index.rows[rest], index.weights(terms[rest], rest)
 
     def cosines(self, vectors: list, k: int) -> tuple[np.ndarray, np.ndarray]:
         """For each vector the cosines with all rows; too small ones in blocks that cannot hold one of the ``k``
@@ -295,6 +302,11 @@ class _Tiles:
         return found[:, :self.n], kth
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 on in as few bytes as they need."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
 def _alike(at: np.ndarray, terms: np.ndarray, w: np.ndarray, order: np.ndarray, there: np.ndarray) -> np.ndarray:
     """The rows that are ``there`` with like rows side by side: by spherical k-means over the features of largest
     total weight, each cluster from its middle outwards; ``order`` among equals."""
@@ -442,7 +454,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, index: Index, id_col: str
     near = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
 
     def run(batches):
-        model = shared.value.lean()
+        model = shared.value
         for b in row_blocks(batches):
             found = model.score_texts(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
@@ -460,12 +472,17 @@ def score_column(spark: SparkSession, index: Index):
     ship(spark)
     shared = spark.sparkContext.broadcast(index)  # bounded by the fit's sample
 
-    @F.pandas_udf("double")
-    def score(texts):
-        model, out = shared.value.lean(), np.zeros(len(texts))
-        for i in range(0, len(out), BATCH):
-            out[i:i + BATCH] = [x[0] for x in model.score_texts(texts.iloc[i:i + BATCH].tolist())]
-        pa.default_memory_pool().release_unused()
-        return pd.Series(out)
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = shared.value
+        try:
+            for texts in batches:
+                out = np.zeros(len(texts))
+                for i in range(0, len(out), BATCH):  # only so many texts are Python objects at a time
+                    out[i:i + BATCH] = [x[0] for x in model.score_texts(texts.slice(i, BATCH).to_pylist())]
+                pa.default_memory_pool().release_unused()
+                yield pa.array(out)
+        finally:  # idle workers keep what they hold while others work
+            model.put_away()
 
     return score
