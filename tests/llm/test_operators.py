@@ -15,6 +15,7 @@ import re
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -419,6 +420,40 @@ def test_toxicity_workers_hold_little(spark):
     assert {r.text: r.s for r in got} == dict(zip([*texts, None, ""], [x for x, _ in index.score_texts([*texts, None, ""])]))
 
 
+def test_toxicity_tiles_hold_no_zeros(monkeypatch):
+    rnd = random.Random(4)
+    rows = [(i, i % 2, collections.Counter(rnd.sample([f"f{j}" for j in range(300)], 30))) for i in range(640)]
+    index = toxicity.Index({f"f{j}": rnd.random() + 0.1 for j in range(300)}, rows, 0.3)
+    tiles, postings = index._tiles, 640 * 30
+    # All cells of all blocks took 80 bytes a posting.
+    assert sum(x.nbytes for x in vars(tiles).values() if hasattr(x, "nbytes")) <= 32 * postings
+    assert len(tiles.cells) > postings / 2
+    want = [index.vector(r[2]) for r in rows[:40]]
+    got, _ = tiles.cosines(want, 640)
+    place = {doc: i for i, doc in enumerate(index.ids)}
+    for a, v in enumerate(want):
+        for b in (0, 1, 17, 639):
+            other = dict(zip(*index.vector(rows[b][2])))
+            assert got[a, place[b]] == pytest.approx(sum(w * other.get(t, 0) for t, w in zip(*v)), abs=1e-12)
+    assert not tiles.tile.any()
+    monkeypatch.setattr(toxicity, "TILE_STEP", 7)  # steps of few postings make the same
+    again = toxicity._Tiles(index)
+    for name, x in vars(tiles).items():
+        assert np.array_equal(x, getattr(again, name)), name
+
+
+def test_row_blocks_give_memory_back(monkeypatch):
+    from tiers.llm import common
+
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5))], ["x"])
+    blocks = common.row_blocks([batch, batch], 2)
+    assert [len(b) for b in blocks] == [2, 2, 1, 2, 2, 1] and given == [1]
+    monkeypatch.undo()
+    common.give_back()
+
+
 def test_toxicity_weights_come_from_all_rows(spark):
     """Every feature's weight against counts over all training rows, the sample's and the others."""
     rnd = random.Random(13)

@@ -7,6 +7,7 @@ import hashlib
 import re
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,6 +173,22 @@ def test_mixing_stage_reaches_its_targets(spark):
     assert max(times.values()) <= 3
 
 
+def test_pipeline_batches_are_small(spark):
+    own, key = spark.newSession(), corpus_pipeline.BATCH_KEY
+    for before, after in (("10000", 1024), ("0", 1024), ("100", 100)):
+        own.conf.set(key, before)
+        empty = own.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+        for name, stage in corpus_pipeline.STAGES[3:]:
+            stage(own, empty, SF_SMALL)
+        assert int(own.conf.get(key)) == after
+        sizes = own.range(3000).coalesce(1).mapInArrow(
+            lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["id"]) for b in batches), "id long").collect()
+        assert max(r.id for r in sizes) == after
+    own.conf.set(key, "7000")
+    corpus_pipeline.run(own, SF_SMALL)
+    assert own.conf.get(key) == "7000"
+
+
 def test_pipeline(spark):
     out = E.queries()["pipeline"](spark, SF_SMALL)
     assert out.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiers.llm.common import row_blocks, ship
+from tiers.llm.common import give_back, row_blocks, ship
 
 LEAF_CHARS = 1024     # spans up to this length are encoded directly
 LEAF_BYTES = 512      # matches up to this length are merged directly
@@ -157,6 +157,12 @@ def codec(ranks_path: str, pattern: str) -> Codec:
     return _CODECS[key]
 
 
+def forget_codecs() -> None:
+    """An idle worker holds no tables; the next task reads them again."""
+    _CODECS.clear()
+    give_back()
+
+
 def _path(name_or_path: str) -> str:
     if "/" in name_or_path:
         return name_or_path
@@ -210,12 +216,16 @@ def encode_and_check(docs: DataFrame, ranks: str, pattern: str | None = None, te
 
     def run(batches):
         c = codec(_path(ranks), pattern)
-        for b in row_blocks(batches, 64):
-            ids = [c.encode(t) if t else [] for t in b.column(at).to_pylist()]
-            digests = [hashlib.sha256(c.decode(x)).hexdigest() for x in ids]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64()),
-                 pa.array(digests, pa.string())], [*b.schema.names, *own])
+        try:
+            for b in row_blocks(batches, 64):
+                ids = [c.encode(t) if t else [] for t in b.column(at).to_pylist()]
+                digests = [hashlib.sha256(c.decode(x)).hexdigest() for x in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns, pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64()),
+                     pa.array(digests, pa.string())], [*b.schema.names, *own])
+        finally:
+            c = ids = None
+            forget_codecs()
 
     schema = T.StructType(list(kept.schema.fields)).add("token_ids", T.ArrayType(T.IntegerType())) \
         .add("n_tokens", T.LongType()).add("decoded_sha256", T.StringType())

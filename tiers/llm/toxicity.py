@@ -26,6 +26,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cached_property
 from itertools import chain
 
@@ -35,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tiers.llm.common import Scratch, row_blocks, ship
+from tiers.llm.common import Scratch, give_back, row_blocks, ship
 
 PER_CLASS, BLOCK, NEIGHBOURS = 2048, 64, 32
 PREFIXES = (3, 4, 5)
@@ -46,7 +47,7 @@ FIRST = 8
 BATCH = 256                     # texts scored together
 CLUSTERS, CLUSTER_FEATURES, CLUSTER_ROUNDS = 8, 512, 8
 TILE_SHARE, TILE_FEATURES = 1 / 16, 4096   # a tile holds features of at least this share of the rows, at most so many
-TILE_STEP = 1 << 17             # postings put into tiles at a time
+TILE_STEP = 1 << 17             # postings put into tiles at a time, some
 LABEL_ROWS = 2_000_000          # labels up to this number are broadcast to the texts
 KNOWN_BEGINS = 100_000          # words' first letters that a worker remembers the features of; then it starts over
 FEW = 5        # texts with a feature at which its class rates count half
@@ -254,27 +255,57 @@ class Index:
 
 
 class _Tiles:
-    """The index as a task uses it: a dense tile per block for its common features, postings for the rest."""
+    """The index as a task uses it: a tile per block for its common features, postings for the rest.
+
+    Tiles are kept as their cells that are not zero, and laid out as one dense tile when a batch comes to their block."""
 
     def __init__(self, index: Index):
         n, blocks, block, vocabulary = len(index.ids), index.blocks, index.block, len(index.idf)
         self.n, self.blocks, self.block = n, blocks, block
-        df, terms = index.df, np.repeat(np.arange(vocabulary, dtype=np.int32), index.df)
+        df, starts = index.df, np.concatenate([[0], np.cumsum(index.df)])
         common = np.flatnonzero(df >= max(2, TILE_SHARE * n))
         common = np.sort(common[np.argsort(-df[common], kind="stable")[:TILE_FEATURES]])
-        self.column = np.full(vocabulary, -1, np.int64)
+        self.column = np.full(vocabulary, -1, np.int32)
         self.column[common] = np.arange(len(common))
-        rest = (self.column < 0)[terms]
         # A tile has all common features, so that a text's are taken as they lie.
-        self.tiles, self.largest = np.zeros((blocks, len(common), block)), np.zeros((len(common), blocks))
-        for i in range(0, len(rest), TILE_STEP):  # so that the copies on the way stay small
-            here = np.flatnonzero(~rest[i:i + TILE_STEP]) + i
-            at = index.rows[here].astype(np.int64)
-            self.tiles[at // block, self.column[terms[here]], at % block] = index.weights(terms[here], here)
-        for b in range(blocks):
-            self.largest[:, b] = self.tiles[b].max(axis=1)
+        self.tile, self.largest = np.zeros((len(common), block)), np.zeros((len(common), blocks))
+        self.cuts = np.concatenate([[0], np.cumsum(np.bincount(
+            index.rows[_ranges(starts[common], starts[common + 1])[0]] // block, minlength=blocks))]).astype(np.int64)
+        self.cells, self.values = np.empty(self.cuts[-1], np.int32), np.empty(self.cuts[-1])
         self.postings = np.concatenate([[0], np.cumsum(np.where(self.column < 0, df, 0))])
-        self.rows, self.weights = index.rows[rest], index.weights(terms[rest], rest)
+        self.rows, self.weights = np.empty(self.postings[-1], index.rows.dtype), np.empty(self.postings[-1])
+        free, done = self.cuts[:-1].copy(), 0
+        # Features in steps of some TILE_STEP postings, so that the copies on the way stay small.
+        steps = np.unique(np.concatenate([np.searchsorted(starts, np.arange(0, starts[-1], TILE_STEP)), [vocabulary]]))
+        for i, j in zip(np.concatenate([[0], steps[:-1]]), steps):
+            terms, at = np.repeat(np.arange(i, j, dtype=np.int32), df[i:j]), np.arange(starts[i], starts[j])
+            rest = self.column[terms] < 0
+            size = int(rest.sum())
+            self.rows[done:done + size] = index.rows[at[rest]]
+            self.weights[done:done + size] = index.weights(terms[rest], at[rest])
+            done += size
+            terms, at = terms[~rest], at[~rest]
+            rows = index.rows[at].astype(np.int64)
+            order = np.argsort(rows // block, kind="stable")
+            of, many = rows[order] // block, np.bincount(rows // block, minlength=blocks)
+            place = free[of] + np.arange(len(of)) - (np.cumsum(many) - many)[of]
+            free += many
+            self.cells[place] = (self.column[terms] * block + rows % block)[order]
+            self.values[place] = index.weights(terms, at)[order]
+        for b in range(blocks):
+            with self.laid(b) as tile:
+                self.largest[:, b] = tile.max(axis=1)
+
+    @contextmanager
+    def laid(self, b: int) -> Iterator[np.ndarray]:
+        """Block ``b`` as a dense tile, in the one array that all blocks use."""
+        cells = self.cells[self.cuts[b]:self.cuts[b + 1]]
+        flat = self.tile.reshape(-1)
+        flat[cells] = self.values[self.cuts[b]:self.cuts[b + 1]]
+        try:
+            yield self.tile
+        finally:
+            flat[cells] = 0
 
     def cosines(self, vectors: list, k: int) -> tuple[np.ndarray, np.ndarray]:
         """For each vector the cosines with all rows; too small ones in blocks that cannot hold one of the ``k``
@@ -292,7 +323,8 @@ class _Tiles:
         def visit(wanted: np.ndarray) -> None:
             for b in np.flatnonzero(wanted.any(axis=0)):
                 who = np.flatnonzero(wanted[:, b])
-                found[who, b * block:(b + 1) * block] += dense[who] @ self.tiles[b]
+                with self.laid(b) as tile:
+                    found[who, b * block:(b + 1) * block] += dense[who] @ tile
 
         first = np.zeros(bounds.shape, bool)
         np.put_along_axis(first, np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST], True, axis=1)
@@ -480,9 +512,9 @@ def score_column(spark: SparkSession, index: Index):
                 out = np.zeros(len(texts))
                 for i in range(0, len(out), BATCH):  # only so many texts are Python objects at a time
                     out[i:i + BATCH] = [x[0] for x in model.score_texts(texts.slice(i, BATCH).to_pylist())]
-                pa.default_memory_pool().release_unused()
                 yield pa.array(out)
         finally:  # idle workers keep what they hold while others work
             model.put_away()
+            give_back()
 
     return score
