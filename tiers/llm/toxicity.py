@@ -44,7 +44,7 @@ FLUSH = 300_000
 PRIOR_VOTE = 0.1
 OVERSAMPLE = 4
 FIRST = 8
-BATCH = 256                     # texts scored together
+BATCH = 512                     # texts scored together
 CLUSTERS, CLUSTER_FEATURES, CLUSTER_ROUNDS = 8, 512, 8
 TILE_SHARE, TILE_FEATURES = 1 / 16, 4096   # a tile holds features of at least this share of the rows, at most so many
 TILE_STEP = 1 << 17             # postings put into tiles at a time, some
