@@ -192,6 +192,26 @@ def test_new_units_share_lines_and_late_ones_stay_known(monkeypatch):
     assert al.texts(["often u3x1 " * 40])[0][0] == len(encode(["often u3x1 " * 40])[0])
 
 
+def test_new_units_cost_few_lines_and_little_memory(monkeypatch):
+    al = align.Aligner(public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES))
+    units = [f"w{i}é" for i in range(511)] + ["n't"]
+    want = [al.lines([[u]])[u] for u in units]
+    ids = [x.encode([u])[0] for x in (al.a, al.b) for u in units]
+    assert [len(x) for x in want] == [4 * (len(a) + len(b)) for a, b in zip(ids, ids[len(units):])]
+    asked = []
+    encode = al.a.encode
+    monkeypatch.setattr(al.a, "encode", lambda parts: asked.extend(parts) or encode(parts))
+    assert al.block(units[:-1]) == want[:-1] and len(asked) == 8  # 32 lines before
+    asked.clear()
+    bad = [*units, "\u2581"]  # costs its own lines, not those of all
+    assert al.block(bad) == [*want, None] and len(asked) <= 9 + 8 + 8
+    # At most as many units as in the text's own cuts, wherever spaces have odd neighbours.
+    rnd = random.Random(11)
+    for _ in range(2000):
+        text = "".join(rnd.choice(["a", "é", " ", " ", "\n", "–", "\u0301", ".", "_", "\u00a0"]) for _ in range(rnd.randint(1, 9)))
+        assert al.units(text) == align.CUT.split(text)
+
+
 # ---- 13 --------------------------------------------------------------------------------------
 
 def brute_variants(docs, every=199, min_chars=6, min_count=5, ratio=5):

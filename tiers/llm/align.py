@@ -21,7 +21,9 @@ A run over a table has three steps, each from a written table, so a lost executo
 Texts are cut where both tokenizers surely cut, at a single space between two other characters.  The units
 between are the blocks on the matrices' diagonal: each distinct one is encoded and multiplied once per
 worker (a bounded table keeps the results, those of late use longest), and a text's result is its units' put
-together.  New units are encoded some to a line, with single spaces between, and told apart by their bytes.
+together.  A unit's result is its tokens alone, one number each that also says where groups close; counts, keys
+and digest are worked out of a whole text's numbers at once.  New units are encoded some to a line, with single
+spaces between, and told apart by their bytes.
 Long texts are read in stretches of ``BLOCK_CHARS``.
 """
 
@@ -43,12 +45,15 @@ from tiers.llm.common import Scratch, ship
 HOT_PAIRS = 500_000
 BLOCK_CHARS = 1 << 18
 BLOCK_TEXTS = 256
-KNOWN_UNITS = 200_000     # units a worker remembers; half of them since the older half was last renewed
+KNOWN_UNITS = 300_000     # units a worker remembers; half of them since the older half was last renewed
 KNOWN_CHARS = 48          # longer units are not remembered
-LINE_UNITS = 16           # units encoded as one line
+LINE_UNITS = 64           # units encoded as one line,
+FEW_UNITS = 8             # and those of lines whose tokens do not show the units
 
 #: A place at which both tokenizers end a token: a single space between two characters that are no white space.
 CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
+#: What only other spaces have beside them.
+BEFORE, BEHIND = re.compile(r"[^!-~\w] "), re.compile(r" [^!-~\w]")
 #: A unit that is surely cut off from any such neighbours.
 WHOLE = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.DOTALL).fullmatch
 
@@ -194,12 +199,13 @@ class Aligner:
         self.len_a, self.len_b = (np.array([len(x) for x in t.bytes_of], np.int64) for t in (self.a, self.b))
         n, m = len(self.len_a), len(self.len_b)
         self.width = m
-        #: Ids with what follows them: A's comma, A's bar, B's comma, B's semicolon.
-        self.said = [f"{i}," for i in range(n)] + [f"{i}|" for i in range(n)] + \
+        #: Ids with what follows them: A's comma, A's bar, B's comma, B's semicolon.  A token's place here is its number.
+        said = [f"{i}," for i in range(n)] + [f"{i}|" for i in range(n)] + \
             [f"{i}," for i in range(m)] + [f"{i};" for i in range(m)]
+        self.said = np.array(said, f"S{-(-max(map(len, said)) // 8) * 8}")
         self.base = (0, n, 2 * n, 2 * n + m)
-        self.known: dict[str, tuple | None] = {}
-        self.older: dict[str, tuple | None] = {}
+        self.known: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
         if any(b" " in x.lstrip(b" ") for x in self.b.bytes_of):  # A's words are split before its merges
             raise ValueError("B's vocabulary has entries across words")
 
@@ -214,71 +220,74 @@ class Aligner:
             at = m.end()
         return [*out, text[at:]]
 
-    def block(self, parts: list[str]) -> list[tuple | None]:
-        """For each unit ``(n_a, n_b, packed link keys, groups as text)``; None where the joined bytes
+    @staticmethod
+    def units(stretch: str) -> list[str]:
+        """The stretch cut at every ``CUT``; at all of its spaces, where none is another."""
+        if stretch.startswith(" ") or stretch.endswith(" ") or BEHIND.search(stretch) or BEFORE.search(stretch):
+            return CUT.split(stretch)
+        return stretch.split(" ")
+
+    def block(self, parts: list[str]) -> list[bytes | None]:
+        """For each unit its tokens' numbers, packed, in the order of the digest; None where the joined bytes
         of either tokenizer differ from the unit's."""
-        whole = [p for p in parts if WHOLE(p)]
-        lines = [whole[k:k + LINE_UNITS] for k in range(0, len(whole), LINE_UNITS)]
-        found = self.lines(lines + [[p] for p in parts if not WHOLE(p)])
-        again = [p for p in parts if p not in found]
-        found.update(self.lines([[p] for p in again]))
+        found: dict[str, bytes | None] = {}
+        whole = list(filter(WHOLE, parts))
+        for n in (LINE_UNITS, FEW_UNITS):
+            found.update(self.lines([whole[k:k + n] for k in range(0, len(whole), n)]))
+            whole = [p for p in whole if p not in found]
+        found.update(self.lines([[p] for p in parts if p not in found]))
         return list(map(found.get, parts))
 
-    def lines(self, lines: list[list[str]]) -> dict[str, tuple | None]:
+    def lines(self, lines: list[list[str]]) -> dict[str, bytes | None]:
         """``block`` of the units of each line, encoded with single spaces between them.  Of a line of many whose joined
         bytes differ, or in which a token runs on from unit to unit, none are in the result."""
+        if not lines:
+            return {}
         joined = list(map(" ".join, lines))
         ids_a, ids_b = self.a.encode(joined), self.b.encode(joined)
         same = [b"".join(map(self.a.bytes_of.__getitem__, x)) == (want := b" " + p.encode()) and
                 b"".join(map(self.b.bytes_of.__getitem__, y)) == want for p, x, y in zip(joined, ids_a, ids_b)]
-        found: dict[str, tuple | None] = {line[0]: None for line, ok in zip(lines, same) if not ok and len(line) == 1}
-        ids_a, ids_b, lines = ([x for x, ok in zip(them, same) if ok] for them in (ids_a, ids_b, lines))
+        found: dict[str, bytes | None] = {line[0]: None for line, ok in zip(lines, same) if not ok and len(line) == 1}
+        ids_a, ids_b, lines, joined = ([x for x, ok in zip(them, same) if ok] for them in (ids_a, ids_b, lines, joined))
         a = np.fromiter(chain.from_iterable(ids_a), np.int64)
         b = np.fromiter(chain.from_iterable(ids_b), np.int64)
         units = list(chain.from_iterable(lines))
         ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        ends = np.cumsum(np.fromiter((len(u.encode()) + 1 for u in units), np.int64, len(units)))
+        # Where each unit, with the space in front, ends: in characters, then in bytes.
+        data = np.frombuffer("".join([" " + p for p in joined]).encode(), np.uint8)
+        first = np.append(np.flatnonzero(data & 0xC0 != 0x80), len(data))
+        ends = first[np.cumsum(np.fromiter(map(len, units), np.int64, len(units)) + 1)]
         to_a, to_b = np.searchsorted(ends_a, ends, "right"), np.searchsorted(ends_b, ends, "right")
-        if not (np.array_equal(ends_a[to_a - 1], ends) and np.array_equal(ends_b[to_b - 1], ends)):
-            return found | self.lines([x for x in lines if len(x) == 1])
+        cut = (ends_a[to_a - 1] == ends) & (ends_b[to_b - 1] == ends)
         i, j, _ = links(ends_a, ends_b, "end")
-        keys = (a[i] * self.width + b[j]).tobytes()
         group_a, group_b = _group_of(len(a), i), _group_of(len(b), j)
         # A group's A tokens stand behind all B tokens of earlier groups, its B tokens behind its A tokens.
         closes_a, closes_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
         closes_a[i], closes_b[j] = 1, 1
-        said = np.empty(len(a) + len(b), np.int64)
+        said = np.empty(len(a) + len(b), np.int32)
         said[np.arange(len(a)) + np.concatenate([[0], j + 1])[group_a]] = a + np.where(closes_a, self.base[1], self.base[0])
         said[np.arange(len(b)) + (i + 1)[group_b]] = b + np.where(closes_b, self.base[3], self.base[2])
-        words = list(map(self.said.__getitem__, said.tolist()))
-        to_link = 8 * np.searchsorted(i, to_a)
-        a0, b0, l0 = 0, 0, 0
-        for u, a1, b1, l1 in zip(units, to_a.tolist(), to_b.tolist(), to_link.tolist()):
-            found[u] = a1 - a0, b1 - b0, keys[l0:l1], "".join(words[a0 + b0:a1 + b1])
-            a0, b0, l0 = a1, b1, l1
+        packed, to = said.tobytes(), (4 * (to_a + to_b)).tolist()
+        found.update((u, packed[x:y]) for u, x, y in zip(units, [0, *to], to))
+        if not cut.all():
+            at = np.cumsum([0, *map(len, lines)])
+            for line, x, y in zip(lines, at, at[1:]):
+                if not cut[x:y].all():
+                    for u in line:
+                        del found[u]
         return found
 
-    def learn(self, units: list[str]) -> dict:
-        """The results of these units, with the new ones worked out in blocks of bounded size."""
+    def learn(self, units: list[str]) -> dict[str, bytes | None]:
+        """The results of these units, with the new ones worked out."""
         if len(self.known) > KNOWN_UNITS // 2:
             self.older, self.known = self.known, {}
-        known, older, long, new, size = self.known, self.older, {}, [], 0
-
-        def work():
-            for u, got in zip(new, self.block(new)):
-                (known if len(u) <= KNOWN_CHARS else long)[u] = got
-            new.clear()
-
-        for u in set(units).difference(known):
-            if u in older:
-                known[u] = older[u]
-            else:
-                new.append(u)
-                size += len(u)
-                if size >= BLOCK_CHARS:
-                    work()
-                    size = 0
-        work()
+        known, older, long = self.known, self.older, {}
+        new = set(units).difference(known)
+        again = older.keys() & new
+        known.update((u, older[u]) for u in again)
+        new = list(new - again)
+        for u, got in zip(new, self.block(new)):
+            (known if len(u) <= KNOWN_CHARS else long)[u] = got
         return known | long if long else known
 
     def texts(self, texts: list[str | None]) -> list[tuple]:
@@ -287,24 +296,24 @@ class Aligner:
         pending = [(k, s) for k, t in enumerate(texts) if t for s in self.stretches(t)]
         done: dict[int, list] = {}
         for at, (k, stretch) in enumerate(pending):
-            held.append((k, CUT.split(stretch)))
+            held.append((k, self.units(stretch)))
             size += len(stretch)
             if size < BLOCK_CHARS and at + 1 < len(pending):
                 continue
-            results = self.learn([u for _, units in held for u in units])
+            results = self.learn(list(chain.from_iterable(units for _, units in held)))
             for i, units in held:
                 got = list(map(results.__getitem__, units))
-                if None in got:
-                    done.setdefault(i, []).append(None)
-                    continue
-                n_a, n_b, keys, said = zip(*got)
-                done.setdefault(i, []).append((sum(n_a), sum(n_b), b"".join(keys), "".join(said)))
+                done.setdefault(i, []).append(None if None in got else b"".join(got))
             held, size = [], 0
+        _, a_closes, b_opens, b_closes = self.base
         for k, got in done.items():
             if None not in got:
-                n_a, n_b, keys, said = zip(*got)
-                packed = b"".join(keys)
-                out[k] = (sum(n_a), sum(n_b), len(packed) // 8, packed, hashlib.sha256("".join(said)[:-1].encode()).hexdigest())
+                said = np.frombuffer(b"".join(got), np.int32)
+                n_a = int(np.count_nonzero(said < b_opens))
+                a = said[(said >= a_closes) & (said < b_opens)].astype(np.int64) - a_closes
+                b = said[said >= b_closes] - b_closes
+                digest = hashlib.sha256(self.said.take(said).tobytes().translate(None, b"\0")[:-1]).hexdigest()
+                out[k] = n_a, len(said) - n_a, len(a), (a * self.width + b).tobytes(), digest
         return out
 
 
