@@ -654,6 +654,26 @@ def test_language_model_base_and_normalisation(spark):
     assert untrained.score == pytest.approx(-8 * 4 * math.log10(2)) and untrained.base_score == 0
 
 
+def test_language_model_counts_once_behind_the_shuffle(spark):
+    rnd = random.Random(21)
+    texts = [(i, rnd.choice([None, "", "  ", "\t", words(rnd, 30), "\x0bA\r\n b"])) for i in range(200)] + [(200, "long " * 900)]
+    docs = frame(spark, texts).select("text", (F.col("doc_id") % 3 != 0).alias("train"))
+    grams, counts = collections.defaultdict(lambda: [0, 0]), collections.defaultdict(lambda: [0, 0])
+    for i, t in texts:
+        data = ctw.END * 6 + ctw.bytes_of(words_of(t))
+        for to, keys in ((counts, words_of(t) + [ctw.END]), (grams, [
+                int.from_bytes(data[p - 6:p][::-1] + data[p:p + 1], "big") for p in range(6, len(data))])):
+            for k in keys:
+                to[k][0] += i % 3 != 0
+                to[k][1] += 1
+    for table, want in ((ctw.word_table(docs), counts), (ctw.gram_table(docs), grams)):
+        got = [(bytes(r[0]) if isinstance(r[0], bytearray) else r[0], [r.n, r.n_all]) for r in table.collect()]
+        assert len(got) == len(want) and dict(got) == want
+        plan = table._jdf.queryExecution().sparkPlan().toString()
+        # Sums of a task, which hold every key about once, were hashed once more before the shuffle.
+        assert plan.index("HashAggregate", plan.index("HashAggregate") + 1) < plan.index("Exchange")
+
+
 def test_context_tree_is_a_distribution():
     rnd = random.Random(13)
     text = [w.encode() for w in words(rnd, 400).split()]

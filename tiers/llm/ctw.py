@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ TOP = 3                # context bytes that grams are dealt out by
 HEAD_SHARE = 5e-7      # of all words; bounds the words looked up in place
 GRAM_SHARE = 1e-7      # of all bytes; bounds the grams looked up in place
 END = b"\n"            # the end of a text; no word holds it
-FLUSH = 300_000
+WORD_BYTES = 1 << 24   # bytes of text whose words are counted at once
 PIECE = 1 << 20        # bytes of text, and
 PIECE_TEXTS = 256      # texts, turned into grams at once
 RUN = 100_000          # grams weighted at once
@@ -53,20 +54,22 @@ def bytes_of(words: list[bytes]) -> bytes:
     return b" ".join([*words, END])
 
 
-def pieces(texts: list[bytes], limit: int = PIECE):
+def pieces(texts: list[bytes], limit: int = PIECE, most: int = PIECE_TEXTS):
     """``(first text, text number from there, gram)`` of every byte of the texts, at most about
-    ``limit`` bytes and ``PIECE_TEXTS`` texts at once; long texts are cut, with their contexts."""
+    ``limit`` bytes and ``most`` texts at once; long texts are cut, with their contexts."""
     parts, owners, size = [], [], 0
 
     def made():
-        buf = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64)
-        gram = buf.copy()
-        for d in range(1, DEPTH + 1):
-            gram[d:] |= buf[:-d] << (8 * (7 - d))
+        data = b"".join(parts)
         sizes = np.array([len(x) for x in parts])
-        real = np.ones(len(buf), bool)
+        real = np.ones(len(data), bool)
         real[((np.cumsum(sizes) - sizes)[:, None] + np.arange(DEPTH)).ravel()] = False
-        return owners[0], np.repeat(np.array(owners) - owners[0], sizes - DEPTH), gram[real]
+        # The eight bytes from each place on as one number: the oldest of six context bytes is the lowest.
+        six = np.ndarray(len(data) - DEPTH, "<i8", data + b"\0" * (8 - DEPTH), strides=(1,))[real[DEPTH:]]
+        six <<= 16
+        gram = (six.view(np.uint64) >> np.uint64(8)).view(np.int64)
+        gram |= np.frombuffer(data, np.uint8)[real]
+        return owners[0], np.repeat(np.array(owners) - owners[0], sizes - DEPTH), gram
 
     for i, text in enumerate(texts):
         data = END * DEPTH + text
@@ -74,7 +77,7 @@ def pieces(texts: list[bytes], limit: int = PIECE):
             parts.append(data[s:s + limit + DEPTH])
             owners.append(i)
             size += len(parts[-1])
-            if size >= limit or i - owners[0] >= PIECE_TEXTS - 1:
+            if size >= limit or i - owners[0] >= most - 1:
                 yield made()
                 parts, owners, size = [], [], 0
     if parts:
@@ -109,6 +112,12 @@ def _summed(keys: np.ndarray, *weights: np.ndarray):
     return (keys[starts], *(np.add.reduceat(w, starts) for w in weights))
 
 
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of sorted keys and how often each occurs."""
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return keys[starts], np.diff(starts, append=len(keys))
+
+
 # ---- the model --------------------------------------------------------------------------------
 
 _TABLE = 1 << 12
@@ -279,28 +288,30 @@ def gram_table(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     def run(batches):
         held, size = [], 0
 
-        def merged():
-            key, n, n_all = (np.concatenate(x) for x in zip(*held))
-            order = np.argsort(key, kind="stable")
-            return _summed(key[order], n[order], n_all[order])
+        def merged():  # a gram of training texts is another code
+            code, n = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(code, kind="stable")
+            return _summed(code[order], n[order])
+
+        def found(code, n):
+            columns = _summed(code >> 1, n * (code & 1), n)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["gram", "n", "n_all"])
 
         for b in row_blocks(batches):
             learn = np.array([bool(x) for x in b.column(1).to_pylist()])
-            for first, row, gram in pieces([bytes_of(words_of(t)) for t in b.column(0).to_pylist()]):
-                code = np.sort((gram & keep) << 1 | learn[first + row])
-                code, n = _summed(code, np.ones(len(code), np.int64))
-                held.append(_summed(code >> 1, n * (code & 1), n))
+            for first, row, gram in pieces([bytes_of(words_of(t)) for t in b.column(0).to_pylist()], 2 * PIECE, 512):
+                held.append(_counted(np.sort((gram & keep) << 1 | learn[first + row])))
                 size += len(held[-1][0])
                 if size > 4_000_000:
                     held = [merged()]
                     size = len(held[0][0])
                     if size > 2_000_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], ["gram", "n", "n_all"])
+                        yield found(*held[0])
                         held, size = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged()], ["gram", "n", "n_all"])
+            yield found(*merged())
 
-    return (docs.select("text", "train").mapInArrow(run, "gram long, n long, n_all long")
+    return (docs.select("text", "train").mapInArrow(run, "gram long, n long, n_all long").repartition("gram")
             .groupBy("gram").agg(F.sum("n").alias("n"), F.sum("n_all").alias("n_all")))
 
 
@@ -362,27 +373,33 @@ def word_table(docs: DataFrame) -> DataFrame:
     """``(word, n, n_all)`` of ``docs(text, train)``: every distinct word, how often the training
     texts and how often all texts hold it; the end mark is a word of every text."""
     def run(batches):
-        train, other = Counter(), Counter()
+        parts, sizes, learn, held = [], [], [], 0
 
         def flush():
-            words = list(set(train) | set(other))
-            n, rest = [train[w] for w in words], [other[w] for w in words]
-            train.clear()
-            other.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(n, pa.int64()),
-                 pa.array([a + b for a, b in zip(n, rest)], pa.int64())], ["word", "n", "n_all"])
+            data = np.frombuffer(b"".join(parts), np.uint8)
+            ends = np.flatnonzero(data == 32)
+            offsets = np.concatenate([[0], ends - np.arange(len(ends))]).astype(np.int32)
+            words = pa.Array.from_buffers(pa.binary(), len(ends),
+                                          [None, pa.py_buffer(offsets), pa.py_buffer(data[data != 32])]).dictionary_encode()
+            at, trains = words.indices.to_numpy(), np.repeat(np.array(learn, bool), sizes)
+            n, n_all = (np.bincount(x, minlength=len(words.dictionary)).astype(np.int64) for x in (at[trains], at))
+            return pa.RecordBatch.from_arrays([words.dictionary, pa.array(n), pa.array(n_all)], ["word", "n", "n_all"])
 
         for b in row_blocks(batches):
-            for text, learn in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                to = train if learn else other
-                to.update(words_of(text))
-                to[END] += 1
-            if len(train) + len(other) > FLUSH:
-                yield flush()
-        yield flush()
-
-    return (docs.select("text", "train").mapInArrow(run, "word binary, n long, n_all long")
+            for text, to in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                words = words_of(text)
+                parts.append(b" ".join([*words, END, b""]))
+                sizes.append(len(words) + 1)
+                learn.append(bool(to))
+                held += len(parts[-1])
+                if held > WORD_BYTES:
+                    yield flush()
+                    parts, sizes, learn, held = [], [], [], 0
+        if parts:
+            yield flush()
+
+    # A task's words are distinct already: summed up once, behind the shuffle.
+    return (docs.select("text", "train").mapInArrow(run, "word binary, n long, n_all long").repartition("word")
             .groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_all").alias("n_all")))
 
 
@@ -427,7 +444,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
         total, others = np.zeros(len(data)), ([], [], [])
         for first, row, gram in pieces(data):
             code = np.sort((gram.astype(np.uint64) & keep) << eight | row.astype(np.uint64))
-            code, times = _summed(code, np.ones(len(code), np.int64))
+            code, times = _counted(code)
             row, gram = first + (code & low_byte).astype(np.int64), (code >> eight).astype(np.int64)
             i = np.searchsorted(keys, gram)
             hit = keys[np.minimum(i, len(keys) - 1)] == gram if len(keys) else np.zeros(len(gram), bool)
@@ -435,7 +452,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
             for to, x in zip(others, (row, gram, times)):
                 to.append(x[~hit])
         row, gram, times = (np.concatenate(x) for x in others)
-        order = np.argsort(row, kind="stable")
+        order = np.argsort(row.astype(np.uint16), kind="stable")  # fewer rows than that; by their digits
         offsets = np.searchsorted(row[order], np.arange(len(data) + 1)).astype(np.int32)
         pairs = pa.StructArray.from_arrays([pa.array(gram[order]), pa.array(times[order])], ["gram", "times"])
         return total, pa.ListArray.from_arrays(pa.array(offsets), pairs)
@@ -450,9 +467,9 @@ def score_texts(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
                 words = words_of(text)
                 data.append(bytes_of(words))
                 words.append(END)
-                found = list(map(slot.get, words))
-                at = np.array([i for i in found if i is not None], np.int64)
-                tail = Counter([w for w, i in zip(words, found) if i is None]) if len(at) < len(words) else {}
+                at = np.fromiter(map(slot.get, words, repeat(-1)), np.int64, len(words))
+                tail = Counter([words[k] for k in np.flatnonzero(at < 0).tolist()])
+                at = at[at >= 0]
                 row = (len(data[-1]), len(words), int(known[at].sum()), float(base[at].sum()), list(tail.items()))
                 for c, x in zip(cols, row):
                     c.append(x)
@@ -469,7 +486,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
                   .select("row", F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("t_known"),
                           (F.col("base") * F.col("times")).alias("t_base"), F.lit(0.0).alias("t_ctw")))
     rare_grams = (rows.select("row", F.explode("others").alias("x")).select("row", "x.gram", "x.times")
-                  .join(scored.select("gram", "ctw"), "gram")
+                  .join(scored.select("gram", "ctw").hint("shuffle_hash"), "gram")
                   .select("row", F.lit(0).cast("long").alias("t_known"), F.lit(0.0).alias("t_base"),
                           (F.col("ctw") * F.col("times")).alias("t_ctw")))
     tail = rare_words.unionByName(rare_grams).groupBy("row").agg(
