@@ -751,6 +751,73 @@ def test_vector_grid_on_small_tables():
     assert len(embeddings.fit_grid(x, 50, 0.93).books[0]) == embeddings.MIN_WORDS > 1
 
 
+def brute_force_links(x, label):
+    near = (x @ x.T >= 0.93) & (label[:, None] == label[None])
+    np.fill_diagonal(near, False)
+    return near.sum(1), groups(zip(*map(np.ndarray.tolist, np.nonzero(near))), range(len(x)))
+
+
+def test_vectors_are_not_copied_per_cell(spark, monkeypatch):
+    """Vectors without structure lie within the radius of most cells: each is dealt to a few shards all the same."""
+    monkeypatch.setattr(embeddings, "CELL_ROWS", 16)
+    rows = []
+    save = embeddings.Scratch.save
+
+    def counted(self, df):
+        out = save(self, df)
+        if "vec" in out.columns:
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(embeddings.Scratch, "save", counted)
+    x = np.random.default_rng(18).standard_normal((900, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    assert all(r.n_links == 0 and r.kept for r in embeddings.near_vectors(spark, df).collect())
+    assert 0 < sum(rows) <= 4 * 900
+    grid = embeddings.fit_grid(x, 900, 0.93)
+    assert len(grid.before) > 400
+    near = grid.distances(*(d for _, d in grid.parts(x)), np.arange(len(grid.before))) <= grid.radius ** 2
+    assert near.sum(1).mean() > 100  # the cells that a row visits
+    for n in (1, 3, 7):
+        home, at, to = grid.deal(x, np.full(900, n))
+        assert (home == grid.cells(x)).all() and len(at) <= 900 * n
+        assert set(zip(at.tolist(), to.tolist())) >= set(enumerate(grid.shards(n)[home].tolist()))
+
+
+@pytest.mark.parametrize("kind, at_a_time", [("float", 2), ("double", 1)])
+def test_vectors_in_many_shards_rounds_and_blocks(spark, monkeypatch, kind, at_a_time):
+    monkeypatch.setattr(embeddings, "CELL_ROWS", 64)
+    monkeypatch.setattr(embeddings, "TILE", 32)
+    monkeypatch.setattr(embeddings, "SHARD_BYTES", 1)
+    monkeypatch.setattr(embeddings, "SHARD_ROWS", 16)
+    monkeypatch.setattr(embeddings, "VISITORS", 1)
+    monkeypatch.setattr(embeddings, "COPIES", at_a_time)
+    rng = np.random.default_rng(19)
+    x = np.repeat(rng.standard_normal((30, 24)), 20, axis=0) + 0.15 * rng.standard_normal((600, 24))
+    x[:150] = x[0] + 0.02 * rng.standard_normal((150, 24))  # one cell
+    x[160:170] = x[3]                                       # one class
+    x = x.astype(np.float32).astype(float)
+    label = np.arange(600) % 7 // 6
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links, parts = brute_force_links(u, label)
+    df = spark.createDataFrame([(i, v.tolist(), float("nan") if label[i] else 0.0) for i, v in enumerate(x)],
+                               f"vec_id long, embedding array<{kind}>, label double")
+    got = {r.id: r for r in embeddings.near_vectors(spark, df).collect()}
+    assert [got[i].n_links for i in range(600)] == links.tolist() and links.max() > 100
+    assert {i: r.component_id for i, r in got.items()} == parts
+
+
+def test_short_vectors_never_hide_a_pair():
+    rng = np.random.default_rng(20)
+    x = np.repeat(rng.standard_normal((300, 64)), 4, axis=0) + 0.3 * rng.standard_normal((1200, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    grid = embeddings.fit_grid(x, 1200, 0.93)
+    short = grid.short(x)
+    assert short.shape[1] < 64 and (short @ short.T >= x @ x.T - 1e-5).all()
+    assert (short @ short.T >= 0.93).sum() < 1.1 * (x @ x.T >= 0.83).sum()
+
+
 def test_language_pieces_come_from_the_whole_text(spark):
     rnd = random.Random(17)
     opening = words(rnd, 60) + " "
