@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import gc
 import math
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ MIN_WORDS, MAX_WORDS = 4, 256  # codewords per half (fewer on a few rows only)
 SHARDS, SHARD_ROWS = 3, 2048   # shards of a label at least, if they get so many rows each
 SHARD_BYTES = 64 << 20  # of vectors per shard that a label's shards are sized for
 FULL = 1.5              # times that size, a shard is cut into blocks
-VISITORS = 2            # times its members, a block's visitors are cut
+VISITORS = 1            # times its members, a block's visitors are cut
 COPIES = 2              # of the vectors that a round deals out, about
 TILE = 1024             # members that are compared at once
 SEEM = 1e-5             # of the pairs that are apart, those whose short vectors may be near
@@ -126,18 +127,26 @@ class Grid:
                 return
             yield int(k), np.flatnonzero(near[:, k])
 
+    def nearest(self, da2: np.ndarray, db2: np.ndarray, start: int, end: int) -> np.ndarray:
+        """Squared distance of rows to the nearest of the cells from ``start`` to before ``end``."""
+        (a, b), (c, d) = divmod(start, len(self.books[1])), divmod(end - 1, len(self.books[1]))
+        if a == c:
+            return da2[:, a] + db2[:, b:d + 1].min(1)
+        least = np.minimum(da2[:, a] + db2[:, b:].min(1), da2[:, c] + db2[:, :d + 1].min(1))
+        return least if c == a + 1 else np.minimum(least, da2[:, a + 1:c].min(1) + db2.min(1))
+
     def deal(self, x: np.ndarray, shards: np.ndarray) -> tuple[np.ndarray, ...]:
         """Where rows go whose labels have so many ``shards``: each row's cell; and the row and shard of each copy,
         for the row's own shard first and then the later ones of which it visits any cell."""
         (a, da), (b, db) = self.parts(x)
-        home, every = a * len(self.books[1]) + b, np.arange(len(self.before))
-        near = self.distances(da, db, every) <= self.radius ** 2
-        at, to = [], []
+        home, at, to = a * len(self.books[1]) + b, [], []
         for n in np.unique(shards):
             rows = np.flatnonzero(shards == n)
             names, starts = np.unique(table := self.shards(int(n)), return_index=True)
             own = table[home[rows]]
-            touched = np.logical_or.reduceat(near[rows], starts, axis=1) & (names[None] > own[:, None])
+            da2, db2, ends = da[rows] ** 2, db[rows] ** 2, np.append(starts[1:], len(table))
+            near = np.stack([self.nearest(da2, db2, *x) for x in zip(starts, ends)], axis=1) <= self.radius ** 2
+            touched = near & (names[None] > own[:, None])
             i, j = np.nonzero(touched | (names[None] == own[:, None]))
             at.append(rows[i])
             to.append(names[j])
@@ -265,9 +274,11 @@ def _found(rep: np.ndarray, links: np.ndarray, root: np.ndarray) -> pa.RecordBat
 
 def _free_shuffles(spark: SparkSession) -> None:
     """Lets the driver find out which shuffles no frame needs any more, so that their files go now, not at some time."""
-    gc.collect()
     try:
-        spark.sparkContext._jvm.System.gc()
+        for _ in range(2):  # at the first time, what told the listeners of the job may still hold it
+            gc.collect()
+            spark.sparkContext._jvm.System.gc()
+            time.sleep(0.2)
     except Exception:  # a session without a driver of its own
         pass
 
@@ -307,8 +318,8 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_id"
         pack, T.StructType().add("id", "long").add("label", label).add("vec", "binary"))
     packed = scratch.save(good.groupBy("label", "vec").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("times")).select(
         "rep", "label", (F.octet_length("vec") / number.itemsize).cast("integer").alias("dim"), "times", "vec"))
-    _free_shuffles(spark)
     dims = [r.dim for r in packed.groupBy("dim").count().where("count > 1").select("dim").collect()]  # few lengths
+    _free_shuffles(spark)
     found = [part for d in sorted(dims)
              for part in _one_length(spark, scratch, packed.where(F.col("dim") == d), label, number, d, cosine)]
 
@@ -355,7 +366,7 @@ def _one_length(spark: SparkSession, scratch: Scratch, packed: DataFrame, label:
     sized = scratch.save(per_label.select("label", shards_of(F.col("rows")).alias("shards")))
     most = max(-(-largest // held), min(-(-largest // SHARD_ROWS), SHARDS))
     rounds = max(1, math.ceil((1 + (most - 1) / 2) / COPIES))
-    step = max(16, min(4 * TILE, REACH // len(shared.value.before)))
+    step = 4 * TILE
 
     def count(batches):
         g = shared.value
