@@ -403,7 +403,8 @@ def _one_length(spark: SparkSession, scratch: Scratch, packed: DataFrame, label:
                             here = (codes[at] == code) & (to == cut["shard"])
                             m[here], v[here] = cut["m"], cut["v"]
                 spot = b.column(6).to_numpy().view(np.uint64)[at]
-                mb, vb = (spot % m.astype(np.uint64)).astype(np.int64), (spot // np.uint64(2 ** 32) % v.astype(np.uint64)).astype(np.int64)
+                mb = (spot % m.astype(np.uint64)).astype(np.int64)
+                vb = (spot // np.uint64(2 ** 32) % v.astype(np.uint64)).astype(np.int64)
                 # Members meet every block of visitors, visitors every block of members.
                 copies = np.where(to % rounds == of_round, np.where(own, v + m - 1, m), 0)
                 nth = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
@@ -437,7 +438,8 @@ def _one_length(spark: SparkSession, scratch: Scratch, packed: DataFrame, label:
                 codes, labels = _codes(b.column(1))
                 keys = np.stack([codes, *(b.column(i).to_numpy() for i in (5, 6, 7))])
                 role = b.column(8).to_numpy()
-                turns = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0) | ((role[1:] == VISITOR) != (role[:-1] == VISITOR))) + 1
+                visits = role == VISITOR
+                turns = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0) | (visits[1:] != visits[:-1])) + 1
                 for lo, hi in zip([0, *turns], [*turns, b.num_rows]):
                     new = (repr(labels[keys[0, lo]]), *keys[1:, lo].tolist())
                     if new != key:
